@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from wattloom.functions.clock import unix_to_utc
 from wattloom.functions.sampling import gateway_id
-from wattloom.operators.devices import device_registry, enrich_devices, first_acquisitions
+from wattloom.operators import devices as device_ops
 from wattloom.operators.prices import price_mart, stage_prices
 
 # How the test tables play the domain's roles.
@@ -123,17 +123,17 @@ def contracts(d: Domain) -> DataFrame:
 
 @table
 def customer_products(d: Domain) -> DataFrame:
-    return first_acquisitions(d["contracts"], d["product_dim"])
+    return device_ops.first_acquisitions(d["contracts"], d["product_dim"])
 
 
 @table
-def registry(d: Domain) -> DataFrame:
-    return device_registry(d["customer_products"], d["product_dim"], SOLAR, HEATPUMP, BATTERY)
+def device_registry(d: Domain) -> DataFrame:
+    return device_ops.device_registry(d["customer_products"], d["product_dim"], SOLAR, HEATPUMP, BATTERY)
 
 
 @table
 def devices(d: Domain) -> DataFrame:
-    return enrich_devices(d["registry"], d["customer_dim"])
+    return device_ops.enrich_devices(d["device_registry"], d["customer_dim"])
 
 
 def _event_columns(d: Domain) -> DataFrame:
