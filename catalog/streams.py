@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from wattloom.operators.prices import hourly_prices
 from wattloom.session import scratch_path
-from wattloom.sources.testdata import Domain
+from wattloom.sources.testdata import LAYOUTS, Domain
 from wattloom.streaming import jobs
 
 
@@ -17,8 +17,7 @@ class StreamDomain(Domain):
     def source(self, name: str):
         if name != "events":
             return super().source(name)
-        schema = super().source(name).schema
-        return jobs.file_stream(self.spark, self.sf_dir, schema, "events.parquet")
+        return jobs.file_stream(self.spark, self.sf_dir, LAYOUTS[name], "events.parquet")
 
 
 def _streamed(d):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.texts import tokens
@@ -19,14 +19,16 @@ def sections(parsed: DataFrame) -> DataFrame:
             .withColumn("title", F.trim(heading)))
 
 
-def term_index(corpus: DataFrame, key: str, text: str) -> DataFrame:
+def term_index(corpus: DataFrame, key: str, text: str, only: list[str] | None = None) -> DataFrame:
     """Term counts per document with the document's length: the stored form that searches read.
 
     Terms are counted in the scan tasks before the shuffle. Write it sorted by term
-    (``write_term_index``), so a search reads only the row groups of its own terms.
+    (``write_term_index``), so a search reads only the row groups of its own terms. ``only`` keeps
+    just these terms, for a search without a stored index.
     """
     words = corpus.select(F.col(key).alias("doc"), tokens(F.col(text)).alias("words"))
-    return (words.select("doc", F.size("words").alias("doc_length"), F.explode("words").alias("term"))
+    kept = F.filter("words", lambda word: word.isin(only)) if only is not None else F.col("words")
+    return (words.select("doc", F.size("words").alias("doc_length"), F.explode(kept).alias("term"))
             .groupBy("doc", "doc_length", "term").agg(F.count("*").alias("tf")))
 
 
@@ -61,21 +63,25 @@ def bm25_search(index: DataFrame, stats: DataFrame, query_terms: list[str], k: i
 
 def search(corpus: DataFrame, key: str, text: str, query_terms: list[str], k: int = 5) -> DataFrame:
     """Search a corpus without a stored index; every other column comes back as an attribute."""
-    best = bm25_search(term_index(corpus, key, text), corpus_stats(corpus, text), query_terms, k)
+    index = term_index(corpus, key, text, only=sorted(set(query_terms)))
+    best = bm25_search(index, corpus_stats(corpus, text), query_terms, k)
     found = F.broadcast(best.withColumnRenamed("doc", key))  # at most k rows
     return corpus.drop(text).join(found, key)
 
 
 def vector_search(vectors: DataFrame, key: str, column: str, query: DataFrame, k: int = 5) -> DataFrame:
     """The ``k`` vectors with the highest cosine to the one-row ``query`` frame, ties broken by key."""
-    wide = F.transform(F.col(column), lambda x: x.cast("double"))
-    probe = query.select(F.transform(F.col(column), lambda x: x.cast("double"))).scalar()
-    pairs = vectors.select(key, wide.alias("v"), probe.alias("q"))
 
-    def dot(a: str, c: str):
+    def wide(vector: str) -> Column:
+        return F.transform(vector, lambda x: x.cast("double"))
+
+    def dot(a: Column, c: Column) -> Column:
         return F.aggregate(F.zip_with(a, c, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
 
-    cosine = F.try_divide(dot("v", "q"), F.sqrt(dot("v", "v")) * F.sqrt(dot("q", "q")))
+    probe = query.select(wide(column).alias("v")).select(F.struct("v", F.sqrt(dot(F.col("v"), F.col("v"))).alias("norm")))
+    pairs = vectors.select(key, wide(column).alias("v"), probe.scalar().alias("q"))
+    v, q = F.col("v"), F.col("q")
+    cosine = F.try_divide(dot(v, q["v"]), F.sqrt(dot(v, v)) * q["norm"])
     return (pairs.select(key, F.round(cosine, 6).alias("cosine"))
             .orderBy(F.desc("cosine"), key).limit(k))
 

@@ -4,29 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.operators import arbitrage, devices as device_ops, prices as price_ops, telemetry as telemetry_ops
 from wattloom.session import small_side
-from wattloom.sources.layers import after_high_water, layer_path, upsert_partitions, write_full
+from wattloom.sources.layers import (
+    after_high_water, append, high_water, layer_path, read_if_present, upsert_partitions, write_full,
+)
 from wattloom.sources.price_documents import new_documents
 
 
-def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
 def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | None = None) -> dict[str, str]:
-    """Bring the layers below ``root`` up to date; running it again with the same input adds nothing.
+    """Bring the layers below ``root`` up to date; running it again with the same input changes nothing.
 
     ``incoming`` holds ``raw_day_ahead_prices``, ``telemetry``, ``customer_dim`` and
-    ``device_registry``. Prices and margins grow by what lies after their high-water marks. Quartiles
-    come from all prices so far unless ``bands`` fixes them.
+    ``device_registry``. Everything but the small device and price tables grows by what lies after its
+    high-water mark. Capacity and margins start again at the last stored hour, which may have been
+    incomplete, and replace its rows. Quartiles come from all prices so far unless ``bands`` fixes them.
     """
     spark = incoming["telemetry"].sparkSession
     path = {
@@ -42,33 +37,34 @@ def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | Non
     documents = incoming["raw_day_ahead_prices"]
     stored_documents = read_if_present(spark, path["raw_prices"])
     fresh = documents if stored_documents is None else new_documents(stored_documents, documents)
-    fresh.write.mode("append").partitionBy("fetch_date").parquet(path["raw_prices"])
+    append(fresh, path["raw_prices"])  # one small row per day
 
     stored_telemetry = read_if_present(spark, path["telemetry"])
-    readings = after_high_water(incoming["telemetry"], stored_telemetry, "ts")
-    readings.withColumn("day", F.to_date("ts")).write.mode("append").partitionBy("day").parquet(path["telemetry"])
+    readings = after_high_water(incoming["telemetry"], stored_telemetry, "ts", partition_column="day")
+    append(readings.withColumn("day", F.to_date("ts")), path["telemetry"], ("day",))
 
     write_full(device_ops.enrich_devices(incoming["device_registry"], incoming["customer_dim"]), path["devices"])
-    devices = spark.read.parquet(path["devices"])
+    devices = small_side(spark.read.parquet(path["devices"]))  # a stored table, counted from its footers
 
     stored_prices = read_if_present(spark, path["market_prices"])
     to_stage = after_high_water(spark.read.parquet(path["raw_prices"]), stored_prices, "fetch_date")
     staged = price_ops.stage_prices(to_stage).withColumn("price_day", F.to_date("start_time"))
-    if stored_prices is None:
-        write_full(staged, path["market_prices"], ("price_day",))
-    else:
-        upsert_partitions(staged, path["market_prices"], ["start_time"], "price_day")
+    upsert_partitions(staged, path["market_prices"], ["start_time"], "price_day")
     prices = spark.read.parquet(path["market_prices"])
     write_full(price_ops.price_mart(prices), path["price_mart"])
 
     telemetry = spark.read.parquet(path["telemetry"])
-    known_devices = small_side(devices)  # a stored table, so its size is read from footers
-    write_full(telemetry_ops.capacity_hourly(telemetry, known_devices), path["capacity"])
 
-    stored_margins = read_if_present(spark, path["arbitrage"])
-    mark = None if stored_margins is None else stored_margins.agg(F.max("hour")).first()[0]
-    due = telemetry if mark is None else telemetry.where(
-        F.col("ts") >= F.lit(mark).cast("timestamp_ntz") + F.expr("INTERVAL 1 HOUR"))
-    margins = arbitrage.arbitrage_margins(due, known_devices, prices, bands=bands).withColumn("day", F.to_date("hour"))
-    margins.write.mode("append").partitionBy("day").parquet(path["arbitrage"])
+    def since_last_hour(model: str) -> DataFrame:
+        """Readings from the model's last stored hour on; the day filter keeps older files closed."""
+        mark = high_water(read_if_present(spark, path[model]), "hour", "day")
+        if mark is None:
+            return telemetry
+        return telemetry.where((F.col("day") >= F.lit(mark.date())) & (F.col("ts") >= F.lit(mark).cast("timestamp_ntz")))
+
+    capacity = telemetry_ops.capacity_hourly(since_last_hour("capacity"), devices)
+    upsert_partitions(capacity.withColumn("day", F.to_date("hour")), path["capacity"], ["hour", "region"], "day")
+
+    margins = arbitrage.arbitrage_margins(since_last_hour("arbitrage"), devices, prices, bands=bands)
+    upsert_partitions(margins.withColumn("day", F.to_date("hour")), path["arbitrage"], ["hour", "customer_key"], "day")
     return path

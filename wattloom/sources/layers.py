@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,24 +17,51 @@ def layer_path(root: str, layer: str, name: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{name}"
 
 
+def balanced(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
+    """Spread rows for a partitioned write: few files per value, and a value with very many rows split."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_full(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Full-refresh materialization."""
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    balanced(df, partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+
+
+def append(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
+    balanced(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
 def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFrame:
     return spark.read.parquet(layer_path(root, layer, name))
 
 
-def after_high_water(source: DataFrame, target: DataFrame | None, column: str, floor: str = "1900-01-01") -> DataFrame:
+def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        return None
+
+
+def high_water(target: DataFrame | None, column: str, partition_column: str | None = None):
+    """Highest value of ``column``; with a partition column that rises with it, from the last partition only."""
+    if target is None:
+        return None
+    if partition_column:
+        last = target.agg(F.max(partition_column)).first()[0]
+        target = target.where(F.col(partition_column) == F.lit(last))
+    return target.agg(F.max(column)).first()[0]
+
+
+def after_high_water(source: DataFrame, target: DataFrame | None, column: str, floor: str = "1900-01-01",
+                     partition_column: str | None = None, inclusive: bool = False) -> DataFrame:
     """Source rows whose ``column`` lies after the highest value in the target.
 
     The mark is one value, read first, so the comparison reaches the scan as a pushed filter. An empty
     or absent target counts as ``floor``.
     """
-    mark = target.agg(F.max(column)).first()[0] if target is not None else None
-    kind = source.schema[column].dataType
-    return source.where(F.col(column) > F.lit(mark if mark is not None else floor).cast(kind))
+    mark = high_water(target, column, partition_column)
+    edge = F.lit(mark if mark is not None else floor).cast(source.schema[column].dataType)
+    return source.where(F.col(column) >= edge if inclusive else F.col(column) > edge)
 
 
 def late_rows(source: DataFrame, target: DataFrame, column: str, keys: list[str]) -> DataFrame:
@@ -57,18 +85,30 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFr
     return updates.unionByName(kept)
 
 
-def upsert_partitions(updates: DataFrame, path: str, keys: list[str], partition_column: str) -> None:
+def upsert_partitions(updates: DataFrame, path: str, keys: list[str], partition_column: str,
+                      listed_partitions: int = 10_000) -> None:
     """Upsert into a partitioned table, rewriting only the partitions that the updates touch.
 
     ``partition_column`` must follow from the key (the day of a key timestamp), so a key never moves
-    between partitions. The merged rows go through the scratch folder, because a table cannot be read
-    and overwritten in one job.
+    between partitions. The touched partitions are listed, so that the others are not even opened; a
+    list beyond ``listed_partitions`` turns into a semi join. The merged rows go through the scratch
+    folder, because a table cannot be read and overwritten in one job.
     """
     spark = updates.sparkSession
+    target = read_if_present(spark, path)
+    if target is None:
+        write_full(updates, path, (partition_column,))
+        return
     updates = store(updates, "updates")
-    target = spark.read.option("mergeSchema", "true").parquet(path)
-    touched = target.join(updates.select(partition_column).distinct(), partition_column, "left_semi")
-    merged = store(merge_rows(touched, updates, keys), "merged")
+    touched = updates.select(partition_column).distinct()
+    listed = [row[0] for row in touched.limit(listed_partitions + 1).collect()]
+    if not listed:
+        return
+    if len(listed) <= listed_partitions:
+        target = target.where(F.col(partition_column).isin(listed))
+    else:
+        target = target.join(touched, partition_column, "left_semi")
+    merged = balanced(store(merge_rows(target, updates, keys), "merged"), (partition_column,))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_column).parquet(path))
 

@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wattloom.functions.exact import total
-from wattloom.plans.refresh import read_if_present
-from wattloom.sources.layers import upsert_partitions, write_full
+from wattloom.sources.layers import upsert_partitions
 
 
-def file_stream(spark: SparkSession, path: str, schema: StructType, pattern: str = "*.parquet",
+def file_stream(spark: SparkSession, path: str, schema: StructType | str, pattern: str = "*.parquet",
                 files_per_batch: int | None = None) -> DataFrame:
     """New Parquet files of a folder whose names match the pattern."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
@@ -66,10 +65,7 @@ def upsert_available(stream: DataFrame, path: str, checkpoint: str, keys: list[s
         rest = [c for c in batch.columns if c not in keys]
         newest = (batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), newest_by).alias("last"))
                   .select(*keys, "last.*").select(*batch.columns))
-        if read_if_present(batch.sparkSession, path) is None:
-            write_full(newest, path, (partition_column,))
-        else:
-            upsert_partitions(newest, path, keys, partition_column)
+        upsert_partitions(newest, path, keys, partition_column)
 
     (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
