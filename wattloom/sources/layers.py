@@ -85,16 +85,28 @@ def merge_rows(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFr
     return updates.unionByName(kept)
 
 
+def newest_rows(df: DataFrame, keys: list[str], newest_by: str) -> DataFrame:
+    """One row per key: the one with the highest ``newest_by``."""
+    rest = [c for c in df.columns if c not in keys]
+    return (df.groupBy(*keys).agg(F.max_by(F.struct(*rest), newest_by).alias("newest"))
+            .select(*keys, "newest.*").select(*df.columns))
+
+
 def upsert_partitions(updates: DataFrame, path: str, keys: list[str], partition_column: str,
-                      listed_partitions: int = 10_000) -> None:
+                      newest_by: str | None = None, listed_partitions: int = 10_000) -> None:
     """Upsert into a partitioned table, rewriting only the partitions that the updates touch.
 
     ``partition_column`` must follow from the key (the day of a key timestamp), so a key never moves
     between partitions. The touched partitions are listed, so that the others are not even opened; a
     list beyond ``listed_partitions`` turns into a semi join. The merged rows go through the scratch
     folder, because a table cannot be read and overwritten in one job.
+
+    Updates win over stored rows. With ``newest_by`` the row with the higher value wins instead, so an
+    update that arrives late does not undo a newer one; the updates may then repeat a key.
     """
     spark = updates.sparkSession
+    if newest_by:
+        updates = newest_rows(updates, keys, newest_by)
     target = read_if_present(spark, path)
     if target is None:
         write_full(updates, path, (partition_column,))
@@ -108,7 +120,11 @@ def upsert_partitions(updates: DataFrame, path: str, keys: list[str], partition_
         target = target.where(F.col(partition_column).isin(listed))
     else:
         target = target.join(touched, partition_column, "left_semi")
-    merged = balanced(store(merge_rows(target, updates, keys), "merged"), (partition_column,))
+    if newest_by:
+        rows = newest_rows(updates.unionByName(align_to(target, updates)), keys, newest_by)
+    else:
+        rows = merge_rows(target, updates, keys)
+    merged = balanced(store(rows, "merged"), (partition_column,))
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_column).parquet(path))
 

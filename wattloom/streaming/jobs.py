@@ -59,13 +59,13 @@ def deduplicated_stream(readings: DataFrame, keys: list[str], delay: str = "2 ho
 
 def upsert_available(stream: DataFrame, path: str, checkpoint: str, keys: list[str], partition_column: str,
                      newest_by: str) -> None:
-    """Upsert each micro-batch by key. A replayed batch writes the same rows again, so nothing doubles."""
+    """Upsert each micro-batch by key; of several rows for a key the newest stays, whatever their order.
+
+    A replayed batch writes the same rows again, so nothing doubles.
+    """
 
     def apply(batch: DataFrame, _batch_id: int) -> None:
-        rest = [c for c in batch.columns if c not in keys]
-        newest = (batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), newest_by).alias("last"))
-                  .select(*keys, "last.*").select(*batch.columns))
-        upsert_partitions(newest, path, keys, partition_column)
+        upsert_partitions(batch, path, keys, partition_column, newest_by=newest_by)
 
     (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
      .trigger(availableNow=True).start().awaitTermination())
