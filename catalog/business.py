@@ -110,7 +110,7 @@ def topic_priority_shares(d):
     return service.topic_priority_shares(d["service_logs"])
 
 
-@query("B19", """
+@query("B19 F15", """
     SELECT log_id, customer_key, log_date, topic, priority FROM service_logs
     WHERE log_date <= DATE '2024-01-20' AND (resolution_date IS NULL OR resolution_date > DATE '2024-01-20')
       AND priority IN ('high', 'critical')""", "service_logs")

@@ -273,7 +273,7 @@ def soc_in_negative_hours(d):
     return questions.soc_in_negative_hours(d)
 
 
-@query("G6 A1 J4 J5 P8 P9 P11", "SELECT * EXCLUDE (grain) FROM margins WHERE grain = 'hour'", "margins")
+@query("G6 A1 J4 J5 P8 P9 P11 F8", "SELECT * EXCLUDE (grain) FROM margins WHERE grain = 'hour'", "margins")
 def arbitrage_hourly(d):
     return _margins(d)
 

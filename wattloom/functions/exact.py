@@ -1,7 +1,8 @@
 """Order-independent sums and means.
 
 A sum of doubles depends on the order in which tasks finish, and on re-runs after a lost executor.
-Readings and prices are therefore summed as decimals and turned into doubles at the end.
+Readings, prices and amounts are therefore summed as whole ten-thousandths: long arithmetic stays in
+generated code, where a sum of decimals would build an object per row.
 """
 
 from __future__ import annotations
@@ -9,21 +10,35 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-FIXED_POINT = "decimal(18,4)"
+PER_UNIT = 10_000
 
 
-def fixed(value: Column | str) -> Column:
-    value = F.col(value) if isinstance(value, str) else value
-    return value.cast(FIXED_POINT)
+def _column(value: Column | str) -> Column:
+    return F.col(value) if isinstance(value, str) else value
+
+
+def units(value: Column | str) -> Column:
+    """A value in whole ten-thousandths."""
+    return F.rint(_column(value).cast("double") * PER_UNIT).cast("bigint")
+
+
+def from_units(count: Column) -> Column:
+    """Ten-thousandths back to a decimal; meant for sums, once per group."""
+    return (count.cast("decimal(20,0)") * F.lit("0.0001").cast("decimal(4,4)")).cast("decimal(24,4)")
 
 
 def total(value: Column | str) -> Column:
-    return F.sum(fixed(value))
+    return from_units(F.sum(units(value)))
+
+
+def total_where(condition: Column, value: Column | str) -> Column:
+    """Sum over the rows that meet the condition, 0 if none does."""
+    return from_units(F.sum(F.when(condition, units(value)).otherwise(F.lit(0).cast("bigint"))))
 
 
 def mean(value: Column | str) -> Column:
     """Mean as a double, NULL for a group without values."""
-    return ratio(total(value), F.count(value))
+    return ratio(total(value), F.count(_column(value)))
 
 
 def ratio(part: Column, whole: Column) -> Column:

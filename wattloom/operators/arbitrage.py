@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.clock import hour_of
-from wattloom.functions.exact import fixed, mean, ratio, rounded, total
+from wattloom.functions.exact import mean, ratio, rounded, total, total_where
 from wattloom.functions.zones import DISPATCH_BANDS, battery_action, dispatch_bands, price_zone
 from wattloom.operators.prices import hourly_prices, per_kwh, price_bands
 from wattloom.operators.telemetry import device_hours, hourly_customer_totals
@@ -143,9 +143,9 @@ def participation_pay(margins: DataFrame) -> DataFrame:
 
     This is the programme's other pay model; it stands beside the split of the margin.
     """
-    saving = F.when(F.col("price_eur_mwh") < 0, F.abs(fixed("import_cost_eur"))).otherwise(0)
+    saving = total_where(F.col("price_eur_mwh") < 0, F.abs("import_cost_eur"))
     yearly = margins.groupBy("customer_key", F.year("hour").alias("year")).agg(
-        total("total_export_kwh").alias("export_kwh"), F.sum(saving).alias("saving"))
+        total("total_export_kwh").alias("export_kwh"), saving.alias("saving"))
     pay = F.col("export_kwh") * F.lit(PAY_EUR_PER_KWH).cast("decimal(4,2)")
     bonus = F.col("saving") * F.lit(NEGATIVE_PRICE_SHARE).cast("decimal(4,2)")
     return yearly.select(

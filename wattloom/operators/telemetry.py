@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattloom.functions.clock import days_covered, hour_of
-from wattloom.functions.exact import fixed, mean, ratio, rounded, total
+from wattloom.functions.exact import from_units, mean, ratio, rounded, total, total_where, units
 
 READINGS = ("solar_yield_kw", "battery_soc_pct", "heatpump_consumption_kw", "grid_import_export_kw")
 
@@ -32,13 +32,13 @@ def enrich_readings(readings: DataFrame, devices: DataFrame) -> DataFrame:
 
 def hourly_customer_totals(readings: DataFrame) -> DataFrame:
     """Sums and counts per hour and customer, from which means at any coarser grain follow exactly."""
-    grid = fixed("grid_import_export_kw")
+    grid = F.col("grid_import_export_kw")
     return (readings.groupBy(hour_of("ts").alias("hour"), "customer_key").agg(
         F.count("*").alias("readings"),
         *[total(name).alias(f"{name}_sum") for name in READINGS],
         *[F.count(name).alias(f"{name}_n") for name in READINGS],
-        F.sum(F.when(grid > 0, grid).otherwise(0)).alias("import_kwh"),
-        F.sum(F.when(grid < 0, F.abs(grid)).otherwise(0)).alias("export_kwh")))
+        total_where(grid > 0, grid).alias("import_kwh"),
+        total_where(grid < 0, F.abs(grid)).alias("export_kwh")))
 
 
 def mean_of(name: str) -> Column:
@@ -134,7 +134,7 @@ def full_cycles(readings: DataFrame, limit: int = MAX_CYCLES_PER_YEAR) -> DataFr
     its hours, instead of being sorted as a whole in one task, with the same result.
     """
     by_time = readings.where(F.col("battery_soc_pct").isNotNull()).select(
-        "customer_key", "ts", hour_of("ts").alias("hour"), fixed("battery_soc_pct").alias("soc"))
+        "customer_key", "ts", hour_of("ts").alias("hour"), units("battery_soc_pct").alias("soc"))
     inside = W.partitionBy("customer_key", "hour").orderBy("ts", "soc")
     steps = by_time.withColumn("step", F.abs(F.col("soc") - F.lag("soc").over(inside)))
     hours = steps.groupBy("customer_key", "hour").agg(
@@ -143,7 +143,7 @@ def full_cycles(readings: DataFrame, limit: int = MAX_CYCLES_PER_YEAR) -> DataFr
     across = W.partitionBy("customer_key").orderBy("hour")
     joined = hours.withColumn(
         "bridge", F.coalesce(F.abs(F.col("first.soc") - F.lag("last.soc").over(across)), F.lit(0)))
-    moved = F.sum(F.col("moved") + F.col("bridge"))
+    moved = from_units(F.sum(F.col("moved") + F.col("bridge")))
     return (joined.groupBy("customer_key", F.year("hour").alias("year"))
             .agg(ratio(moved, F.lit(200)).alias("full_cycles"))
             .withColumn("over_limit", F.col("full_cycles") > limit))
@@ -162,9 +162,9 @@ def demand_window_profile(readings: DataFrame) -> DataFrame:
 
 def self_consumption(readings: DataFrame) -> DataFrame:
     """Share of a device's solar yield per day that was not exported."""
-    grid = fixed("grid_import_export_kw")
+    grid = F.col("grid_import_export_kw")
     per_day = readings.groupBy("customer_key", F.to_date("ts").alias("day")).agg(
-        total("solar_yield_kw").alias("solar"), F.sum(F.when(grid < 0, F.abs(grid)).otherwise(0)).alias("exported"))
+        total("solar_yield_kw").alias("solar"), total_where(grid < 0, F.abs(grid)).alias("exported"))
     return per_day.where(F.col("solar") > 0).select(
         "customer_key", "day", F.col("solar").cast("double").alias("solar_kwh"),
         F.col("exported").cast("double").alias("export_kwh"),

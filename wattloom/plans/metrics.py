@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.functions.exact import ratio
+from wattloom.functions.exact import from_units, ratio
 
 Predicate = Callable[[Column], Column]
 
@@ -47,12 +47,16 @@ class Dimension:
 
 @dataclass(frozen=True)
 class Metric:
-    """``function`` is one of sum, count, avg, min, max, count_if over a SQL ``expression``."""
+    """``function`` is one of sum, count, avg, min, max, count_if over a SQL ``expression``.
+
+    ``in_units`` says that the expression counts ten-thousandths, so that sums of readings are exact.
+    """
     name: str
     entity: str
     function: str
     expression: str
     synonyms: tuple[str, ...] = ()
+    in_units: bool = False
 
     def states(self) -> list[Column]:
         """Partial aggregates that can be combined again after a join."""
@@ -64,20 +68,25 @@ class Metric:
     def combined(self) -> Column:
         state = F.col(self._state(0))
         if self.function == "avg":
-            result = ratio(F.sum(state), F.sum(self._state(1)))
+            result = ratio(self._whole(F.sum(state)), F.sum(self._state(1)))
         elif self.function in ("min", "max"):
             result = getattr(F, self.function)(state)
         else:
-            result = F.sum(state)
+            result = self._whole(F.sum(state))
         return result.alias(self.name)
 
     def direct(self) -> Column:
         """The metric over rows that carry its expression as ``_value_<name>``."""
         value = F.col(self.value_column)
         if self.function == "avg":
-            return ratio(F.sum(value), F.count(value)).alias(self.name)
+            return ratio(self._whole(F.sum(value)), F.count(value)).alias(self.name)
+        if self.function == "sum":
+            return self._whole(F.sum(value)).alias(self.name)
         return getattr(F, self.function)(value).alias(self.name)
 
+    def _whole(self, total: Column) -> Column:
+        return from_units(total) if self.in_units else total
+
     @property
     def value_column(self) -> str:
         return f"_value_{self.name}"

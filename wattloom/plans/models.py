@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
+from wattloom.functions.exact import PER_UNIT
 from wattloom.plans.metrics import Dimension, Entity, Link, Metric, SemanticModel
 
 Tables = Mapping[str, DataFrame]
@@ -15,6 +16,11 @@ def _dims(entity: str, *names: str) -> list[Dimension]:
     return [Dimension(n, entity, n) for n in names]
 
 
+def _exact(name: str, entity: str, function: str, column: str) -> Metric:
+    """Sum or mean of a double column, counted in ten-thousandths."""
+    return Metric(name, entity, function, f"cast(rint({column} * {PER_UNIT}) as bigint)", in_units=True)
+
+
 def sales_model(t: Tables) -> SemanticModel:
     return SemanticModel(
         name="sales",
@@ -144,14 +150,13 @@ def market_price_model(t: Tables) -> SemanticModel:
         links=[],
         dimensions=[*_dims("prices", "start_time", "end_time", "fetch_date"),
                     Dimension("price_day", "prices", "to_date(start_time)")],
-        metrics=[Metric("avg_price", "prices", "avg", "cast(price_eur_mwh as decimal(18,4))"),
+        metrics=[_exact("avg_price", "prices", "avg", "price_eur_mwh"),
                  Metric("max_price", "prices", "max", "price_eur_mwh"),
                  Metric("min_price", "prices", "min", "price_eur_mwh")])
 
 
 def telemetry_model(t: Tables) -> SemanticModel:
     """Readings link to the device table instead of carrying its columns, so they reduce before the join."""
-    reading = "cast({} as decimal(18,4))".format
     return SemanticModel(
         name="telemetry",
         entities=[Entity("telemetry", t["telemetry"], "ts",
@@ -162,9 +167,9 @@ def telemetry_model(t: Tables) -> SemanticModel:
                     Dimension("hour_of_day", "telemetry", "hour(ts)"),
                     *_dims("devices", "customer_key", "customer_name", "city", "region", "customer_type",
                            "is_vpp_enrolled")],
-        metrics=[Metric("avg_solar_yield", "telemetry", "avg", reading("solar_yield_kw")),
-                 Metric("total_solar_yield", "telemetry", "sum", reading("solar_yield_kw")),
-                 Metric("avg_battery_soc", "telemetry", "avg", reading("battery_soc_pct")),
-                 Metric("avg_heatpump_consumption", "telemetry", "avg", reading("heatpump_consumption_kw")),
-                 Metric("net_grid_flow", "telemetry", "sum", reading("grid_import_export_kw")),
+        metrics=[_exact("avg_solar_yield", "telemetry", "avg", "solar_yield_kw"),
+                 _exact("total_solar_yield", "telemetry", "sum", "solar_yield_kw"),
+                 _exact("avg_battery_soc", "telemetry", "avg", "battery_soc_pct"),
+                 _exact("avg_heatpump_consumption", "telemetry", "avg", "heatpump_consumption_kw"),
+                 _exact("net_grid_flow", "telemetry", "sum", "grid_import_export_kw"),
                  Metric("reading_count", "telemetry", "count", "ts")])
