@@ -307,17 +307,33 @@ def daily_customer_value(d):
     return arbitrage.daily_customer_value(_margins(d))
 
 
-@query("P12 J6 J7", """
+PLAN_SQL = """
     SELECT dispatch_zone, hour, d.customer_key, d.gateway_id, d.is_vpp_enrolled, price_eur_mwh, CAST(soc_min AS DOUBLE) AS soc_min,
            CAST(soc_max AS DOUBLE) AS soc_max, CAST(grid_min_kw AS DOUBLE) AS grid_min_kw,
            CAST(grid_max_kw AS DOUBLE) AS grid_max_kw
     FROM (SELECT d.*, h.hour, z.price_eur_mwh,
                  CASE WHEN NOT is_vpp_enrolled THEN 'NOT_ENROLLED' ELSE coalesce(price_zone, 'NO_PRICE_DATA') END AS dispatch_zone
-          FROM devices d CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '2024-01-29', TIMESTAMP '2024-01-30 23:00:00',
+          FROM devices d CROSS JOIN (SELECT unnest(generate_series(TIMESTAMP '{} 00:00:00', TIMESTAMP '{} 23:00:00',
                                                                    INTERVAL 1 HOUR)) AS hour) h
           LEFT JOIN zones z ON z.hour = h.hour WHERE has_battery) d
-    JOIN dispatch_bands USING (dispatch_zone)""", "devices zones dispatch_bands")
+    JOIN dispatch_bands USING (dispatch_zone)"""
+
+
+@query("P12 J6 J7", "SELECT dispatch_zone, customer_key, count(*) AS hours, min(hour) AS first_hour, max(hour) AS last_hour, "
+       "min(soc_min) AS soc_min, max(soc_max) AS soc_max, min(price_eur_mwh) AS lowest_price FROM ("
+       + PLAN_SQL.format("2024-01-01", "2024-01-31") + ") GROUP BY 1, 2", "devices zones dispatch_bands")
 def dispatch_plan(d):
+    """A month's plan: hours per device and zone, with the limits that apply."""
+    plan = arbitrage.dispatch_plan(d["devices"], d["market_prices"], _bands(d), "2024-01-01", "2024-01-31")
+    return plan.groupBy("dispatch_zone", "customer_key").agg(
+        F.count("*").alias("hours"), F.min("hour").alias("first_hour"), F.max("hour").alias("last_hour"),
+        F.min("soc_min").alias("soc_min"), F.max("soc_max").alias("soc_max"),
+        F.min("price_eur_mwh").alias("lowest_price"))
+
+
+@query("P12 J6 J7", PLAN_SQL.format("2024-01-29", "2024-01-30"), "devices zones dispatch_bands")
+def dispatch_plan_two_days(d):
+    """Every device and hour of the last priced day and the unpriced day after it."""
     return arbitrage.dispatch_plan(d["devices"], d["market_prices"], _bands(d), "2024-01-29", "2024-01-30")
 
 

@@ -178,4 +178,4 @@ def with_tables(sql: str, names: list[str]) -> str:
         add(name)
     if not ordered:
         return sql.strip()
-    return "WITH " + ",\n".join(f"{name} AS ({TABLES[name][1]})" for name in ordered) + "\n" + sql.strip()
+    return "WITH " + ",\n".join(f"{name} AS MATERIALIZED ({TABLES[name][1]})" for name in ordered) + "\n" + sql.strip()
