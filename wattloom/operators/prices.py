@@ -73,10 +73,10 @@ def hourly_prices(prices: DataFrame) -> DataFrame:
 
 
 def prices_between(prices: DataFrame, as_of: str, days: int) -> DataFrame:
-    """Intervals of the ``days`` days that end with ``as_of``."""
+    """Intervals of the ``days`` days that end with ``as_of``; a plain range, so it reaches the scan."""
     last = F.to_date(F.lit(as_of))
-    day = F.to_date("start_time")
-    return prices.where(day.between(F.date_sub(last, days - 1), last))
+    start, end = (day.cast("timestamp_ntz") for day in (F.date_sub(last, days - 1), F.date_add(last, 1)))
+    return prices.where((F.col("start_time") >= start) & (F.col("start_time") < end))
 
 
 def price_range_by_day(prices: DataFrame, as_of: str, days: int = 7) -> DataFrame:

@@ -25,9 +25,9 @@ def topic_priority_shares(tickets: DataFrame) -> DataFrame:
 
 def sentiment_trend(tickets: DataFrame, as_of: str, months: int = 6) -> DataFrame:
     last = F.trunc(F.to_date(F.lit(as_of)), "month")
-    month = month_of("log_date")
-    return (tickets.where(month.between(F.add_months(last, -(months - 1)), last))
-            .groupBy(month.alias("month"), "sentiment").agg(F.count("*").alias("tickets")))
+    recent = (F.col("log_date") >= F.add_months(last, -(months - 1))) & (F.col("log_date") < F.add_months(last, 1))
+    return (tickets.where(recent).groupBy(month_of("log_date").alias("month"), "sentiment")
+            .agg(F.count("*").alias("tickets")))
 
 
 def tagged_tickets(tickets: DataFrame) -> DataFrame:
