@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.texts import tokens
+from wattloom.session import store
 
 HEADING = r"(?m)^(?=#{1,6} )"
 
@@ -19,16 +22,18 @@ def sections(parsed: DataFrame) -> DataFrame:
             .withColumn("title", F.trim(heading)))
 
 
-def term_index(corpus: DataFrame, key: str, text: str, only: list[str] | None = None) -> DataFrame:
+def term_index(corpus: DataFrame, key: str, text: str) -> DataFrame:
     """Term counts per document with the document's length: the stored form that searches read.
 
     Terms are counted in the scan tasks before the shuffle. Write it sorted by term
-    (``write_term_index``), so a search reads only the row groups of its own terms. ``only`` keeps
-    just these terms, for a search without a stored index.
+    (``write_term_index``), so a search reads only the row groups of its own terms.
     """
+    return _term_counts(corpus, key, text, lambda words: words)
+
+
+def _term_counts(corpus: DataFrame, key: str, text: str, kept: Callable[[Column], Column]) -> DataFrame:
     words = corpus.select(F.col(key).alias("doc"), tokens(F.col(text)).alias("words"))
-    kept = F.filter("words", lambda word: word.isin(only)) if only is not None else F.col("words")
-    return (words.select("doc", F.size("words").alias("doc_length"), F.explode(kept).alias("term"))
+    return (words.select("doc", F.size("words").alias("doc_length"), F.explode(kept(F.col("words"))).alias("term"))
             .groupBy("doc", "doc_length", "term").agg(F.count("*").alias("tf")))
 
 
@@ -48,7 +53,7 @@ def bm25_search(index: DataFrame, stats: DataFrame, query_terms: list[str], k: i
     The terms become a filter on the index. The number of documents per term is a table of at most
     one row per query term, so it is broadcast; scores then add up per document.
     """
-    terms = sorted(set(query_terms))
+    terms = sorted(set(query_terms) - {""})
     hits = index.where(F.col("term").isin(terms))
     frequency = F.broadcast(hits.groupBy("term").agg(F.count("*").alias("df")))  # at most len(terms) rows
     scored = (hits.join(frequency, "term")
@@ -62,9 +67,18 @@ def bm25_search(index: DataFrame, stats: DataFrame, query_terms: list[str], k: i
 
 
 def search(corpus: DataFrame, key: str, text: str, query_terms: list[str], k: int = 5) -> DataFrame:
-    """Search a corpus without a stored index; every other column comes back as an attribute."""
-    index = term_index(corpus, key, text, only=sorted(set(query_terms)))
-    best = bm25_search(index, corpus_stats(corpus, text), query_terms, k)
+    """Search a corpus without a stored index; every other column comes back as an attribute.
+
+    The texts are cut into words once. What is left of them, the counts of the query's terms and one
+    marker row per document that carries its length, is stored, because ranking reads it three times.
+    """
+    terms = sorted(set(query_terms) - {""})
+    marker = F.array(F.lit(""))  # no word is empty
+    hits = store(_term_counts(corpus, key, text, lambda words: F.concat(
+        marker, F.filter(words, lambda word: word.isin(terms)))), "hits")
+    stats = hits.where(F.col("term") == "").agg(
+        F.count("*").alias("documents"), F.sum("doc_length").alias("total_length"))
+    best = bm25_search(hits, stats, terms, k)
     found = F.broadcast(best.withColumnRenamed("doc", key))  # at most k rows
     return corpus.drop(text).join(found, key)
 
