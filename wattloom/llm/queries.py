@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import mixing, packing
+from wattloom.llm import cascade, mixing, packing, warc
 from wattloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -21,7 +21,16 @@ def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op6_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op9_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cascade.judged(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_pack_sequences, op5_mix_sources)}
+    f.__name__: f for f in (op3_pack_sequences, op5_mix_sources, op6_warc_chain, op9_rule_cascade)}
 
-SQL: dict[str, str] = {"op5_mix_sources": mixing.SQL}
+SQL: dict[str, str] = {
+    "op5_mix_sources": mixing.SQL, "op6_warc_chain": warc.SQL, "op9_rule_cascade": cascade.SQL}
