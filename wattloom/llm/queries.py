@@ -7,16 +7,24 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import cascade, mixing, packing, warc
+from wattloom.llm import cascade, hidden_markov, line_crf, mixing, packing, syncmers, url_model, warc
 from wattloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op2_url_markov_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_model.judged(table(spark, sf_dir, "pages"))
+
+
 def op3_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+def op4_crf_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
@@ -25,12 +33,22 @@ def op6_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return syncmers.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.judged(table(spark, sf_dir, "documents"))
 
 
+def op10_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hidden_markov.score(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op3_pack_sequences, op5_mix_sources, op6_warc_chain, op9_rule_cascade)}
+    f.__name__: f for f in (
+        op2_url_markov_filter, op3_pack_sequences, op4_crf_quality, op5_mix_sources, op6_warc_chain, op7_closed_syncmers, op9_rule_cascade,
+        op10_hmm_score)}
 
 SQL: dict[str, str] = {
     "op5_mix_sources": mixing.SQL, "op6_warc_chain": warc.SQL, "op9_rule_cascade": cascade.SQL}
