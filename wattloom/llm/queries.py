@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import cascade, hidden_markov, line_crf, mixing, packing, syncmers, url_model, warc
+from wattloom.llm import cascade, hidden_markov, line_crf, lsh_forest, mixing, packing, syncmers, url_model, warc
 from wattloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -37,6 +37,10 @@ def op7_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return syncmers.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op8_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.near_duplicates(table(spark, sf_dir, "documents"), length=3, percent=85)
+
+
 def op9_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.judged(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_url_markov_filter, op3_pack_sequences, op4_crf_quality, op5_mix_sources, op6_warc_chain, op7_closed_syncmers, op9_rule_cascade,
+        op2_url_markov_filter, op3_pack_sequences, op4_crf_quality, op5_mix_sources, op6_warc_chain, op7_closed_syncmers, op8_lsh_forest, op9_rule_cascade,
         op10_hmm_score)}
 
 SQL: dict[str, str] = {
