@@ -7,12 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import cascade, hidden_markov, line_crf, lsh_forest, mixing, packing, syncmers, url_model, warc
+from wattloom.llm import cascade, hidden_markov, line_crf, line_dedup, lsh_forest, mixing, packing, syncmers, url_model, warc
 from wattloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+
+
 def op2_url_markov_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_model.judged(table(spark, sf_dir, "pages"))
 
@@ -51,7 +55,7 @@ def op10_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op2_url_markov_filter, op3_pack_sequences, op4_crf_quality, op5_mix_sources, op6_warc_chain, op7_closed_syncmers, op8_lsh_forest, op9_rule_cascade,
+        op1_line_dedup, op2_url_markov_filter, op3_pack_sequences, op4_crf_quality, op5_mix_sources, op6_warc_chain, op7_closed_syncmers, op8_lsh_forest, op9_rule_cascade,
         op10_hmm_score)}
 
 SQL: dict[str, str] = {
