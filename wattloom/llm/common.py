@@ -31,3 +31,10 @@ def remainder(key: Column, divisor: int) -> Column:
 def groups_for(rows: int, target: int) -> int:
     """So many hashed groups that each has about ``target`` rows."""
     return max(1, -(-rows // target))
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    while name in df.columns:
+        name += "_"
+    return name

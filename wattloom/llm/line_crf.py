@@ -176,8 +176,8 @@ def trained(docs: DataFrame, labels: DataFrame, learn_from: Column, sample_docs:
     return fitted([r["text"] for r in rows], good, shares[1] / (shares[0] + shares[1]))
 
 
-def classified(docs: DataFrame, crf: Crf | None) -> DataFrame:
-    """Every column of ``docs`` and a last one, ``_score``."""
+def classified(docs: DataFrame, crf: Crf | None, name: str = "_score") -> DataFrame:
+    """Every column of ``docs`` and a last one, the score."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,10 +185,10 @@ def classified(docs: DataFrame, crf: Crf | None) -> DataFrame:
             parts = [crf.scores(texts[i:i + DOCS_AT_ONCE]) if crf else np.full(len(texts[i:i + DOCS_AT_ONCE]), 0.5)
                      for i in range(0, len(texts), DOCS_AT_ONCE)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(parts) if parts else [], pa.float64())],
-                                             [*batch.schema.names, "_score"])
+                                             [*batch.schema.names, name])
 
     place = docs.columns.index("text")
-    return docs.mapInArrow(score, docs.select("*", F.lit(0.0).alias("_score")).schema)
+    return docs.mapInArrow(score, docs.select("*", F.lit(0.0).alias(name)).schema)
 
 
 def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
