@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.llm import line_crf, line_dedup, lsh_forest, mixing, packing
-from wattloom.llm.common import table
+from wattloom.llm.common import fresh, table
 from wattloom.llm.queries import VOCABULARY
 from wattloom.session import store
 
@@ -14,7 +14,8 @@ from wattloom.session import store
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line model accepts; it learns from every labelled document among them."""
     crf = line_crf.trained(docs, table(spark, sf_dir, "labels"), F.lit(True))
-    return line_crf.classified(docs, crf).where("_score >= 0.5").drop("_score")
+    score = fresh(docs, "_score")
+    return line_crf.classified(docs, crf, score).where(F.col(score) >= 0.5).drop(score)
 
 
 def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +25,9 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the smallest doc_id."""
-    kept = lsh_forest.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(store(kept, "pipeline"), docs["doc_id"].cast("long").eqNullSafe(F.col("_kept")), "left_semi")
+    key = fresh(docs, "_kept")
+    kept = lsh_forest.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(store(kept, "pipeline"), docs["doc_id"].cast("long").eqNullSafe(F.col(key)), "left_semi")
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
