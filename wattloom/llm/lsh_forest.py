@@ -7,8 +7,7 @@
    Regions of one class end here, which nearly all do.
 3. Neighbours in the sorted orders, those with the longest common prefix, are the first candidates: as a pair that is alike in more trees
    is likelier to be close, each class keeps the BEST partners that most trees name. Confirmed pairs give components.
-4. Regions that still hold several components are searched whole: only pairs across components whose signatures do not rule them out
-   are confirmed. A region above TILE classes is cut into tiles, of which each pair is one task's work, so none is capped.
+4. Regions that still hold several components are searched whole, for pairs across components that are alike. A region above TILE classes is cut into tiles, of which each pair is one task's work, so none is capped.
 
 Defined cases: a text with fewer words than a shingle is one shingle, all its words; texts without words, and nulls, have empty
 sets and are linked with nothing; a null doc_id never becomes a component's id unless all are null, and a row is kept if its
@@ -171,8 +170,13 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(exact, "a binary, b binary")
 
 
-def across(entries: DataFrame, labels: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """(a, b) in one region but in different components, unless their signatures rule the similarity out (by five deviations)."""
+def across(entries: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, depth: int) -> DataFrame:
+    """(a, b) that are alike, lie in one region and in different components; enough of them to join all that are alike.
+
+    A task that holds a region (or two tiles of one) compares signatures, which rule a pair out at five deviations, and
+    confirms the others on the full sets. A pair is looked at in the first tree that it shares, and not where links found before
+    in the task already join the two components, so a task gives fewer rows than it has components.
+    """
     wanted = percent / 100
     least = int(HASHES * (wanted - 5 * (wanted * (1 - wanted) / HASHES) ** 0.5))
     known = entries.select("tree", "prefix", "key").join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn(
@@ -183,24 +187,32 @@ def across(entries: DataFrame, labels: DataFrame, classes: DataFrame, percent: i
     placed = known.join(mixed_regions, ["tree", "prefix"]).withColumn("own", F.pmod(F.xxhash64("key"), F.col("tiles").cast("long")).cast("int"))
     tiled = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(
         "tree", "prefix", "key", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    signed = tiled.join(classes.select("key", "signature"), "key")
+    signed = tiled.join(classes.select("key", "signature"), "key").join(sets, "key")
 
-    def pairs(rows: pa.Table) -> pa.Table:
+    def links(rows: pa.Table) -> pa.Table:
         keys, labelled, own = rows["key"].to_pylist(), rows["label"].to_pylist(), np.array(rows["own"])
         number = {label: i for i, label in enumerate(dict.fromkeys(labelled))}
         label = np.array([number[x] for x in labelled])
         signs = np.stack([np.frombuffer(s.as_py(), np.uint32) for s in rows["signature"]])
-        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        members = [np.frombuffer(s.as_py(), np.uint64) for s in rows["members"]]
+        i, j, tree = rows["i"][0].as_py(), rows["j"][0].as_py(), rows["tree"][0].as_py()
         found = []
         for x in np.flatnonzero(own == i):
             others = np.flatnonzero((own == j) & (label != label[x]))
             if i == j:
                 others = others[others > x]
-            alike = others[(signs[others] == signs[x]).sum(1) >= least]
-            found += [(min(keys[x], keys[y]), max(keys[x], keys[y])) for y in alike]
+            same = signs[others] == signs[x]
+            alike = same.sum(1) >= least
+            shared = same[alike].reshape(-1, TREES, DEEPEST)[:, :, :depth].all(2).argmax(1)
+            for y in others[alike][shared == tree]:
+                if label[x] != label[y]:
+                    common = overlap(members[x], members[y])
+                    if 100 * common >= percent * (len(members[x]) + len(members[y]) - common):
+                        label[label == label[y]] = label[x]
+                        found.append((min(keys[x], keys[y]), max(keys[x], keys[y])))
         return pa.table({"a": pa.array([p[0] for p in found], pa.binary()), "b": pa.array([p[1] for p in found], pa.binary())})
 
-    return signed.groupBy("tree", "prefix", "i", "j").applyInArrow(pairs, "a binary, b binary").distinct()
+    return signed.groupBy("tree", "prefix", "i", "j").applyInArrow(links, "a binary, b binary")
 
 
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
@@ -214,7 +226,7 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     entries = store(every.join(shared.select("tree", "prefix"), ["tree", "prefix"], "left_semi"), "forest")
     sets = store(full_sets(texts, entries.select("key").distinct(), length), "forest")
     labels = store(components(confirmed(best_partners(neighbours(entries)), sets, percent)), "forest")
-    rest = store(confirmed(store(across(entries, labels, classes, percent), "forest"), sets, percent), "forest")
+    rest = store(across(entries, labels, classes, sets, percent, depth), "forest")
     if not rest.isEmpty():
         label_of = lambda side: labels.select(F.col("node").alias(side), F.col("label").alias(f"{side}_label"))
         bridges = rest.join(label_of("a"), "a", "left").join(label_of("b"), "b", "left").select(
