@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.session import store
+from wattloom.session import scratch_path, store
 
 STATES = 6
 TOP = 8192
@@ -41,7 +41,7 @@ WARM, WARM_BLOCKS, ROUNDS = 10, 12, 3
 BLOCK_DOCS, BLOCK_TOKENS = 2000, 1 << 20
 SLICE = 4096
 END = b""
-BLOCK = ("block long, hashes array<long>, suffixes binary, trained array<int>, codes binary, lengths binary, held binary, "
+BLOCK = ("block long, hashes array<long>, suffixes array<int>, trained array<int>, codes binary, lengths binary, held binary, "
          "doc_ids array<long>")
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
@@ -68,11 +68,11 @@ def coded(docs: DataFrame) -> DataFrame:
             names = list(words)
             row = {
                 "block": base + made, "hashes": [xxhash.xxh64_intdigest(w) - (1 << 63) for w in names],
-                "suffixes": np.array([zlib.crc32(w[-3:]) % HASHED for w in names], np.int32).tobytes(),
+                "suffixes": np.array([zlib.crc32(w[-3:]) % HASHED for w in names], np.int32),
                 "trained": np.bincount(every[train], minlength=len(names)).astype(np.int32), "codes": every.tobytes(),
                 "lengths": sizes.tobytes(), "held": np.array(held, np.uint8).tobytes(), "doc_ids": list(ids)}
             return pa.RecordBatch.from_pylist([row], schema=pa.schema([
-                ("block", pa.int64()), ("hashes", pa.list_(pa.int64())), ("suffixes", pa.binary()), ("trained", pa.list_(pa.int32())),
+                ("block", pa.int64()), ("hashes", pa.list_(pa.int64())), ("suffixes", pa.list_(pa.int32())), ("trained", pa.list_(pa.int32())),
                 ("codes", pa.binary()), ("lengths", pa.binary()), ("held", pa.binary()), ("doc_ids", pa.list_(pa.int64()))]))
 
         tokens = 0
@@ -106,8 +106,8 @@ class Model:
     emit: np.ndarray
 
 
-def classes_of(hashes: np.ndarray, suffixes: bytes, top: dict[int, int]) -> np.ndarray:
-    found = TOP + np.frombuffer(suffixes, np.int32)
+def classes_of(hashes: np.ndarray, suffixes: np.ndarray, top: dict[int, int]) -> np.ndarray:
+    found = TOP + suffixes
     for i, h in enumerate(hashes.tolist()):
         own = top.get(h)
         if own is not None:
@@ -171,18 +171,19 @@ def counted(blocks: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np
     size = STATES * (1 + STATES + CLASSES)
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size)
+        total, any_rows = np.zeros(size), False
         for batch in batches:
             for i in range(batch.num_rows):
+                any_rows = True
                 get = lambda name: batch.column(batch.schema.get_field_index(name))[i]  # noqa: E731, B023
                 lengths = np.frombuffer(get("lengths").as_py(), np.int32).astype(np.int64)
-                known = classes_of(get("hashes").values.to_numpy(), get("suffixes").as_py(), model.top)
+                known = classes_of(get("hashes").values.to_numpy(), get("suffixes").values.to_numpy(), model.top)
                 found = known[np.frombuffer(get("codes").as_py(), np.int32)]
                 train = ~np.frombuffer(get("held").as_py(), np.uint8).astype(bool)
                 rows, sizes = segments(found[np.repeat(train, lengths)], lengths[train])
                 for at in range(0, len(sizes), 8192):
                     total += np.concatenate([x.ravel() for x in expected(model, rows[at:at + 8192], sizes[at:at + 8192])])
-        parts = range(0, size, SLICE)
+        parts = range(0, size if any_rows else 0, SLICE)
         yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array(
             [total[p:p + SLICE].tobytes() for p in parts], pa.binary())], ["slice", "sums"])
 
@@ -225,10 +226,12 @@ def likelihoods(model: Model, found: np.ndarray, inside: np.ndarray, lengths: np
 
 
 def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
-    blocks = store(coded(docs), "hmm")
-    entries = blocks.select("block", F.posexplode(F.arrays_zip("hashes", "trained")).alias("code", "word")).select(
-        "block", "code", F.col("word.hashes").alias("hash"), F.col("word.trained").alias("trained"))
-    counts = store(entries.where("trained > 0").groupBy("hash").agg(F.sum("trained").alias("count")), "hmm")
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "hmm")
+    coded(docs).write.option("compression", "zstd").parquet(path)
+    blocks = spark.read.schema(BLOCK).parquet(path)
+    entries = blocks.select("block", F.posexplode(F.arrays_zip("hashes", "suffixes", "trained")).alias("code", "word")).select(
+        "block", "code", F.col("word.hashes").alias("hash"), F.col("word.suffixes").alias("suffix"), F.col("word.trained").alias("trained"))
+    counts = store(entries.where("trained > 0").groupBy("hash", "suffix").agg(F.sum("trained").alias("count")), "hmm")
     totals = counts.agg(F.sum("count"), F.count("*")).first()
     tokens, kinds = int(totals[0] or 0), int(totals[1] or 0)
     frequent = counts.orderBy(F.desc("count"), "hash").limit(TOP).collect()
@@ -237,8 +240,9 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
     share = np.zeros(CLASSES)
     share[:len(frequent)] = [r["count"] for r in frequent]
     rest_tokens, rest_kinds = np.zeros(HASHED), np.zeros(HASHED)
-    for row in class_totals(blocks, counts, top):
-        rest_tokens[row["class"]], rest_kinds[row["class"]] = row["tokens"], row["kinds"]
+    rest = counts.join(F.broadcast(counts.orderBy(F.desc("count"), "hash").limit(TOP).select("hash")), "hash", "left_anti")
+    for row in rest.groupBy("suffix").agg(F.sum("count").alias("tokens"), F.count("*").alias("kinds")).collect():  # HASHED rows at most
+        rest_tokens[row["suffix"]], rest_kinds[row["suffix"]] = row["tokens"], row["kinds"]
     share[TOP:] = rest_tokens
     share = (share + 1e-3) / (share + 1e-3).sum()
 
@@ -247,7 +251,7 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
     for i in range((warm + rounds) if tokens else 0):
         model = maximised(model, counted(blocks.where(F.col("block").isin(early)) if i < warm else blocks, model), share)
 
-    back = entries.join(counts, "hash").select(F.col("block").alias("home"), "code", "count")
+    back = entries.select("block", "code", "hash").join(counts.select("hash", "count"), "hash").select(F.col("block").alias("home"), "code", "count")
 
     def of_block(block: pa.Table, known: pa.Table) -> pa.Table:
         out = [rows_of(block.slice(i, 1), known) for i in range(block.num_rows)]
@@ -259,7 +263,7 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
         codes = np.frombuffer(get("codes").as_py(), np.int32)
         count = np.zeros(len(hashes))
         count[known["code"].to_numpy()] = known["count"].to_numpy()
-        found = classes_of(hashes, get("suffixes").as_py(), top)
+        found = classes_of(hashes, get("suffixes").values.to_numpy(), top)
         own = found - TOP
         inside = np.where(own < 0, 0.0, np.log10((count + 1) / (rest_tokens[own] + rest_kinds[own] + 1)))
         base = np.log10((count + 1) / (tokens + kinds + 1))
@@ -275,20 +279,3 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
     whole = blocks.select("block", "hashes", "suffixes", "codes", "lengths", "held", "doc_ids")
     return whole.groupBy("block").cogroup(back.groupBy("home")).applyInArrow(of_block, SCORES)
 
-
-def class_totals(blocks: DataFrame, counts: DataFrame, top: dict[int, int]) -> list:
-    """Training tokens and distinct training words of each hashed class; at most HASHED rows."""
-
-    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for hashes, suffixes, trained in zip(*(batch.column(i) for i in range(3))):
-                own, used = hashes.values.to_numpy(), trained.values.to_numpy()
-                kept = (used > 0) & ~np.isin(own, frequent)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(own[kept]), pa.array(np.frombuffer(suffixes.as_py(), np.int32)[kept]), pa.array(used[kept].astype(np.int64))],
-                    ["hash", "class", "trained"])
-
-    frequent = np.array(sorted(top), np.int64)
-    words = blocks.select("hashes", "suffixes", "trained").mapInArrow(classed, "hash long, class int, trained long")
-    return words.groupBy("hash", "class").agg(F.sum("trained").alias("trained")).groupBy("class").agg(
-        F.sum("trained").alias("tokens"), F.count("*").alias("kinds")).collect()
