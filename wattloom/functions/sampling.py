@@ -12,4 +12,6 @@ def percent_bucket(key: Column) -> Column:
 
 
 def gateway_id(customer_key: Column) -> Column:
-    return F.concat(F.lit("GW-"), F.lpad(customer_key.cast("string"), 5, "0"))
+    """Keys are padded to five digits and never cut."""
+    key = customer_key.cast("string")
+    return F.concat(F.lit("GW-"), F.when(F.length(key) > 5, key).otherwise(F.lpad(key, 5, "0")))

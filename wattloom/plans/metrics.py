@@ -71,6 +71,8 @@ class Metric:
             result = ratio(self._whole(F.sum(state)), F.sum(self._state(1)))
         elif self.function in ("min", "max"):
             result = getattr(F, self.function)(state)
+        elif self.function in ("count", "count_if"):
+            result = F.coalesce(F.sum(state), F.lit(0))  # no row is a count of 0
         else:
             result = self._whole(F.sum(state))
         return result.alias(self.name)

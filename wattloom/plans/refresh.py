@@ -8,10 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.operators import arbitrage, devices as device_ops, prices as price_ops, telemetry as telemetry_ops
-from wattloom.session import small_side
-from wattloom.sources.layers import (
-    after_high_water, append, high_water, layer_path, read_if_present, upsert_partitions, write_full,
-)
+from wattloom.session import small_side, store
+from wattloom.sources.layers import append, layer_path, read_if_present, unseen_rows, upsert_partitions, write_full
 from wattloom.sources.price_documents import new_documents
 
 
@@ -19,9 +17,9 @@ def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | Non
     """Bring the layers below ``root`` up to date; running it again with the same input changes nothing.
 
     ``incoming`` holds ``raw_day_ahead_prices``, ``telemetry``, ``customer_dim`` and
-    ``device_registry``. Everything but the small device and price tables grows by what lies after its
-    high-water mark. Capacity and margins start again at the last stored hour, which may have been
-    incomplete, and replace its rows. Quartiles come from all prices so far unless ``bands`` fixes them.
+    ``device_registry``. Readings and price documents are taken up by key, so late and back-dated ones count.
+    Capacity and margins are computed anew for the hours that new readings or new prices touch, from all stored
+    readings of those hours, and replace their rows. Quartiles come from all prices so far unless ``bands`` fixes them.
     """
     spark = incoming["telemetry"].sparkSession
     path = {
@@ -40,31 +38,33 @@ def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | Non
     append(fresh, path["raw_prices"])  # one small row per day
 
     stored_telemetry = read_if_present(spark, path["telemetry"])
-    readings = after_high_water(incoming["telemetry"], stored_telemetry, "ts", partition_column="day")
-    append(readings.withColumn("day", F.to_date("ts")), path["telemetry"], ("day",))
+    delivered = incoming["telemetry"].withColumn("day", F.to_date("ts"))
+    readings = store(unseen_rows(delivered, stored_telemetry, ["customer_key", "ts"], "day"), "readings")
+    append(readings, path["telemetry"], ("day",))
 
     write_full(device_ops.enrich_devices(incoming["device_registry"], incoming["customer_dim"]), path["devices"])
     devices = small_side(spark.read.parquet(path["devices"]))  # a stored table, counted from its footers
 
     stored_prices = read_if_present(spark, path["market_prices"])
-    to_stage = after_high_water(spark.read.parquet(path["raw_prices"]), stored_prices, "fetch_date")
-    staged = price_ops.stage_prices(to_stage).withColumn("price_day", F.to_date("start_time"))
+    to_stage = spark.read.parquet(path["raw_prices"])
+    if stored_prices is not None:
+        to_stage = to_stage.join(stored_prices.select("fetch_date").distinct(), "fetch_date", "left_anti")
+    staged = store(price_ops.stage_prices(to_stage).withColumn("price_day", F.to_date("start_time")), "staged")
     upsert_partitions(staged, path["market_prices"], ["start_time"], "price_day")
     prices = spark.read.parquet(path["market_prices"])
     write_full(price_ops.price_mart(prices), path["price_mart"])
 
     telemetry = spark.read.parquet(path["telemetry"])
 
-    def since_last_hour(model: str) -> DataFrame:
-        """Readings from the model's last stored hour on; the day filter keeps older files closed."""
-        mark = high_water(read_if_present(spark, path[model]), "hour", "day")
-        if mark is None:
-            return telemetry
-        return telemetry.where((F.col("day") >= F.lit(mark.date())) & (F.col("ts") >= F.lit(mark).cast("timestamp_ntz")))
+    hour_of = lambda column: F.date_trunc("hour", column).cast("timestamp_ntz").alias("_hour")
+    hours = store(readings.select(hour_of("ts")).union(staged.select(hour_of("start_time"))).distinct(), "hours")
+    days = hours.select(F.to_date("_hour").alias("day")).distinct()
+    touched = telemetry.join(days, "day", "left_semi").withColumn("_hour", hour_of("ts")).join(
+        hours, "_hour", "left_semi").drop("_hour")
 
-    capacity = telemetry_ops.capacity_hourly(since_last_hour("capacity"), devices)
+    capacity = telemetry_ops.capacity_hourly(touched, devices)
     upsert_partitions(capacity.withColumn("day", F.to_date("hour")), path["capacity"], ["hour", "region"], "day")
 
-    margins = arbitrage.arbitrage_margins(since_last_hour("arbitrage"), devices, prices, bands=bands)
+    margins = arbitrage.arbitrage_margins(touched, devices, prices, bands=bands)
     upsert_partitions(margins.withColumn("day", F.to_date("hour")), path["arbitrage"], ["hour", "customer_key"], "day")
     return path

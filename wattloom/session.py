@@ -38,6 +38,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     if not base:
         base = spark.conf.get("wattloom.scratch.dir", None)
         if not base:
+            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             base = tempfile.mkdtemp(prefix="wattloom-")
             spark.conf.set("wattloom.scratch.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -36,9 +36,12 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFra
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
+    """The stored table in the union of its files' layouts; None only where the path is absent, any other fault is raised."""
     try:
-        return spark.read.parquet(path)
-    except AnalysisException:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
@@ -72,6 +75,17 @@ def late_rows(source: DataFrame, target: DataFrame, column: str, keys: list[str]
     return behind.join(target.select(*keys), keys, "left_anti")
 
 
+def unseen_rows(source: DataFrame, target: DataFrame | None, keys: list[str], partition_column: str) -> DataFrame:
+    """Source rows whose key the target does not hold, however old they are.
+
+    Only the target's partitions that the source touches are read; ``partition_column`` must follow from the key.
+    """
+    if target is None:
+        return source
+    touched = target.join(source.select(partition_column).distinct(), partition_column, "left_semi")
+    return source.join(touched.select(*keys), keys, "left_anti")
+
+
 def align_to(df: DataFrame, wanted: DataFrame) -> DataFrame:
     """Give ``df`` the columns of ``wanted``: new ones as NULL, removed ones dropped."""
     have = set(df.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattloom.functions.clock import local_time, unix_to_utc
@@ -78,8 +78,10 @@ def missing_days(existing: DataFrame, as_of: str, window_days: int = 60) -> Data
 
 
 def new_documents(existing: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Incoming documents whose day is not present yet; running it twice adds nothing."""
-    return incoming.join(existing.select("fetch_date").distinct(), "fetch_date", "left_anti")
+    """One incoming document for each day that is not present yet, the last one fetched; running it twice adds nothing."""
+    last = Window.partitionBy("fetch_date").orderBy(F.col("fetch_timestamp").desc_nulls_last(), F.desc("raw_data"))
+    one = incoming.withColumn("_turn", F.row_number().over(last)).where("_turn = 1").drop("_turn")
+    return one.join(existing.select("fetch_date").distinct(), "fetch_date", "left_anti")
 
 
 def ingest_report(existing: DataFrame, incoming: DataFrame) -> DataFrame:
