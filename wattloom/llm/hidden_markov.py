@@ -259,11 +259,10 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
 
     def rows_of(block: pa.Table, known: pa.Table) -> pa.Table:
         get = lambda name: block[name][0]
-        hashes, lengths = get("hashes").values.to_numpy(), np.frombuffer(get("lengths").as_py(), np.int32).astype(np.int64)
-        codes = np.frombuffer(get("codes").as_py(), np.int32)
-        count = np.zeros(len(hashes))
+        lengths = np.frombuffer(get("lengths").as_py(), np.int32).astype(np.int64)
+        codes, found = np.frombuffer(get("codes").as_py(), np.int32), np.frombuffer(get("classes").as_py(), np.int32)
+        count = np.zeros(len(found))
         count[known["code"].to_numpy()] = known["count"].to_numpy()
-        found = classes_of(hashes, get("suffixes").values.to_numpy(), top)
         own = found - TOP
         inside = np.where(own < 0, 0.0, np.log10((count + 1) / (rest_tokens[own] + rest_kinds[own] + 1)))
         base = np.log10((count + 1) / (tokens + kinds + 1))
@@ -276,6 +275,12 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
             "base_score": pa.array(np.bincount(doc, weights=base[codes], minlength=len(lengths))),
             "score": pa.array(likelihoods(model, found[codes], inside[codes], lengths))})
 
-    whole = blocks.select("block", "hashes", "suffixes", "codes", "lengths", "held", "doc_ids")
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [classes_of(h.values.to_numpy(), s.values.to_numpy(), top).astype(np.int32).tobytes() for h, s in zip(*batch.columns[:2])]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), *batch.columns[2:]], ["classes", *batch.schema.names[2:]])
+
+    whole = blocks.select("hashes", "suffixes", "block", "codes", "lengths", "held", "doc_ids").mapInArrow(
+        classed, "classes binary, block long, codes binary, lengths binary, held binary, doc_ids array<long>")
     return whole.groupBy("block").cogroup(back.groupBy("home")).applyInArrow(of_block, SCORES)
 
