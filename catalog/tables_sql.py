@@ -33,7 +33,7 @@ TABLES: dict[str, tuple[str, str]] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY customer_key, product_key ORDER BY sale_id) AS rn FROM contracts)
         LEFT JOIN product_dim USING (product_key) WHERE rn = 1"""),
     "registry": ("customer_products product_dim", """
-        SELECT customer_key, 'GW-' || lpad(CAST(customer_key AS VARCHAR), greatest(5, length(CAST(customer_key AS VARCHAR))), '0') AS gateway_id, has_solar,
+        SELECT customer_key, 'GW-' || lpad(CAST(customer_key AS VARCHAR), greatest(5, length(CAST(customer_key AS VARCHAR)))::INTEGER, '0') AS gateway_id, has_solar,
                has_battery, has_heatpump, enrolled AS is_vpp_enrolled,
                CASE WHEN enrolled THEN CAST(first_acq + INTERVAL 30 DAY AS DATE) END AS enrollment_date
         FROM (SELECT *, has_battery AND CAST('0x' || substr(md5(CAST(customer_key AS VARCHAR)), 1, 8) AS BIGINT) % 100
@@ -52,7 +52,7 @@ TABLES: dict[str, tuple[str, str]] = {
         SELECT *, CAST(round(value * 100) AS BIGINT) AS cents,
                CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events"""),
     "telemetry": ("ev", """
-        SELECT ts, 'GW-' || lpad(CAST(user_id AS VARCHAR), greatest(5, length(CAST(user_id AS VARCHAR))), '0') AS gateway_id, user_id AS customer_key,
+        SELECT ts, 'GW-' || lpad(CAST(user_id AS VARCHAR), greatest(5, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS gateway_id, user_id AS customer_key,
                CAST(CASE WHEN hour(ts) BETWEEN 6 AND 20 THEN cents * 4 ELSE 0 END * 0.0001 AS DECIMAL(18,4))
                  AS solar_yield_kw,
                CAST(k AS DECIMAL(18,4)) AS battery_soc_pct,
