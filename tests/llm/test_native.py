@@ -46,6 +46,13 @@ def test_anchors_are_closed_syncmers(spark):
     assert len(row.found) == want
 
 
+def test_texts_without_a_closed_syncmer(spark):
+    docs = spark.createDataFrame([(i, f"a{i} b{i} c{i} d{i} e{i}") for i in range(60)], "doc_id long, text string")
+    found = syncmers.fingerprints(docs).collect()
+    assert len({r.fingerprint for r in found}) == 60
+    assert all(r.fingerprint and 0 <= r.near_edited <= 1 and r.near_next == 0 for r in found)
+
+
 def test_single_document_is_its_own_next(spark):
     (row,) = syncmers.fingerprints(spark.createDataFrame([(3, "abcd")], "doc_id long, text string")).collect()
     assert row.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and row.near_next == 1.0

@@ -8,7 +8,7 @@ hashes in text order. Likeness is the share of common anchors: twice their numbe
 Each document is put beside the next one by doc_id without a global sort: documents are dealt into ranges of doc_id, a window inside
 each range looks one row ahead, and a range's last document sees a copy of the first one of the next range.
 
-Defined cases: a null text is empty; texts with fewer than K characters have one anchor, the whole text, so two empty
+Defined cases: a null text is empty; texts with fewer than K characters, and those of whose k-mers none is closed, have one anchor, the whole text, so two empty
 texts are alike; null doc_ids come last; rows that share a doc_id go by a hash of their text; the last document's next one is the
 first, which with a single row is itself; an empty table gives no rows; other columns are not read.
 """
@@ -29,20 +29,27 @@ def units(text: Column) -> Column:
     return F.when(F.size(words) >= K, words).otherwise(F.array_remove(F.split(text, ""), ""))
 
 
-def anchors(hashes: Column, text: Column) -> Column:
-    """Hashes of the closed syncmers, in text order, from the units' hashes."""
+def anchors(hashes: Column) -> Column:
+    """Hashes of the closed syncmers, in text order, from the units' hashes; null for fewer than K units."""
     at = lambda i, d: F.get(hashes, i + d)
     closed = F.filter(F.sequence(F.lit(0), F.size(hashes) - K), lambda i: F.least(
         *[at(i, d) for d in range(1, K - 1)]) >= F.least(at(i, 0), at(i, K - 1)))
     short = lambda x: x.bitwiseAND(F.lit(0xFFFFFFFF).cast("long"))
     chosen = F.transform(closed, lambda i: short(F.xxhash64(*[at(i, d) for d in range(K)])))
-    return F.when(F.size(hashes) >= K, chosen).otherwise(F.array(short(F.xxhash64(text))))
+    return F.when(F.size(hashes) >= K, chosen)
+
+
+def whole_text(text: Column) -> Column:
+    """The one anchor of a text that is too short to have others."""
+    return F.array(F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF).cast("long")))
 
 
 def with_anchors(df: DataFrame, text: str, name: str) -> DataFrame:
     """``df`` with the anchors of a text column; each step is a column of its own so that none is computed twice."""
     hashed = df.withColumn("_units", units(F.col(text))).withColumn("_hashes", F.transform("_units", lambda u: F.xxhash64(u)))
-    return hashed.withColumn(name, anchors(F.col("_hashes"), F.col(text))).drop("_units", "_hashes")
+    chosen = hashed.withColumn("_chosen", anchors(F.col("_hashes")))
+    return chosen.withColumn(name, F.when(F.size("_chosen") > 0, F.col("_chosen")).otherwise(whole_text(F.col(text)))).drop(
+        "_units", "_hashes", "_chosen")
 
 
 def fingerprint(found: Column) -> Column:
