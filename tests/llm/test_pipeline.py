@@ -1,7 +1,5 @@
 from collections import defaultdict
 
-import pytest
-
 import corpus_pipeline
 from tests.llm.test_line_dedup import brute
 from wattloom.llm.common import table
@@ -10,7 +8,6 @@ from wattloom.session import store
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.xfail(reason="open: the line-dedup stage and this brute-force version differ on documents 56 and 180 of sf0.001; not yet known which is wrong")
 def test_stages_one_after_another(spark):
     docs = table(spark, SF, "documents")
     columns, seen = docs.columns, {}
