@@ -95,3 +95,16 @@ def test_nothing_to_learn_from(spark):
     (row,) = hm.score(docs).collect()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score) == (3, 0, 0, 0.0) and row.score <= 0
     assert hm.score(docs.limit(0)).count() == 0
+
+
+def test_every_round_sees_every_block(spark, monkeypatch):
+    seen, counted = [], hm.counted
+
+    def watched(blocks, model):
+        seen.append(blocks.count())
+        return counted(blocks, model)
+
+    monkeypatch.setattr(hm, "counted", watched)
+    docs = spark.createDataFrame([(i, f"w{i} the") for i in range(60)], "doc_id long, text string").repartition(20)
+    hm.score(docs, warm=2, rounds=1)
+    assert seen == [20] * 3

@@ -8,8 +8,7 @@ Steps, all over whole texts:
 1. Documents are coded once, block by block: a block's distinct words, and each text as numbers in them. No text is shuffled.
 2. Words are counted over all training documents: one row for each word and block is shuffled.
 3. Baum-Welch: tasks run scaled forward-backward over their blocks, and the expected counts are summed by slices of the table.
-   Training cuts texts into segments of SEGMENT tokens, all of which count. The first WARM rounds, which only find start values, run on the
-   first WARM_BLOCKS blocks; the ROUNDS rounds after them run over every block.
+   Training cuts texts into segments of SEGMENT tokens, all of which count. Each of the WARM + ROUNDS rounds runs over every block.
 4. Scoring: each block gets the counts of its own words back, and a scaled forward recursion over the whole text gives its exact likelihood.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id hashes as the empty text; repeated rows are scored one by
@@ -37,7 +36,7 @@ TOP = 8192
 HASHED = 8192
 CLASSES = TOP + HASHED
 SEGMENT = 64
-WARM, WARM_BLOCKS, ROUNDS = 10, 12, 3
+WARM, ROUNDS = 10, 3
 BLOCK_DOCS, BLOCK_TOKENS = 2000, 1 << 20
 SLICE = 4096
 END = b""
@@ -247,9 +246,8 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
     share = (share + 1e-3) / (share + 1e-3).sum()
 
     model = first_model(top, share)
-    early = [r[0] for r in blocks.select("block").orderBy("block").limit(WARM_BLOCKS).collect()]
-    for i in range((warm + rounds) if tokens else 0):
-        model = maximised(model, counted(blocks.where(F.col("block").isin(early)) if i < warm else blocks, model), share)
+    for _ in range((warm + rounds) if tokens else 0):
+        model = maximised(model, counted(blocks, model), share)
 
     back = entries.select("block", "code", "hash").join(counts.select("hash", "count"), "hash").select(F.col("block").alias("home"), "code", "count")
 
