@@ -108,3 +108,32 @@ def test_every_round_sees_every_block(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"w{i} the") for i in range(60)], "doc_id long, text string").repartition(20)
     hm.score(docs, warm=2, rounds=1)
     assert seen == [20] * 3
+
+
+def test_long_texts_are_one_chain(monkeypatch):
+    """Texts over several segments against one plain forward-backward each: moves over borders count, starts only at token 0."""
+    monkeypatch.setattr(hm, "CLASSES", 7)
+    monkeypatch.setattr(hm, "SEGMENT", 4)
+    m, draw = model(hm.STATES, 7), np.random.default_rng(3)
+    lengths = np.array([1, 9, 4, 8, 30, 5, 17, 3])
+    text = draw.integers(0, 7, lengths.sum())
+    want, at = (np.zeros(hm.STATES), np.zeros((hm.STATES,) * 2), np.zeros((hm.STATES, 7))), 0
+    for n in lengths:
+        row, at = text[at:at + n], at + n
+        ahead, back = [m.start * m.emit[row[0]]], [np.ones(hm.STATES)]
+        for x in row[1:]:
+            ahead.append((ahead[-1] @ m.move) * m.emit[x])
+        for x in row[1:][::-1]:
+            back.insert(0, m.move @ (m.emit[x] * back[0]))
+        total = ahead[-1].sum()
+        want[0][:] += ahead[0] * back[0] / total
+        for t in range(n):
+            want[2][:, row[t]] += ahead[t] * back[t] / total
+            if t + 1 < n:
+                want[1][:] += np.outer(ahead[t], m.emit[row[t + 1]] * back[t + 1]) * m.move / total
+    for rows in (2, 8192):
+        monkeypatch.setattr(hm, "ROWS", rows)
+        found = hm.expected_of_texts(m, text, lengths)
+        assert found[0].sum() == pytest.approx(len(lengths)) and found[1].sum() == pytest.approx((lengths - 1).sum())
+        for a, b in zip(found, want):
+            assert np.allclose(a, b)

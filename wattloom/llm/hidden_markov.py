@@ -8,7 +8,9 @@ Steps, all over whole texts:
 1. Documents are coded once, block by block: a block's distinct words, and each text as numbers in them. No text is shuffled.
 2. Words are counted over all training documents: one row for each word and block is shuffled.
 3. Baum-Welch: tasks run scaled forward-backward over their blocks, and the expected counts are summed by slices of the table.
-   Training cuts texts into segments of SEGMENT tokens, all of which count. Each of the WARM + ROUNDS rounds runs over every block.
+   The chain runs through each text as a whole and starts at its first token only. Work goes by segments of SEGMENT tokens: a segment's transfer
+   matrix carries the forward and backward vectors over it, so segments are worked side by side and a text's length costs no memory but its own.
+   Each of the WARM + ROUNDS rounds runs over every block.
 4. Scoring: each block gets the counts of its own words back, and a scaled forward recursion over the whole text gives its exact likelihood.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id hashes as the empty text; repeated rows are scored one by
@@ -36,6 +38,7 @@ TOP = 8192
 HASHED = 8192
 CLASSES = TOP + HASHED
 SEGMENT = 64
+ROWS = 8192
 WARM, ROUNDS = 10, 3
 BLOCK_DOCS, BLOCK_TOKENS = 2000, 1 << 20
 SLICE = 4096
@@ -123,45 +126,120 @@ def first_model(top: dict[int, int], share: np.ndarray, seed: int = 5) -> Model:
     return Model(top, np.full(STATES, 1 / STATES), move, emit / emit.sum(0))
 
 
-def segments(found: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Texts cut every SEGMENT tokens, as rows padded at their end, and how long each is; longest first."""
+def cut(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each segment of SEGMENT tokens starts, and how long it is, text by text."""
     parts = -(-lengths // SEGMENT)
     first = np.repeat(np.cumsum(lengths) - lengths, parts) + SEGMENT * (
         np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts))
-    size = np.minimum(SEGMENT, np.repeat(np.cumsum(lengths), parts) - first)
+    return first, np.minimum(SEGMENT, np.repeat(np.cumsum(lengths), parts) - first)
+
+
+def padded(found: np.ndarray, first: np.ndarray) -> np.ndarray:
+    return found[np.minimum(first[:, None] + np.arange(SEGMENT), max(len(found) - 1, 0))]
+
+
+def segments(found: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts cut every SEGMENT tokens, as rows padded at their end, and how long each is; longest first."""
+    first, size = cut(lengths)
     order = np.argsort(-size, kind="stable")
-    first, size = first[order], size[order]
-    at = np.minimum(first[:, None] + np.arange(SEGMENT), max(len(found) - 1, 0))
-    return found[at], size
+    return padded(found, first[order]), size[order]
 
 
-def expected(model: Model, rows: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of padded rows (longest first), by scaled forward-backward."""
+def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray | None = None, leave: np.ndarray | None = None,
+             opens: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions of padded rows (longest first), by scaled forward-backward.
+
+    ``enter`` is the forward vector before a row's first token, ``leave`` the backward vector after its last one, and ``opens`` says which rows
+    begin a text; without them each row is a text.
+    """
     count, steps = len(size), int(size[0]) if len(size) else 0
+    enter = np.broadcast_to(model.start, (count, STATES)) if enter is None else enter
+    leave = np.ones((count, STATES)) if leave is None else leave
     live = [int(np.searchsorted(-size, -t, side="left")) for t in range(steps + 1)]  # rows longer than t
     starts, moves, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES))
     seen = [model.emit[rows[:live[t], t]] for t in range(steps)]
     ahead, scales = [], []
-    state = np.broadcast_to(model.start, (count, STATES))
+    state = enter
     for t in range(steps):
         state = (state if t == 0 else state[:live[t]] @ model.move) * seen[t]
         scale = state.sum(1, keepdims=True) + 1e-300
         state = state / scale
         ahead.append(state)
         scales.append(scale)
-    back = np.ones((live[steps - 1] if steps else 0, STATES))
+    ending = [leave[live[t + 1]:live[t]] / ((ahead[t] * leave[:live[t]])[live[t + 1]:].sum(1, keepdims=True) + 1e-300) for t in range(steps)]
+    back = ending[-1] if steps else np.ones((0, STATES))
     for t in range(steps - 1, -1, -1):
         held = ahead[t] * back
         held /= held.sum(1, keepdims=True) + 1e-300
         for k in range(STATES):
             emits[k] += np.bincount(rows[:live[t], t], weights=held[:, k], minlength=CLASSES)
         if t == 0:
-            starts = held.sum(0)
+            starts = held.sum(0) if opens is None else held[opens].sum(0)
             break
         onward = seen[t] * back / scales[t]
         moves += model.move * (ahead[t - 1][:live[t]].T @ onward)
-        back = np.ones((live[t - 1], STATES))
-        back[:live[t]] = onward @ model.move.T
+        back = np.concatenate([onward @ model.move.T, ending[t - 1]])
+    return starts, moves, emits
+
+
+def transfers(model: Model, found: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For each segment, up to a factor, the matrix from the forward vector before its first token to the one at its last token."""
+    out = np.empty((len(size), STATES, STATES))
+    order = np.argsort(-size, kind="stable")
+    for begin in range(0, len(order), ROWS):
+        own = order[begin:begin + ROWS]
+        start, length = first[own], size[own]
+        made = np.eye(STATES) * model.emit[found[start]][:, None, :]
+        for t in range(1, int(length[0])):
+            n = int(np.searchsorted(-length, -t, side="left"))
+            step = (made[:n].reshape(-1, STATES) @ model.move).reshape(-1, STATES, STATES) * model.emit[found[start[:n] + t]][:, None, :]
+            made[:n] = step / (step.sum((1, 2), keepdims=True) + 1e-300)
+        out[own] = made / (made.sum((1, 2), keepdims=True) + 1e-300)
+    return out
+
+
+def carried(model: Model, found: np.ndarray, first: np.ndarray, size: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``expected`` needs at the segments' borders: (enter, leave), and the expected moves over the borders."""
+    enter, leave = np.tile(model.start, (len(size), 1)), np.ones((len(size), STATES))
+    moves = np.zeros((STATES, STATES))
+    over = np.flatnonzero(np.repeat(parts > 1, parts))  # segments of texts that have several
+    if not len(over):
+        return enter, leave, moves
+    through = transfers(model, found, first[over], size[over])
+    number = np.sort(parts[parts > 1])[::-1]
+    lengths = parts[parts > 1]
+    head = (np.cumsum(lengths) - lengths)[np.argsort(-lengths, kind="stable")]
+    live = np.searchsorted(-number, -np.arange(number[0] + 1), side="left")  # texts with more than s segments
+    ends = np.empty((len(over), STATES))
+    for s in range(number[0]):
+        at = head[:live[s]] + s
+        if s:
+            enter[over[at]] = ends[at - 1] @ model.move
+        state = np.einsum("ni,nij->nj", enter[over[at]], through[at])
+        ends[at] = state / (state.sum(1, keepdims=True) + 1e-300)
+    for s in range(number[0] - 1, 0, -1):
+        at = head[:live[s]] + s
+        inside = np.einsum("nij,nj->ni", through[at], leave[over[at]])
+        whole = ((ends[at - 1] @ model.move) * inside).sum(1, keepdims=True) + 1e-300
+        moves += model.move * (ends[at - 1].T @ (inside / whole))
+        before = inside @ model.move.T
+        leave[over[at - 1]] = before / (before.sum(1, keepdims=True) + 1e-300)
+    return enter, leave, moves
+
+
+def expected_of_texts(model: Model, found: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions of whole texts, however long."""
+    parts = -(-lengths // SEGMENT)
+    first, size = cut(lengths)
+    opens = np.zeros(len(size), bool)
+    opens[np.cumsum(parts) - parts] = True
+    enter, leave, moves = carried(model, found, first, size, parts)
+    starts, emits = np.zeros(STATES), np.zeros((STATES, CLASSES))
+    order = np.argsort(-size, kind="stable")
+    for begin in range(0, len(order), ROWS):
+        own = order[begin:begin + ROWS]
+        more = expected(model, padded(found, first[own]), size[own], enter[own], leave[own], opens[own])
+        starts, moves, emits = starts + more[0], moves + more[1], emits + more[2]
     return starts, moves, emits
 
 
@@ -179,9 +257,8 @@ def counted(blocks: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np
                 known = classes_of(get("hashes").values.to_numpy(), get("suffixes").values.to_numpy(), model.top)
                 found = known[np.frombuffer(get("codes").as_py(), np.int32)]
                 train = ~np.frombuffer(get("held").as_py(), np.uint8).astype(bool)
-                rows, sizes = segments(found[np.repeat(train, lengths)], lengths[train])
-                for at in range(0, len(sizes), 8192):
-                    total += np.concatenate([x.ravel() for x in expected(model, rows[at:at + 8192], sizes[at:at + 8192])])
+                if train.any():
+                    total += np.concatenate([x.ravel() for x in expected_of_texts(model, found[np.repeat(train, lengths)], lengths[train])])
         parts = range(0, size if any_rows else 0, SLICE)
         yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array(
             [total[p:p + SLICE].tobytes() for p in parts], pa.binary())], ["slice", "sums"])
