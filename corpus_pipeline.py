@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.llm import line_crf, line_dedup, lsh_forest, mixing, packing
-from wattloom.llm.common import fresh, table
+from wattloom.llm.common import fresh, numbered, table
 from wattloom.llm.queries import VOCABULARY
 from wattloom.session import store
 
@@ -24,10 +24,11 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the smallest doc_id."""
-    key = fresh(docs, "_kept")
-    kept = lsh_forest.near_duplicates(docs).where("kept").select(F.col("doc_id").alias(key)).distinct()
-    return docs.join(store(kept, "pipeline"), docs["doc_id"].cast("long").eqNullSafe(F.col(key)), "left_semi")
+    """One row of each group of near-duplicates: the smallest doc_id, of several rows with it the first as read; no doc_id comes last."""
+    row, key = fresh(docs, "_row"), fresh(docs, "_kept")
+    rows = numbered(docs, row, nulls_last=True)
+    kept = lsh_forest.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias(key))
+    return rows.join(store(kept, "pipeline"), F.col(row) == F.col(key), "left_semi").drop(row)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -36,3 +36,21 @@ def test_stages_one_after_another(spark):
             assert offset == at
             at += length
         assert at <= 2048
+
+
+def test_rows_that_share_a_doc_id_or_have_none_are_decided_one_by_one(spark):
+    rows = [(1, "alpha beta gamma"), (None, "alpha beta gamma\ndelta epsilon"), (None, "only this line"), (None, "alpha beta gamma"),
+            (7, "zeta eta\ntheta iota"), (7, "kappa lambda\nzeta eta"), (7, "zeta eta\ntheta iota"), (8, None), (8, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = [tuple(r) for r in corpus_pipeline.fresh_lines(spark, docs, SF).collect()]
+    key = lambda r: (r[0] or 0, r[1] or "", r[1] is None)
+    assert sorted(found, key=key) == sorted([
+        (None, "alpha beta gamma\ndelta epsilon"), (None, "only this line"), (7, "zeta eta\ntheta iota"), (7, "kappa lambda"), (8, None), (8, "")], key=key)
+
+
+def test_one_row_of_each_group_stays(spark):
+    same, other = " ".join(f"w{i}" for i in range(60)), " ".join(f"v{i}" for i in range(60))
+    rows = [(5, same), (5, same), (3, same), (3, same), (None, same), (None, other), (None, other), (None, "a single one"), (9, ""), (9, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    found = [tuple(r) for r in corpus_pipeline.one_of_each(spark, docs, SF).collect()]
+    assert sorted(found, key=str) == sorted([(3, same), (None, other), (None, "a single one"), (9, ""), (9, None)], key=str)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattloom.session import store
+
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -38,3 +40,12 @@ def fresh(df: DataFrame, name: str) -> str:
     while name in df.columns:
         name += "_"
     return name
+
+
+def numbered(docs: DataFrame, name: str, nulls_last: bool = False) -> DataFrame:
+    """``docs`` stored with a row number in column ``name``: unique, in the order of doc_id. Rows that share a doc_id are numbered as they are read."""
+    read = fresh(docs, "_read")
+    own = F.col("doc_id").cast("long")
+    order = (own.asc_nulls_last() if nulls_last else own.asc_nulls_first(), F.col(read))
+    placed = docs.withColumn(read, F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    return store(placed.drop(read).withColumn(name, F.monotonically_increasing_id()), "rows")
