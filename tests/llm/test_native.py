@@ -132,3 +132,21 @@ def test_urls_without_rows_or_labels(spark):
     assert url_model.judged(empty).count() == 0
     one = url_model.judged(spark.createDataFrame([(1, "http://a.org/x")], "page_id long, url string")).collect()
     assert [(r.verdict, r.score) for r in one] == [("allow", 0.0)]
+
+
+def test_whole_urls_are_modelled(spark):
+    """Query, fragment, scheme and digits count: urls that differ only there are judged apart, each by the plain model of the whole url."""
+    urls = [f"http://h{i % 7}.example.{tld}/en/{i}?{mark}={i}" for i in range(80) for tld, mark in (("com", "good"), ("net", "x"))]
+    urls += [f"https://shop.net/{lang}/{i}?spam=1#ad" for i in range(40) for lang in ("es", "fr")]
+    bare = "http://a.org/p/"
+    urls += [bare, bare + "?good=1", bare + "?spam=1#ad", bare + "1", bare + "7", "no scheme ?spam=1", None]
+    docs = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {urls[r.page_id]: r for r in url_model.judged(docs).collect()}
+    said = {u: plain(u)[3] for u in urls if plain(u)[3]}
+    hashed = dict(map(tuple, spark.createDataFrame([(u,) for u in said], "c string").selectExpr("c", "pmod(xxhash64(c), 5)").collect()))
+    kinds = {kind: Counter(u for u, s in said.items() if s == kind and hashed[u] != 0) for kind in ("allow", "block")}
+    for url, r in found.items():
+        want = (log_p(kinds["allow"], url) - log_p(kinds["block"], url)) / len(url) if url else 0.0
+        assert r.score == pytest.approx(want, abs=1e-6)
+    assert found[bare + "?good=1"].score > found[bare + "?spam=1#ad"].score
+    assert len({found[bare + x].score for x in ("", "1", "7", "?good=1", "?spam=1#ad")}) == 5

@@ -5,11 +5,11 @@ probability after up to ORDER characters before it. Witten-Bell smoothing mixes
 the difference of the two log-likelihoods over the length. The threshold is calibrated on labelled URLs that took no part in the
 counts: the score at which the shares of wrongly blocked and wrongly allowed ones are least in sum.
 
-All of it is DataFrame functions. The characters modelled are host and path with digits made equal; equal strings
-are counted and scored once. A probability is kept as its change from the next shorter order, so that a string's log-likelihood is
+All of it is DataFrame functions. The characters modelled are those of the whole url as it stands; only the rules read host and path. Equal
+urls are counted and scored once. A probability is kept as its change from the next shorter order, so that a string's log-likelihood is
 a plain sum over joined rows: the change of an observed continuation, the discount of a context that never saw it, nothing for an unseen context.
 
-Defined cases: a null url, or one without ://, has an empty host and path, fits no rule and scores as the empty string (0, no
+Defined cases: a null url, or one without ://, has an empty host and path and fits no rule; a null url scores as the empty string (0, no
 difference); without labelled URLs of one kind the threshold is 0 and the missing model says nothing; repeated
 rows are judged one by one; other columns are not read.
 """
@@ -115,15 +115,14 @@ def threshold(labelled: DataFrame) -> float:
 def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> DataFrame:
     host, path = split_url(F.col("url"))
     rule, said = rule_for(rules)
-    parts = pages.select("page_id", host.alias("host"), path.alias("path")).withColumn("rule", rule).withColumn("said", said)
-    chars = F.translate(F.concat("host", "path"), "123456789", "000000000")
-    strings = store(parts.groupBy(chars.alias("chars"), "said").agg(F.count("*").alias("urls")), "urls")
+    parts = pages.select("page_id", F.coalesce("url", F.lit("")).alias("chars"), host.alias("host"), path.alias("path")).withColumn(
+        "rule", rule).withColumn("said", said)
+    strings = store(parts.groupBy("chars", "said").agg(F.count("*").alias("urls")), "urls")
     labelled = strings.where("said is not null").withColumnRenamed("said", "kind")
     held = F.pmod(F.xxhash64("chars"), F.lit(HELD_OUT)) == 0
     fitted = model(labelled.where(~held))
     scores = store(scored(strings.select("chars").distinct(), fitted), "urls")
     cut = threshold(labelled.where(held).join(scores, "chars"))
-    keyed = parts.withColumn("chars", chars)
     verdict = F.coalesce(F.col("said"), F.when(F.coalesce("score", F.lit(0.0)) >= F.lit(cut), "allow").otherwise("block"))
-    return keyed.join(scores, "chars", "left").select(
+    return parts.join(scores, "chars", "left").select(
         "page_id", "host", "path", "rule", verdict.alias("verdict"), F.coalesce("score", F.lit(0.0)).alias("score"))
