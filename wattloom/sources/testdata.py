@@ -18,7 +18,6 @@ from wattloom.operators.prices import price_mart, stage_prices
 
 # How the test tables play the domain's roles.
 SOLAR, HEATPUMP, BATTERY = "PROMO", "ECONOMY", "%widget%"
-PRICES_END = "2024-01-30 00:00:00"
 
 # Layout of the given files. Naming it spares a job per table that would infer it.
 LAYOUTS = {
@@ -135,8 +134,8 @@ def sales_fact(d: Domain) -> DataFrame:
 
 @table
 def contracts(d: Domain) -> DataFrame:
-    """One contract per order: its first line."""
-    return _contract_lines(d).where(F.col("l_linenumber") == 1).select(
+    """One contract per order line."""
+    return _contract_lines(d).select(
         F.col("l_orderkey").alias("sale_id"), F.to_date("o_orderdate").alias("date"),
         F.col("o_custkey").alias("customer_key"), F.col("l_partkey").alias("product_key"),
         F.when(F.col("o_orderstatus") == "P", "Inactive").otherwise("Active").alias("status"))
@@ -180,10 +179,9 @@ def telemetry(d: Domain) -> DataFrame:
 
 @table
 def price_slots(d: Domain) -> DataFrame:
-    """Prices per quarter hour, from events before 30 January 2024; cheaper around noon."""
+    """Prices per quarter hour, from all events; cheaper around noon."""
     slot = (F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 900) * 900).cast("bigint")
-    early = _event_columns(d).where(F.col("ts") < F.lit(PRICES_END).cast("timestamp_ntz"))
-    per_slot = early.groupBy(slot.alias("unix_seconds")).agg(F.expr("sum(cents) div count(*)").alias("mean_cents"))
+    per_slot = _event_columns(d).groupBy(slot.alias("unix_seconds")).agg(F.expr("sum(cents) div count(*)").alias("mean_cents"))
     discount = F.when(F.hour(unix_to_utc("unix_seconds")).isin(12, 13), 7000).otherwise(1000)
     return per_slot.select("unix_seconds", ((F.col("mean_cents") - discount) / 100).cast("double").alias("price"))
 
