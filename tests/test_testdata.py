@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import catalog.all_queries  # noqa: F401  (registers the queries)
+from catalog.registry import run
 from wattloom.sources.testdata import LAYOUTS, Domain
 
 
@@ -28,3 +30,10 @@ def test_every_event_is_a_price(spark, tmp_path):
     days = [dt.datetime(2024, 1, 29, 23, 50), dt.datetime(2024, 1, 30), dt.datetime(2025, 6, 1, 8)]
     d = domain(spark, tmp_path, events=[(i, ts, 1, "click", 20.0, '{"k": 1}') for i, ts in enumerate(days)])
     assert d["price_slots"].count() == 3
+
+
+def test_ticket_search_finds_later_turns(spark, tmp_path):
+    turns = [(1, 0, "user", "hello there"), (1, 1, "assistant", "battery is broken"), (1, 2, "user", "my battery is broken"), (2, 0, "user", "a battery")]
+    domain(spark, tmp_path, conversations=turns, benchmark=[(0, "broken battery")])
+    found = run("ticket_search", spark, str(tmp_path)).collect()
+    assert [(r.conv_id, r.turn) for r in found] == [(1, 2), (2, 0)]
