@@ -11,7 +11,8 @@ TABLES: dict[str, tuple[str, str]] = {
                r_name AS state, n_regionkey AS region_key
         FROM customer JOIN places ON c_nationkey = n_nationkey"""),
     "product_dim": ("", """
-        SELECT p_partkey AS product_key, p_name AS product_name, p_type AS category_name, p_brand AS vertical,
+        SELECT p_partkey AS product_key, p_name AS product_name, p_brand AS vertical,
+               CASE WHEN p_type IN ('PROMO', 'ECONOMY') AND p_size > 3 THEN p_type || ' PARTS' ELSE p_type END AS category_name,
                CAST(p_retailprice AS DECIMAL(18,2)) AS capex_eur, CAST(p_size AS DECIMAL(18,2)) AS opex_eur_year
         FROM part"""),
     "vendor_dim": ("places", """
@@ -25,9 +26,9 @@ TABLES: dict[str, tuple[str, str]] = {
                  AS amount, CAST(l_quantity AS BIGINT) AS units
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
     "contracts": ("", """
-        SELECT l_orderkey AS sale_id, CAST(o_orderdate AS DATE) AS date, o_custkey AS customer_key,
+        SELECT l_orderkey * 8 + l_linenumber AS sale_id, CAST(o_orderdate AS DATE) AS date, o_custkey AS customer_key,
                l_partkey AS product_key, CASE WHEN o_orderstatus = 'P' THEN 'Inactive' ELSE 'Active' END AS status
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1"""),
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
     "customer_products": ("contracts product_dim", """
         SELECT customer_key, product_key, category_name, date AS acquisition_date, status
         FROM (SELECT *, row_number() OVER (PARTITION BY customer_key, product_key ORDER BY sale_id) AS rn FROM contracts)
@@ -39,7 +40,7 @@ TABLES: dict[str, tuple[str, str]] = {
         FROM (SELECT *, has_battery AND CAST('0x' || substr(md5(CAST(customer_key AS VARCHAR)), 1, 8) AS BIGINT) % 100
                      < 90 AS enrolled
               FROM (SELECT c.customer_key, bool_or(c.category_name = 'PROMO') AS has_solar,
-                           bool_or(p.product_name LIKE '%widget%') AS has_battery,
+                           bool_or(p.product_name LIKE '%red widget%') AS has_battery,
                            bool_or(c.category_name = 'ECONOMY') AS has_heatpump, min(acquisition_date) AS first_acq
                     FROM customer_products c LEFT JOIN product_dim p USING (product_key)
                     WHERE status = 'Active' GROUP BY c.customer_key))
@@ -67,7 +68,8 @@ TABLES: dict[str, tuple[str, str]] = {
                  AS price_eur_mwh
         FROM (SELECT CAST(floor(epoch(ts)) AS BIGINT) // 900 * 900 AS slot,
                      CAST(sum(cents) AS BIGINT) // count(*) AS mean_cents
-              FROM ev WHERE ts < TIMESTAMP '2024-01-30' GROUP BY 1)"""),
+              FROM ev GROUP BY 1)
+        WHERE CAST('0x' || substr(md5(CAST(slot // 3600 AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 5"""),
     "market_prices": ("price_slots", """
         SELECT CAST(start_time AS DATE) AS fetch_date, start_time, start_time + INTERVAL 15 MINUTE AS end_time,
                price_eur_mwh, unix_seconds FROM price_slots"""),

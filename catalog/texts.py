@@ -38,7 +38,6 @@ def bm25_sql(corpus: str, key: str, text: str, columns: str = "", k: int = 5) ->
 
 
 ENERGY_DOCS = "(SELECT * FROM parsed_content WHERE relative_path ILIKE '%/energy/%')"
-FIRST_TURNS = "(SELECT * FROM ticket_texts WHERE turn = 0)"
 
 
 @query("R2 S8 P5 F14", r"""
@@ -82,7 +81,7 @@ def document_search(d):
     return search.search(d["parsed_content"], "doc_id", "content", _question(d), k=10)
 
 
-@query("R5", bm25_sql(FIRST_TURNS, "log_id", "description", "conv_id, turn,"), "ticket_texts")
+@query("R5", bm25_sql("ticket_texts", "log_id", "description", "conv_id, turn,"), "ticket_texts")
 def ticket_search(d):
     return search.search(d["ticket_texts"], "log_id", "description", _question(d))
 

@@ -28,8 +28,8 @@ def test_device_registry_from_ownership(spark):
 
 
 def test_gateway_of_a_long_key(spark):
-    keys = spark.createDataFrame([(7,), (123456,)], "k long")
-    assert [r[0] for r in keys.select(gateway_id(F.col("k"))).collect()] == ["GW-00007", "GW-12345"]
+    keys = spark.createDataFrame([(7,), (123456,), (7_654_321,)], "k long")
+    assert [r[0] for r in keys.select(gateway_id(F.col("k"))).collect()] == ["GW-00007", "GW-123456", "GW-7654321"]
 
 
 def test_ownership_sets(spark):

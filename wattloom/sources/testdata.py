@@ -12,12 +12,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.functions.clock import unix_to_utc
-from wattloom.functions.sampling import gateway_id
+from wattloom.functions.sampling import gateway_id, percent_bucket
 from wattloom.operators import devices as device_ops
 from wattloom.operators.prices import price_mart, stage_prices
 
 # How the test tables play the domain's roles.
-SOLAR, HEATPUMP, BATTERY = "PROMO", "ECONOMY", "%widget%"
+SOLAR, HEATPUMP, BATTERY = "PROMO", "ECONOMY", "%red widget%"
+HARDWARE_SIZE = 3
+HOURS_WITHOUT_PRICE_PERCENT = 5
 
 # Layout of the given files. Naming it spares a job per table that would infer it.
 LAYOUTS = {
@@ -98,9 +100,12 @@ def customer_dim(d: Domain) -> DataFrame:
 
 @table
 def product_dim(d: Domain) -> DataFrame:
+    """Of the two hardware categories, only small parts are whole devices."""
+    parts = F.col("p_type").isin(SOLAR, HEATPUMP) & (F.col("p_size") > HARDWARE_SIZE)
+    category = F.when(parts, F.concat("p_type", F.lit(" PARTS"))).otherwise(F.col("p_type"))
     return d.source("part").select(
-        F.col("p_partkey").alias("product_key"), F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category_name"), F.col("p_brand").alias("vertical"),
+        F.col("p_partkey").alias("product_key"), F.col("p_name").alias("product_name"), category.alias("category_name"),
+        F.col("p_brand").alias("vertical"),
         money("p_retailprice").alias("capex_eur"), money("p_size").alias("opex_eur_year"))
 
 
@@ -136,7 +141,7 @@ def sales_fact(d: Domain) -> DataFrame:
 def contracts(d: Domain) -> DataFrame:
     """One contract per order line."""
     return _contract_lines(d).select(
-        F.col("l_orderkey").alias("sale_id"), F.to_date("o_orderdate").alias("date"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("sale_id"), F.to_date("o_orderdate").alias("date"),
         F.col("o_custkey").alias("customer_key"), F.col("l_partkey").alias("product_key"),
         F.when(F.col("o_orderstatus") == "P", "Inactive").otherwise("Active").alias("status"))
 
@@ -179,11 +184,12 @@ def telemetry(d: Domain) -> DataFrame:
 
 @table
 def price_slots(d: Domain) -> DataFrame:
-    """Prices per quarter hour, from all events; cheaper around noon."""
+    """Prices per quarter hour, from all events; cheaper around noon. Some hours, by their hash, have no price."""
     slot = (F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 900) * 900).cast("bigint")
     per_slot = _event_columns(d).groupBy(slot.alias("unix_seconds")).agg(F.expr("sum(cents) div count(*)").alias("mean_cents"))
     discount = F.when(F.hour(unix_to_utc("unix_seconds")).isin(12, 13), 7000).otherwise(1000)
-    return per_slot.select("unix_seconds", ((F.col("mean_cents") - discount) / 100).cast("double").alias("price"))
+    priced = percent_bucket(F.expr("unix_seconds div 3600")) >= HOURS_WITHOUT_PRICE_PERCENT
+    return per_slot.where(priced).select("unix_seconds", ((F.col("mean_cents") - discount) / 100).cast("double").alias("price"))
 
 
 @table
