@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from wattloom.llm import cascade, hidden_markov, line_crf, line_dedup, lsh_forest, mixing, packing, syncmers, url_model, warc
+from wattloom.llm import cascade, hidden_markov, line_crf, line_dedup, lsh_forest, mixing, packing, phrases, prefix_tokens, spelling, syncmers, url_model, warc
 from wattloom.llm.common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,10 +54,23 @@ def op10_hmm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hidden_markov.score(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_tokens.digests(table(spark, sf_dir, "documents"), PIECES)
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_url_markov_filter, op3_pack_sequences, op4_crf_quality, op5_mix_sources, op6_warc_chain, op7_closed_syncmers, op8_lsh_forest, op9_rule_cascade,
-        op10_hmm_score)}
+        op10_hmm_score, op11_prefix_tokens, op12_spelling_variants, op13_phrases)}
 
 SQL: dict[str, str] = {
-    "op5_mix_sources": mixing.SQL, "op6_warc_chain": warc.SQL, "op9_rule_cascade": cascade.SQL}
+    "op5_mix_sources": mixing.SQL, "op6_warc_chain": warc.SQL, "op9_rule_cascade": cascade.SQL,
+    "op13_phrases": phrases.SQL}
