@@ -302,10 +302,16 @@ WITH pieces AS (
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
 lists AS MATERIALIZED (
-  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+  SELECT row_number() OVER () AS piece_id, lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+words AS (SELECT piece_id, lang, unnest(w) AS w1, generate_subscripts(w, 1) AS i FROM lists),
+runs AS MATERIALIZED (
+  SELECT lang, w1, lead(w1, 1) OVER later AS w2, lead(w1, 2) OVER later AS w3, lead(w1, 3) OVER later AS w4
+  FROM words WINDOW later AS (PARTITION BY piece_id ORDER BY i)),
 grams AS (
-  SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
-  FROM lists, (VALUES (1), (2), (3), (4)) AS s(size) WHERE len(w) >= size),
+  SELECT lang, 1 AS size, w1 AS phrase FROM runs UNION ALL
+  SELECT lang, 2, w1 || ' ' || w2 FROM runs WHERE w2 IS NOT NULL UNION ALL
+  SELECT lang, 3, w1 || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL UNION ALL
+  SELECT lang, 4, w1 || ' ' || w2 || ' ' || w3 || ' ' || w4 FROM runs WHERE w4 IS NOT NULL),
 known AS MATERIALIZED (SELECT lang, size, phrase, count(*) AS n FROM grams GROUP BY 1, 2, 3 HAVING count(*) >= 30),
 sizes AS MATERIALIZED (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM lists GROUP BY 1),
 phrases AS MATERIALIZED (SELECT lang, size, phrase, n AS a, string_split(phrase, ' ') AS w FROM known WHERE size > 1),
