@@ -57,6 +57,12 @@ def summed_table(df: DataFrame, size: int, task_sums: Callable[[Iterator[pa.Reco
         yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), pa.array(
             [total[p:p + SLICE].astype(np.uint32).tobytes() for p in parts], pa.binary())], ["slice", "sums"])
 
+    return added_slices(df.mapInArrow(of_task, TABLE), size)
+
+
+def added_slices(tables: DataFrame, size: int) -> np.ndarray:
+    """The sum of tables of ``size`` 32-bit counts that lie as rows (slice, sums)."""
+
     def of_slice(tables: pa.Table) -> pa.Table:
         total = np.zeros(SLICE, np.uint64)
         for x in tables["sums"]:
@@ -66,7 +72,7 @@ def summed_table(df: DataFrame, size: int, task_sums: Callable[[Iterator[pa.Reco
         return pa.table({"slice": tables["slice"][:1], "sums": pa.array([sums.tobytes()], pa.binary())})
 
     found = np.zeros(-(-size // SLICE) * SLICE, np.uint32)
-    for row in df.mapInArrow(of_task, TABLE).groupBy("slice").applyInArrow(of_slice, TABLE).collect():  # size / SLICE rows
+    for row in tables.groupBy("slice").applyInArrow(of_slice, TABLE).collect():  # size / SLICE rows
         found[row["slice"]:row["slice"] + SLICE] = np.frombuffer(bytes(row["sums"]), np.uint32)
     return found[:size]
 
