@@ -161,8 +161,18 @@ TABLES: dict[str, tuple[str, str]] = {
                  AS content
         FROM documents"""),
     "ticket_texts": ("", """
-        SELECT conv_id * 1000 + turn AS log_id, conv_id, turn, text AS description
+        SELECT conv_id * 1000 + turn AS log_id, conv_id, turn, text AS description,
+               ['billing', 'outage', 'contract', 'device'][conv_id % 4 + 1] AS topic,
+               ['low', 'medium', 'high', 'critical'][(conv_id + turn) % 4 + 1] AS priority,
+               ['negative', 'neutral', 'positive'][(conv_id * 2 + turn) % 3 + 1] AS sentiment
         FROM conversations WHERE role = 'user'"""),
+    "passages": ("parsed_content", r"""
+        SELECT doc_id || '#' || section AS doc, doc_id, section, regexp_extract(part, '^#{1,6} ([^\n]*)', 1) AS title, relative_path,
+               split_part(relative_path, '/', 2) AS collection, part AS content
+        FROM (SELECT doc_id, relative_path, unnest(parts) AS part, CAST(generate_subscripts(parts, 1) AS BIGINT) - 2 AS section
+              FROM (SELECT doc_id, relative_path, string_split(regexp_replace(content, '(^|\n)(#{1,6} )', '\1' || chr(1) || '\2', 'g'), chr(1)) AS parts
+                    FROM parsed_content))
+        WHERE trim(part, ' ') <> ''"""),
 }
 
 

@@ -9,6 +9,8 @@ from wattloom.functions.texts import html_text, tokens
 from wattloom.operators import search, service
 from wattloom.operators.accounts import heavy_users
 from wattloom.operators.resolve import resolve_literal
+from wattloom.operators.text_index import TextIndex
+from wattloom.session import scratch_path
 from wattloom.sources import documents
 
 SQL_WORDS = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')".format
@@ -19,10 +21,10 @@ def _question(d, item: int = 0) -> list[str]:
     return d.source("benchmark").where(F.col("item_id") == item).select(tokens(F.col("text"))).first()[0]
 
 
-def bm25_sql(corpus: str, key: str, text: str, columns: str = "", k: int = 5) -> str:
-    """Ranking of ``corpus`` for the first question, over all of its rows and whole texts."""
+def bm25_sql(corpus: str, key: str, text: str, columns: str = "", k: int = 5, where: str = "true") -> str:
+    """Ranking of ``corpus`` for the first question, over all of its rows and whole texts; rows that fit ``where`` come back."""
     return f"""
-    SELECT {key}, {columns} score FROM (
+    SELECT {key + ", " if key != "doc" else ""}{columns} score FROM (
       WITH texts AS MATERIALIZED (SELECT {key} AS doc, {SQL_WORDS(text)} AS words FROM {corpus}),
            question AS MATERIALIZED (SELECT DISTINCT unnest({SQL_WORDS('text')}) AS term FROM benchmark WHERE item_id = 0),
            size AS MATERIALIZED (SELECT CAST(count(*) AS DOUBLE) AS n, CAST(sum(len(words)) AS DOUBLE) AS total FROM texts),
@@ -31,10 +33,10 @@ def bm25_sql(corpus: str, key: str, text: str, columns: str = "", k: int = 5) ->
              FROM (SELECT doc, len(words) AS len, unnest(words) AS term FROM texts) JOIN question USING (term)
              GROUP BY 1, 2, 3),
            frequency AS MATERIALIZED (SELECT term, count(*) AS df FROM hits GROUP BY 1)
-      SELECT doc, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE
+      SELECT doc AS d, round(sum(ln(1 + (n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) * tf * 2.2::DOUBLE
                / (tf + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * len / (total / n)))), 6) AS score
       FROM hits JOIN frequency USING (term) CROSS JOIN size GROUP BY 1)
-    JOIN {corpus} ON {key} = doc ORDER BY score DESC, {key} LIMIT {k}"""
+    JOIN {corpus} ON {key} = d WHERE {where} ORDER BY score DESC, {key} LIMIT {k}"""
 
 
 ENERGY_DOCS = "(SELECT * FROM parsed_content WHERE relative_path ILIKE '%/energy/%')"
@@ -83,7 +85,58 @@ def document_search(d):
 
 @query("R5", bm25_sql("ticket_texts", "log_id", "description", "conv_id, turn,"), "ticket_texts")
 def ticket_search(d):
-    return search.search(d["ticket_texts"], "log_id", "description", _question(d))
+    tickets = d["ticket_texts"].select("log_id", "conv_id", "turn", "description")
+    return search.search(tickets, "log_id", "description", _question(d))
+
+
+def _index(d, corpus, key: str, text: str) -> TextIndex:
+    index = TextIndex(d.spark, scratch_path(d.spark, "text-index"))
+    index.refresh(corpus, key, text)
+    return index
+
+
+def _passages(d):
+    """Sections of all three collections, with the attributes that a search returns."""
+    parts = search.sections(d["parsed_content"].drop("file_url"))
+    return parts.select(F.concat_ws("#", "doc_id", "section").alias("doc"), "doc_id", F.col("section").cast("long").alias("section"), "title",
+                        "relative_path", F.element_at(F.split("relative_path", "/"), 2).alias("collection"), "content")
+
+
+PASSAGE = "doc_id, section, title, relative_path, collection,"
+
+
+@query("R2 R3 B33", bm25_sql("passages", "doc", "content", PASSAGE, 10), "passages")
+def passage_search(d):
+    """Passages of every collection, from a stored index."""
+    return _index(d, _passages(d), "doc", "content").search(_question(d), 10).drop("doc")
+
+
+@query("R2 R3", bm25_sql("passages", "doc", "content", PASSAGE, where="collection = 'products'"), "passages")
+def product_search(d):
+    return _index(d, _passages(d), "doc", "content").search(_question(d), where=F.col("collection") == "products").drop("doc")
+
+
+@query("R2 R3", bm25_sql("passages", "doc", "content", PASSAGE, where="collection = 'service'"), "passages")
+def service_search(d):
+    return _index(d, _passages(d), "doc", "content").search(_question(d), where=F.col("collection") == "service").drop("doc")
+
+
+@query("R3 R7 S5", bm25_sql("(SELECT * FROM passages WHERE doc_id % 5 <> 3)", "doc", "content", PASSAGE, 10), "passages")
+def indexed_search(d):
+    """The index knew older texts and documents that are gone since; a refresh indexes what changed, in a segment of its own."""
+    now = _passages(d).where("doc_id % 5 <> 3")
+    old_text = F.when(F.col("collection") == "energy", F.concat("content", F.lit(" older words"))).otherwise(F.col("content"))
+    index = _index(d, _passages(d).where("doc_id % 5 <> 4").withColumn("content", old_text), "doc", "content")
+    index.refresh(now, "doc", "content")
+    return index.search(_question(d), 10).drop("doc")
+
+
+@query("R5", bm25_sql("ticket_texts", "log_id", "description", "conv_id, turn, topic, priority, sentiment,", 10,
+                      "topic = 'outage' AND priority IN ('high', 'critical')"), "ticket_texts")
+def filtered_ticket_search(d):
+    """Tickets of one topic and the two upper priorities, ranked as among all tickets."""
+    wanted = (F.col("topic") == "outage") & F.col("priority").isin("high", "critical")
+    return _index(d, d["ticket_texts"], "log_id", "description").search(_question(d), 10, wanted).withColumnRenamed("doc", "log_id")
 
 
 @query("J14 B6 B33", """

@@ -310,7 +310,12 @@ def parsed_content(d: Domain) -> DataFrame:
 
 @table
 def ticket_texts(d: Domain) -> DataFrame:
-    """What users wrote, one row per turn."""
+    """What users wrote, one row per turn, with a topic, priority and sentiment by their numbers."""
+    def one_of(number, *names):
+        return F.element_at(F.array(*map(F.lit, names)), (number % len(names) + 1).cast("int"))
+
     return d.source("conversations").where(F.col("role") == "user").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("log_id"), "conv_id", "turn",
-        F.col("text").alias("description"))
+        (F.col("conv_id") * 1000 + F.col("turn")).alias("log_id"), "conv_id", "turn", F.col("text").alias("description"),
+        one_of(F.col("conv_id"), "billing", "outage", "contract", "device").alias("topic"),
+        one_of(F.col("conv_id") + F.col("turn"), "low", "medium", "high", "critical").alias("priority"),
+        one_of(F.col("conv_id") * 2 + F.col("turn"), "negative", "neutral", "positive").alias("sentiment"))
