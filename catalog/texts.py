@@ -8,9 +8,11 @@ from catalog.registry import query
 from wattloom.functions.texts import html_text, tokens
 from wattloom.operators import search, service
 from wattloom.operators.accounts import heavy_users
+from wattloom.operators.name_index import NameIndex
 from wattloom.operators.resolve import resolve_literal
 from wattloom.operators.text_index import TextIndex
-from wattloom.session import scratch_path
+from wattloom.operators.vector_index import VectorIndex
+from wattloom.session import scratch_path, store
 from wattloom.sources import documents
 
 SQL_WORDS = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')".format
@@ -186,6 +188,34 @@ def vector_search(d):
     return search.vector_search(vectors, "vec_id", "embedding", probe, 5)
 
 
+@query("R6", """
+    SELECT vec_id, round(list_dot_product(v, q) / (sqrt(list_dot_product(v, v)) * sqrt(list_dot_product(q, q))), 6) AS cosine
+    FROM (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v,
+                 (SELECT CAST(embedding AS DOUBLE[]) FROM embeddings WHERE vec_id = 11) AS q FROM embeddings)
+    ORDER BY cosine DESC, vec_id LIMIT 5""")
+def indexed_vector_search(d):
+    """Cells of a stored index, opened until no other one can hold a nearer vector."""
+    vectors = d.source("embeddings")
+    index = VectorIndex(d.spark, scratch_path(d.spark, "vectors"))
+    index.build(vectors, "vec_id", "embedding")
+    probe = vectors.where("vec_id = 11").select("embedding").first()[0]
+    return index.search(probe, 5, exact=True).withColumnRenamed("key", "vec_id")
+
+
+@query("R6", "SELECT count(*) AS queries, 5 * count(*) AS found, true AS recall_reached FROM embeddings WHERE vec_id % 20 = 0")
+def vector_index_recall(d):
+    """How many of the five nearest vectors of every query row the index finds without opening all cells; 0.9 is the least."""
+    vectors = d.source("embeddings")
+    index = VectorIndex(d.spark, scratch_path(d.spark, "vectors"))
+    index.build(vectors, "vec_id", "embedding")
+    asked = vectors.where("vec_id % 20 = 0")
+    found = store(index.search_all(asked, "vec_id", "embedding"), "vectors")
+    exact = index.search_all(asked, "vec_id", "embedding", probes=len(index.cells())).select("query", F.col("rank"), F.col("cosine").alias("true_cosine"))
+    both = found.join(exact, ["query", "rank"])
+    return both.agg(F.count_distinct("query").alias("queries"), F.count("*").alias("found"),
+                    (F.count_if(F.col("cosine") >= F.col("true_cosine")) >= 0.9 * F.count("*")).alias("recall_reached"))
+
+
 def resolve_sql(values: str, column: str, typed: str, k: int = 5) -> str:
     """Trigram overlap on folded text, for names without umlauts."""
     fold = r"trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))".format
@@ -224,6 +254,18 @@ def resolve_rep(d):
     return resolve_literal(d["sales_rep_dim"], "rep_name", "rep nation 3")
 
 
+@query("R1", resolve_sql("(SELECT customer_name AS name FROM customer_dim UNION SELECT city FROM customer_dim UNION SELECT product_name FROM product_dim"
+                        " UNION SELECT vendor_name FROM vendor_dim UNION SELECT rep_name FROM sales_rep_dim)", "name", "suplier 00011", 10),
+       "customer_dim product_dim vendor_dim sales_rep_dim")
+def indexed_resolve(d):
+    """One stored index over all five name columns; customers and products came later and were added to it."""
+    index = NameIndex(d.spark)
+    for table, column in (("vendor_dim", "vendor_name"), ("sales_rep_dim", "rep_name"), ("customer_dim", "city"), ("customer_dim", "customer_name"),
+                          ("product_dim", "product_name")):
+        index.add(d[table], column)
+    return index.resolve("suplier 00011", 10)
+
+
 @query("P13", """
     SELECT log_id, CASE WHEN regexp_matches(description, 'defekt|Störung|Beschwerde|nicht') THEN 'negative'
                         WHEN regexp_matches(description, 'Lob') THEN 'positive' ELSE 'neutral' END AS tone
