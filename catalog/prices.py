@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from wattloom.operators import arbitrage, prices
 from wattloom.plans import models, questions
+from wattloom.session import scratch_path
 from wattloom.sources import price_documents as docs
 
 
@@ -38,6 +39,23 @@ def delivery_day_documents(d):
     return _described(docs.to_delivery_days(d["raw_day_ahead_prices"]))
 
 
+@query("S4 S5 F12", """
+    SELECT problem, count(*) AS documents, CAST(sum(CASE WHEN problem = 'usable' THEN entries ELSE 0 END) AS BIGINT) AS entries
+    FROM (SELECT CASE WHEN day(fetch_date) % 7 = 3 THEN 'not JSON' WHEN day(fetch_date) % 7 = 5 THEN 'no prices' ELSE 'usable' END AS problem, entries
+          FROM (SELECT fetch_date, count(*) AS entries FROM market_prices GROUP BY 1)) GROUP BY 1""", "market_prices")
+def price_file_report(d):
+    """Price documents written as one file a day, some cut off or without prices, read back and checked."""
+    folder = scratch_path(d.spark, "price-files")
+    turn = F.dayofmonth("fetch_date") % 7
+    broken = (F.when(turn == 3, F.expr("left(raw_data, length(raw_data) - 9)"))
+              .when(turn == 5, F.replace("raw_data", F.lit('"price"'), F.lit('"cost"'))).otherwise(F.col("raw_data")))
+    d["raw_day_ahead_prices"].select(broken.alias("value"), "fetch_date").repartition("fetch_date").write.partitionBy("fetch_date").text(folder)
+    checked = docs.checked_documents(docs.read_price_documents(d.spark, f"{folder}/*"))
+    return checked.groupBy(F.coalesce("problem", F.lit("usable")).alias("problem")).agg(
+        F.count("*").alias("documents"),
+        F.coalesce(F.sum(F.when(F.col("problem").isNull(), F.size(docs.each(F.col("document"), "unix_seconds", "bigint")))), F.lit(0)).alias("entries"))
+
+
 @query("S6 U2 J12", """
     SELECT CAST(day AS DATE) AS fetch_date
     FROM generate_series(TIMESTAMP '2023-12-13', TIMESTAMP '2024-02-10', INTERVAL 1 DAY) AS s(day)

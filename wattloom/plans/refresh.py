@@ -9,21 +9,23 @@ from pyspark.sql import functions as F
 
 from wattloom.operators import arbitrage, devices as device_ops, prices as price_ops, telemetry as telemetry_ops
 from wattloom.session import small_side, store
-from wattloom.sources.layers import append, layer_path, read_if_present, unseen_rows, upsert_partitions, write_full
-from wattloom.sources.price_documents import new_documents
+from wattloom.sources.layers import append, layer_path, one_row_each, read_if_present, unseen_rows, upsert_partitions, write_full
+from wattloom.sources.price_documents import checked_documents, new_documents, quarantined, usable
 
 
 def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | None = None) -> dict[str, str]:
     """Bring the layers below ``root`` up to date; running it again with the same input changes nothing.
 
     ``incoming`` holds ``raw_day_ahead_prices``, ``telemetry``, ``customer_dim`` and
-    ``device_registry``. Readings and price documents are taken up by key, so late and back-dated ones count.
+    ``device_registry``. Readings and price documents are taken up by key, so late and back-dated ones count, and a reading that a delivery repeats counts
+    once. A document that can't be used goes to ``price_quarantine`` with the reason and does not keep a later one of its day away.
     Capacity and margins are computed anew for the hours that new readings or new prices touch, from all stored
     readings of those hours, and replace their rows. Quartiles come from all prices so far unless ``bands`` fixes them.
     """
     spark = incoming["telemetry"].sparkSession
     path = {
         "raw_prices": layer_path(root, "bronze", "raw_day_ahead_prices"),
+        "price_quarantine": layer_path(root, "ops", "price_quarantine"),
         "telemetry": layer_path(root, "bronze", "telemetry"),
         "devices": layer_path(root, "silver", "devices"),
         "market_prices": layer_path(root, "silver", "market_prices"),
@@ -34,11 +36,14 @@ def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | Non
 
     documents = incoming["raw_day_ahead_prices"]
     stored_documents = read_if_present(spark, path["raw_prices"])
-    fresh = documents if stored_documents is None else new_documents(stored_documents, documents)
-    append(fresh, path["raw_prices"])  # one small row per day
+    if stored_documents is not None:  # documents of a loaded day are not parsed again
+        documents = documents.join(stored_documents.select(F.col("fetch_date").alias("_day")).distinct(), F.col("fetch_date") == F.col("_day"), "left_anti")
+    checked = store(checked_documents(documents), "documents")
+    append(new_documents(None, usable(checked)), path["raw_prices"])  # one small row per day
+    append(quarantined(checked, read_if_present(spark, path["price_quarantine"])), path["price_quarantine"])
 
     stored_telemetry = read_if_present(spark, path["telemetry"])
-    delivered = incoming["telemetry"].withColumn("day", F.to_date("ts"))
+    delivered = one_row_each(incoming["telemetry"], ["customer_key", "ts"]).withColumn("day", F.to_date("ts"))
     readings = store(unseen_rows(delivered, stored_telemetry, ["customer_key", "ts"], "day"), "readings")
     append(readings, path["telemetry"], ("day",))
 
@@ -51,10 +56,12 @@ def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | Non
         to_stage = to_stage.join(stored_prices.select("fetch_date").distinct(), "fetch_date", "left_anti")
     staged = store(price_ops.stage_prices(to_stage).withColumn("price_day", F.to_date("start_time")), "staged")
     upsert_partitions(staged, path["market_prices"], ["start_time"], "price_day")
-    prices = spark.read.parquet(path["market_prices"])
+    stored_prices = read_if_present(spark, path["market_prices"])
+    prices = staged if stored_prices is None else stored_prices  # nothing is stored as long as no price came
     write_full(price_ops.price_mart(prices), path["price_mart"])
 
-    telemetry = spark.read.parquet(path["telemetry"])
+    stored_telemetry = read_if_present(spark, path["telemetry"])
+    telemetry = readings if stored_telemetry is None else stored_telemetry
 
     hour_of = lambda column: F.date_trunc("hour", column).cast("timestamp_ntz").alias("_hour")
     hours = store(readings.select(hour_of("ts")).union(staged.select(hour_of("start_time"))).distinct(), "hours")

@@ -36,11 +36,11 @@ def read_layer(spark: SparkSession, root: str, layer: str, name: str) -> DataFra
 
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
-    """The stored table in the union of its files' layouts; None only where the path is absent, any other fault is raised."""
+    """The stored table in the union of its files' layouts; None only where the path is absent or holds no file yet, any other fault is raised."""
     try:
         return spark.read.option("mergeSchema", "true").parquet(path)
     except AnalysisException as fault:
-        if fault.getCondition() != "PATH_NOT_FOUND":
+        if fault.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
 
@@ -106,6 +106,12 @@ def newest_rows(df: DataFrame, keys: list[str], newest_by: str) -> DataFrame:
             .select(*keys, "newest.*").select(*df.columns))
 
 
+def one_row_each(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key; of several, the one with the greatest values, so that a re-run keeps the same one."""
+    rest = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("kept")).select(*keys, "kept.*").select(*df.columns)
+
+
 def upsert_partitions(updates: DataFrame, path: str, keys: list[str], partition_column: str,
                       newest_by: str | None = None, listed_partitions: int = 10_000) -> None:
     """Upsert into a partitioned table, rewriting only the partitions that the updates touch.
@@ -116,16 +122,19 @@ def upsert_partitions(updates: DataFrame, path: str, keys: list[str], partition_
     folder, because a table cannot be read and overwritten in one job.
 
     Updates win over stored rows. With ``newest_by`` the row with the higher value wins instead, so an
-    update that arrives late does not undo a newer one; the updates may then repeat a key.
+    update that arrives late does not undo a newer one; the updates may then repeat a key. Without it, updates that repeat a key raise ValueError,
+    as nothing says which one counts.
     """
     spark = updates.sparkSession
     if newest_by:
         updates = newest_rows(updates, keys, newest_by)
     target = read_if_present(spark, path)
+    updates = store(updates, "updates")
+    if not newest_by and not updates.groupBy(*keys).count().where("count > 1").isEmpty():
+        raise ValueError(f"updates repeat a key {keys}; name the column that tells the newest")
     if target is None:
         write_full(updates, path, (partition_column,))
         return
-    updates = store(updates, "updates")
     touched = updates.select(partition_column).distinct()
     listed = [row[0] for row in touched.limit(listed_partitions + 1).collect()]
     if not listed:
