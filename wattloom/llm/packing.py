@@ -31,6 +31,9 @@ GROUP_PIECES = 2048
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 PLACED = PIECE.replace("salt long", "sequence_id long, offset long, padded_length long")
 
+#: Fixed value: the added token of this vocabulary, which a text gives its own id.
+ADDED = {"<|endoftext|>": 50256}
+
 
 @lru_cache(maxsize=2)
 def encoder(path: str):
@@ -40,11 +43,11 @@ def encoder(path: str):
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=ADDED)
 
 
 def ids_of(text: str | None, path: str) -> np.ndarray:
-    ids = encoder(path).encode_ordinary(text or "")
+    ids = encoder(path).encode(text or "", allowed_special="all")
     ids.append(END)
     return np.array(ids, dtype="<u4")
 
