@@ -21,7 +21,7 @@ def test_every_order_line_is_a_contract(spark, tmp_path):
     d = domain(spark, tmp_path, lineitem=[line(1, 10, 1), line(1, 11, 2), line(2, 12, 2), line(2, 10, 3)],
                orders=[(k, 7, "O", 10.0, dt.datetime(2024, 1, k), "2-HIGH") for k in (1, 2)],
                part=[(p, f"part {p}", "B", "PROMO", 1, 5.0) for p in (10, 11, 12)])
-    assert {(r.sale_id, r.product_key) for r in d["contracts"].collect()} == {(1, 10), (1, 11), (2, 12), (2, 10)}
+    assert {(r.sale_id, r.product_key) for r in d["contracts"].collect()} == {(9, 10), (10, 11), (18, 12), (19, 10)}  # order * 8 + line
     owned = {r.product_key: r.acquisition_date.day for r in d["customer_products"].collect()}
     assert owned == {10: 1, 11: 1, 12: 2}
 
