@@ -98,13 +98,18 @@ def test_nothing_to_learn_from(spark):
 
 
 def test_every_round_sees_every_block(spark, monkeypatch):
-    seen, counted = [], hm.counted
+    seen, counted, counted_words = [], hm.counted, hm.counted_words
 
     def watched(blocks, model):
         seen.append(blocks.count())
         return counted(blocks, model)
 
+    def watched_words(blocks, rows, words):
+        seen.append(blocks.count())
+        return counted_words(blocks, rows, words)
+
     monkeypatch.setattr(hm, "counted", watched)
+    monkeypatch.setattr(hm, "counted_words", watched_words)
     docs = spark.createDataFrame([(i, f"w{i} the") for i in range(60)], "doc_id long, text string").repartition(20)
     hm.score(docs, warm=2, rounds=1)
     assert seen == [20] * 3
@@ -137,3 +142,37 @@ def test_long_texts_are_one_chain(monkeypatch):
         assert found[0].sum() == pytest.approx(len(lengths)) and found[1].sum() == pytest.approx((lengths - 1).sum())
         for a, b in zip(found, want):
             assert np.allclose(a, b)
+
+
+def test_emissions_of_a_state_sum_to_one():
+    """Over all training words and one unknown word of each hashed class."""
+    draw = np.random.default_rng(4)
+    classes = np.concatenate([np.arange(5), hm.TOP + draw.integers(0, hm.HASHED, 400), hm.TOP + np.arange(hm.HASHED)])
+    count = np.concatenate([draw.integers(1, 50, 405), np.zeros(hm.HASHED, int)])
+    share = np.zeros(hm.CLASSES)
+    np.add.at(share, classes, count)
+    rest_kinds = np.bincount(classes[5:405] - hm.TOP, minlength=hm.HASHED)
+    m = hm.first_model({}, share)
+    m.emit[5:hm.TOP] = 0
+    m.emit /= m.emit.sum(0)
+    own = count[:, None] * draw.dirichlet(np.ones(hm.STATES), len(count))
+    words = hm.Words(m, int(count.sum()), 405, share[hm.TOP:], rest_kinds)
+    assert np.allclose(words.emissions(classes, count, own).sum(0), 1)
+    words.totals = own.sum(0)
+    assert np.allclose(words.emissions(classes, count, own).sum(0), 1)
+
+
+def test_rounds_over_words_against_one_block(spark):
+    """The distributed state-by-word table equals the counts of all texts taken as one block; every training word has a row."""
+    draw = np.random.default_rng(6)
+    texts = [" ".join(f"w{draw.integers(0, 9) + 9 * (i % 2)}" for _ in range(30)) + f" only{i}" for i in range(80)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {}
+    for parts in (1, 7):
+        found[parts] = sorted((r.doc_id, round(r.score, 3)) for r in hm.score(docs.repartition(parts), warm=3, rounds=3).collect())
+    assert found[1] == found[7]
+    train = [t.split() + [""] for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    blocks = hm.coded(docs.repartition(5))
+    entries = blocks.select("block", hm.F.posexplode(hm.F.arrays_zip("hashes", "trained")).alias("code", "word")).select(
+        "block", "code", hm.F.col("word.hashes").alias("hash"), hm.F.col("word.trained").alias("trained"))
+    assert entries.where("trained > 0").select("hash").distinct().count() == len({w for t in train for w in t})

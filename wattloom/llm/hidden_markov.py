@@ -1,17 +1,21 @@
 """Language-model scoring with a hidden Markov model over words.
 
-A state emits a word's class, the class emits the word: p(word | state) = p(class | state) * p(word | class). The TOP most frequent
-training words are classes of their own; all other words fall into HASHED classes by their last letters. So the emission table
-has a fixed size, whatever the vocabulary, and is what tasks are sent; word counts stay in a distributed table.
+Every training word has an emission of its own in every state. The state-by-word table grows with the vocabulary and stays distributed; a
+block of documents is sent the rows of its own words only. What a state has not seen of a word is backed off to the word's class:
+p(word | state) = seen * (expected count / state's total) + (1 - seen) * p(class | state) * p(word | class), with seen = N / (N + V) for N training
+tokens of V words. The TOP most frequent words are classes of their own, all others fall into HASHED classes by their last letters, so
+that unknown words have a class as well, and the class table has a fixed size.
 
 Steps, all over whole texts:
 1. Documents are coded once, block by block: a block's distinct words, and each text as numbers in them. No text is shuffled.
 2. Words are counted over all training documents: one row for each word and block is shuffled.
-3. Baum-Welch: tasks run scaled forward-backward over their blocks, and the expected counts are summed by slices of the table.
+3. Baum-Welch over classes, WARM rounds: tasks run scaled forward-backward over their blocks, and the expected counts are summed by slices of the
+   class table. Then over words, ROUNDS rounds: each block gets its words' rows of the state-by-word table and gives back their expected counts,
+   which are summed by word into the next table; the driver sees the states' starts, moves and totals.
    The chain runs through each text as a whole and starts at its first token only. Work goes by segments of SEGMENT tokens: a segment's transfer
    matrix carries the forward and backward vectors over it, so segments are worked side by side and a text's length costs no memory but its own.
-   Each of the WARM + ROUNDS rounds runs over every block.
-4. Scoring: each block gets the counts of its own words back, and a scaled forward recursion over the whole text gives its exact likelihood.
+   Every round runs over every block.
+4. Scoring: each block gets the rows of its own words back, and a scaled forward recursion over the whole text gives its exact likelihood.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id hashes as the empty text; repeated rows are scored one by
 one and count as often; without training rows every word is unknown and the states are alike; an empty table gives no rows; other columns are not
@@ -22,7 +26,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +41,16 @@ STATES = 6
 TOP = 8192
 HASHED = 8192
 CLASSES = TOP + HASHED
-SEGMENT = 64
-ROWS = 8192
-WARM, ROUNDS = 10, 3
+SEGMENT = 512
+ROWS = 1024
+WARM, ROUNDS = 11, 2
 BLOCK_DOCS, BLOCK_TOKENS = 2000, 1 << 20
 SLICE = 4096
 END = b""
 BLOCK = ("block long, hashes array<long>, suffixes array<int>, trained array<int>, codes binary, lengths binary, held binary, "
          "doc_ids array<long>")
+EXPECTED = [f"e{k}" for k in range(STATES)]
+WORDS = "kind int, hash long, count long, " + ", ".join(f"{e} float" for e in EXPECTED)
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -100,7 +106,7 @@ def coded(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """top: hash -> class of the frequent words; start, move, emit: probabilities (emit by class, then state)."""
+    """top: hash -> class of the frequent words; start, move, emit: probabilities (emit by class or by a block's word, then state)."""
 
     top: dict[int, int]
     start: np.ndarray
@@ -152,11 +158,11 @@ def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray
     ``enter`` is the forward vector before a row's first token, ``leave`` the backward vector after its last one, and ``opens`` says which rows
     begin a text; without them each row is a text.
     """
-    count, steps = len(size), int(size[0]) if len(size) else 0
+    count, steps, kinds = len(size), int(size[0]) if len(size) else 0, len(model.emit)
     enter = np.broadcast_to(model.start, (count, STATES)) if enter is None else enter
     leave = np.ones((count, STATES)) if leave is None else leave
     live = [int(np.searchsorted(-size, -t, side="left")) for t in range(steps + 1)]  # rows longer than t
-    starts, moves, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, CLASSES))
+    starts, moves, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, kinds))
     seen = [model.emit[rows[:live[t], t]] for t in range(steps)]
     ahead, scales = [], []
     state = enter
@@ -167,18 +173,22 @@ def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray
         ahead.append(state)
         scales.append(scale)
     ending = [leave[live[t + 1]:live[t]] / ((ahead[t] * leave[:live[t]])[live[t + 1]:].sum(1, keepdims=True) + 1e-300) for t in range(steps)]
-    back = ending[-1] if steps else np.ones((0, STATES))
+    back, shares = ending[-1] if steps else np.ones((0, STATES)), []
     for t in range(steps - 1, -1, -1):
         held = ahead[t] * back
         held /= held.sum(1, keepdims=True) + 1e-300
-        for k in range(STATES):
-            emits[k] += np.bincount(rows[:live[t], t], weights=held[:, k], minlength=CLASSES)
+        shares.append(held)
         if t == 0:
             starts = held.sum(0) if opens is None else held[opens].sum(0)
             break
         onward = seen[t] * back / scales[t]
         moves += model.move * (ahead[t - 1][:live[t]].T @ onward)
         back = np.concatenate([onward @ model.move.T, ending[t - 1]])
+    if steps:
+        tokens = np.concatenate([rows[:live[t], t] for t in range(steps - 1, -1, -1)])
+        every = np.concatenate(shares)
+        for k in range(STATES):
+            emits[k] = np.bincount(tokens, weights=every[:, k], minlength=kinds)
     return starts, moves, emits
 
 
@@ -234,7 +244,7 @@ def expected_of_texts(model: Model, found: np.ndarray, lengths: np.ndarray) -> t
     opens = np.zeros(len(size), bool)
     opens[np.cumsum(parts) - parts] = True
     enter, leave, moves = carried(model, found, first, size, parts)
-    starts, emits = np.zeros(STATES), np.zeros((STATES, CLASSES))
+    starts, emits = np.zeros(STATES), np.zeros((STATES, len(model.emit)))
     order = np.argsort(-size, kind="stable")
     for begin in range(0, len(order), ROWS):
         own = order[begin:begin + ROWS]
@@ -283,8 +293,79 @@ def maximised(model: Model, sums: tuple[np.ndarray, np.ndarray, np.ndarray], sha
     return Model(model.top, start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
+@dataclass
+class Words:
+    """What tasks need beside the class model to give each word its own emissions; of fixed size."""
+
+    model: Model
+    tokens: int
+    kinds: int
+    class_tokens: np.ndarray  # of the HASHED classes
+    class_kinds: np.ndarray
+    totals: np.ndarray | None = None  # expected tokens of each state; None before the first round over words
+
+    def emissions(self, classes: np.ndarray, count: np.ndarray, expected_counts: np.ndarray) -> np.ndarray:
+        """p(word | state) by word, then state: expected counts, backed off to the word's class."""
+        own = np.maximum(classes - TOP, 0)
+        inside = np.where(classes < TOP, 1.0, (count + 1) / (self.class_tokens[own] + self.class_kinds[own] + 1))
+        backed = self.model.emit[classes] * inside[:, None]
+        if self.totals is None:
+            return backed
+        seen = self.tokens / (self.tokens + self.kinds)
+        return seen * expected_counts / (self.totals + 1e-300) + (1 - seen) * backed
+
+
+def local_model(words: Words, block: pa.Table, known: pa.Table) -> tuple[Model, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """One block's own model, with emissions by its words; then text lengths, codes, which texts are held out, and the words' counts."""
+    classes = np.frombuffer(block["classes"][0].as_py(), np.int32)
+    count, own = np.zeros(len(classes)), np.zeros((len(classes), STATES))
+    at = known["code"].to_numpy()
+    count[at] = known["count"].to_numpy()
+    for k, name in enumerate(EXPECTED):
+        own[at, k] = known[name].to_numpy()
+    m = words.model
+    return (Model({}, m.start, m.move, words.emissions(classes, count, own)), np.frombuffer(block["lengths"][0].as_py(), np.int32).astype(np.int64),
+            np.frombuffer(block["codes"][0].as_py(), np.int32), np.frombuffer(block["held"][0].as_py(), np.uint8).astype(bool), count)
+
+
+def with_rows(entries: DataFrame, table: DataFrame) -> DataFrame:
+    """The table's row of each word of each block; words without one were not trained on."""
+    return entries.select("block", "code", "hash").join(table, "hash").select(
+        F.col("block").alias("home"), "code", "hash", "count", *EXPECTED)
+
+
+def counted_words(blocks: DataFrame, rows: DataFrame, words: Words) -> DataFrame:
+    """One Baum-Welch E step over all training texts with emissions by word: rows of kind 0 are words (with their counts and expected counts by state), kind 1 the starts
+    and then each state's moves."""
+
+    def of_block(block: pa.Table, known: pa.Table) -> pa.Table:
+        made = [learned(block.slice(i, 1), known) for i in range(block.num_rows)]
+        return pa.concat_tables(made) if made else nothing(WORDS)
+
+    def learned(block: pa.Table, known: pa.Table) -> pa.Table:
+        m, lengths, codes, held, _ = local_model(words, block, known)
+        starts, moves, emits = expected_of_texts(m, codes[np.repeat(~held, lengths)], lengths[~held])
+        at = known["code"].to_numpy()
+        trained = np.bincount(codes[np.repeat(~held, lengths)], minlength=len(m.emit))[at]
+        used = trained > 0
+        sums = np.concatenate([emits[:, at[used]].T, starts[None], moves]).astype(np.float32)
+        n, extra = int(used.sum()), 1 + STATES
+        return pa.table({"kind": pa.array(np.repeat([0, 1], [n, extra]).astype(np.int32)),
+                         "hash": pa.array(np.concatenate([known["hash"].to_numpy()[used], np.arange(extra)])),
+                         "count": pa.array(np.concatenate([trained[used], np.zeros(extra, np.int64)])),
+                         **{e: pa.array(np.ascontiguousarray(sums[:, k])) for k, e in enumerate(EXPECTED)}})
+
+    found = blocks.groupBy("block").cogroup(rows.groupBy("home")).applyInArrow(of_block, WORDS)
+    return found.groupBy("kind", "hash").agg(F.sum("count").alias("count"), *[F.sum(F.col(e).cast("double")).cast("float").alias(e) for e in EXPECTED])
+
+
+def nothing(schema: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "float": pa.float32(), "double": pa.float64(), "boolean": pa.bool_()}
+    return pa.table({name: pa.array([], kinds[kind]) for name, kind in (c.split() for c in schema.split(", "))})
+
+
 def likelihoods(model: Model, found: np.ndarray, inside: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """log10 probability of each text by the scaled forward recursion; ``inside`` is log10 p(word | class) by token."""
+    """log10 probability of each text by the scaled forward recursion; ``inside`` is added for each token."""
     order = np.argsort(-lengths, kind="stable")
     ends = np.cumsum(lengths)
     first, size = (ends - lengths)[order], lengths[order]
@@ -323,39 +404,44 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
     share = (share + 1e-3) / (share + 1e-3).sum()
 
     model = first_model(top, share)
-    for _ in range((warm + rounds) if tokens else 0):
+    for _ in range(warm if tokens else 0):
         model = maximised(model, counted(blocks, model), share)
 
-    back = entries.select("block", "code", "hash").join(counts.select("hash", "count"), "hash").select(F.col("block").alias("home"), "code", "count")
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [classes_of(h.values.to_numpy(), s.values.to_numpy(), top).astype(np.int32).tobytes() for h, s in zip(*batch.columns[:2])]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), *batch.columns[2:]], ["classes", *batch.schema.names[2:]])
+
+    whole = blocks.select("hashes", "suffixes", "block", "codes", "lengths", "held", "doc_ids").mapInArrow(
+        classed, "classes binary, block long, codes binary, lengths binary, held binary, doc_ids array<long>")
+
+    words = Words(model, tokens, kinds, rest_tokens, rest_kinds)
+    rows = with_rows(entries, counts.select("hash", "count", *[F.lit(0.0).cast("float").alias(e) for e in EXPECTED]))
+    for _ in range(rounds if tokens else 0):
+        summed = store(counted_words(whole.drop("doc_ids"), rows, words), "hmm")
+        chain = np.zeros((1 + STATES, STATES))
+        for row in summed.where("kind = 1").collect():  # 1 + STATES rows
+            chain[row["hash"]] = [row[e] for e in EXPECTED]
+        start, move = chain[0] + 0.1, chain[1:] + 0.1
+        table = summed.where("kind = 0").drop("kind")
+        totals = table.agg(*[F.sum(F.col(e).cast("double")) for e in EXPECTED]).first()
+        words = replace(words, model=Model(top, start / start.sum(), move / move.sum(1, keepdims=True), words.model.emit),
+                        totals=np.array(list(totals), float))
+        rows = with_rows(entries, table)
 
     def of_block(block: pa.Table, known: pa.Table) -> pa.Table:
         out = [rows_of(block.slice(i, 1), known) for i in range(block.num_rows)]
-        return pa.concat_tables(out) if out else pa.table({c.split()[0]: [] for c in SCORES.split(", ")})
+        return pa.concat_tables(out) if out else nothing(SCORES)
 
     def rows_of(block: pa.Table, known: pa.Table) -> pa.Table:
-        get = lambda name: block[name][0]
-        lengths = np.frombuffer(get("lengths").as_py(), np.int32).astype(np.int64)
-        codes, found = np.frombuffer(get("codes").as_py(), np.int32), np.frombuffer(get("classes").as_py(), np.int32)
-        count = np.zeros(len(found))
-        count[known["code"].to_numpy()] = known["count"].to_numpy()
-        own = found - TOP
-        inside = np.where(own < 0, 0.0, np.log10((count + 1) / (rest_tokens[own] + rest_kinds[own] + 1)))
+        m, lengths, codes, held, count = local_model(words, block, known)
         base = np.log10((count + 1) / (tokens + kinds + 1))
         doc = np.repeat(np.arange(len(lengths)), lengths)
-        held = np.frombuffer(get("held").as_py(), np.uint8).astype(bool)
         return pa.table({
-            "doc_id": get("doc_ids").values, "held_out": pa.array(held), "n_tokens": pa.array(lengths),
+            "doc_id": block["doc_ids"][0].values, "held_out": pa.array(held), "n_tokens": pa.array(lengths),
             "n_known": pa.array(np.bincount(doc, weights=count[codes] > 0, minlength=len(lengths)).astype(np.int64)),
             "train_tokens": pa.array(np.full(len(lengths), tokens, np.int64)),
             "base_score": pa.array(np.bincount(doc, weights=base[codes], minlength=len(lengths))),
-            "score": pa.array(likelihoods(model, found[codes], inside[codes], lengths))})
-
-    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [classes_of(h.values.to_numpy(), s.values.to_numpy(), top).astype(np.int32).tobytes() for h, s in zip(*batch.columns[:2])]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), *batch.columns[2:]], ["classes", *batch.schema.names[2:]])
-
-    whole = blocks.select("hashes", "suffixes", "block", "codes", "lengths", "held", "doc_ids").mapInArrow(
-        classed, "classes binary, block long, codes binary, lengths binary, held binary, doc_ids array<long>")
-    return whole.groupBy("block").cogroup(back.groupBy("home")).applyInArrow(of_block, SCORES)
+            "score": pa.array(likelihoods(m, codes, np.zeros(len(codes)), lengths))})
 
+    return whole.groupBy("block").cogroup(rows.groupBy("home")).applyInArrow(of_block, SCORES)
