@@ -70,7 +70,7 @@ def test_scores_of_whole_texts(spark):
     rows = [(i, " ".join((words[i % 2].split() * 20)[i % 5:60 + i % 7]).title()) for i in range(300)]
     rows += [(None, "the"), (900, None), (901, ""), (902, "neverseen\x85here the"), (4, rows[4][1]), (903, "die " * 30000)]
     docs = spark.createDataFrame([(i, t, "c") for i, t in rows], "doc_id long, text string, block string").repartition(3)
-    found = hm.score(docs, warm=4, rounds=2).collect()
+    found = hm.score(docs, rounds=6).collect()
     train, texts = Counter(), {}
     for i, t in rows:
         tokens = [w.lower() for w in (t or "").encode().split()] + [b""]
@@ -104,14 +104,14 @@ def test_every_round_sees_every_block(spark, monkeypatch):
         seen.append(blocks.count())
         return counted(blocks, model)
 
-    def watched_words(blocks, rows, words):
+    def watched_words(blocks, model):
         seen.append(blocks.count())
-        return counted_words(blocks, rows, words)
+        return counted_words(blocks, model)
 
     monkeypatch.setattr(hm, "counted", watched)
     monkeypatch.setattr(hm, "counted_words", watched_words)
     docs = spark.createDataFrame([(i, f"w{i} the") for i in range(60)], "doc_id long, text string").repartition(20)
-    hm.score(docs, warm=2, rounds=1)
+    hm.score(docs, rounds=3)
     assert seen == [20] * 3
 
 
@@ -169,10 +169,11 @@ def test_rounds_over_words_against_one_block(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = {}
     for parts in (1, 7):
-        found[parts] = sorted((r.doc_id, round(r.score, 3)) for r in hm.score(docs.repartition(parts), warm=3, rounds=3).collect())
+        found[parts] = sorted((r.doc_id, round(r.score, 3)) for r in hm.score(docs.repartition(parts), rounds=5).collect())
     assert found[1] == found[7]
-    train = [t.split() + [""] for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2]
+    train = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split() + [""])
     blocks = hm.coded(docs.repartition(5))
-    entries = blocks.select("block", hm.F.posexplode(hm.F.arrays_zip("hashes", "trained")).alias("code", "word")).select(
-        "block", "code", hm.F.col("word.hashes").alias("hash"), hm.F.col("word.trained").alias("trained"))
-    assert entries.where("trained > 0").select("hash").distinct().count() == len({w for t in train for w in t})
+    share = np.ones(hm.CLASSES) / hm.CLASSES
+    rows = hm.counted_words(blocks, hm.first_model({}, share)).collect()
+    assert sorted(r["count"] for r in rows) == sorted(train.values())
+    assert all(sum(r[e] for e in hm.EXPECTED) == pytest.approx(r["count"], rel=1e-4) for r in rows)

@@ -9,9 +9,8 @@ that unknown words have a class as well, and the class table has a fixed size.
 Steps, all over whole texts:
 1. Documents are coded once, block by block: a block's distinct words, and each text as numbers in them. No text is shuffled.
 2. Words are counted over all training documents: one row for each word and block is shuffled.
-3. Baum-Welch over classes, WARM rounds: tasks run scaled forward-backward over their blocks, and the expected counts are summed by slices of the
-   class table. Then over words, ROUNDS rounds: each block gets its words' rows of the state-by-word table and gives back their expected counts,
-   which are summed by word into the next table; the driver sees the states' starts, moves and totals.
+3. Baum-Welch, ROUNDS rounds: tasks run scaled forward-backward over their blocks. In all rounds but the last the expected counts are summed by
+   slices of the class table; in the last one by word, into the state-by-word table. (p(word | class) is the same in every state, so that round needs no table either.)
    The chain runs through each text as a whole and starts at its first token only. Work goes by segments of SEGMENT tokens: a segment's transfer
    matrix carries the forward and backward vectors over it, so segments are worked side by side and a text's length costs no memory but its own.
    Every round runs over every block.
@@ -42,15 +41,16 @@ TOP = 8192
 HASHED = 8192
 CLASSES = TOP + HASHED
 SEGMENT = 512
-ROWS = 1024
-WARM, ROUNDS = 11, 2
+ROWS = 2048
+ROUNDS = 13
 BLOCK_DOCS, BLOCK_TOKENS = 2000, 1 << 20
 SLICE = 4096
 END = b""
 BLOCK = ("block long, hashes array<long>, suffixes array<int>, trained array<int>, codes binary, lengths binary, held binary, "
          "doc_ids array<long>")
+TINY = 1e-30
 EXPECTED = [f"e{k}" for k in range(STATES)]
-WORDS = "kind int, hash long, count long, " + ", ".join(f"{e} float" for e in EXPECTED)
+WORDS = "hash long, count long, " + ", ".join(f"{e} float" for e in EXPECTED)
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -113,6 +113,10 @@ class Model:
     move: np.ndarray
     emit: np.ndarray
 
+    def light(self) -> Model:
+        """In single precision, for forward-backward; counts are summed in double precision."""
+        return Model(self.top, *[x.astype(np.float32) for x in (self.start, self.move, self.emit)])
+
 
 def classes_of(hashes: np.ndarray, suffixes: np.ndarray, top: dict[int, int]) -> np.ndarray:
     found = TOP + suffixes
@@ -160,7 +164,7 @@ def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray
     """
     count, steps, kinds = len(size), int(size[0]) if len(size) else 0, len(model.emit)
     enter = np.broadcast_to(model.start, (count, STATES)) if enter is None else enter
-    leave = np.ones((count, STATES)) if leave is None else leave
+    leave = np.ones((count, STATES), model.emit.dtype) if leave is None else leave
     live = [int(np.searchsorted(-size, -t, side="left")) for t in range(steps + 1)]  # rows longer than t
     starts, moves, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, kinds))
     seen = [model.emit[rows[:live[t], t]] for t in range(steps)]
@@ -168,15 +172,15 @@ def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray
     state = enter
     for t in range(steps):
         state = (state if t == 0 else state[:live[t]] @ model.move) * seen[t]
-        scale = state.sum(1, keepdims=True) + 1e-300
+        scale = state.sum(1, keepdims=True) + TINY
         state = state / scale
         ahead.append(state)
         scales.append(scale)
-    ending = [leave[live[t + 1]:live[t]] / ((ahead[t] * leave[:live[t]])[live[t + 1]:].sum(1, keepdims=True) + 1e-300) for t in range(steps)]
-    back, shares = ending[-1] if steps else np.ones((0, STATES)), []
+    ending = [leave[live[t + 1]:live[t]] / ((ahead[t] * leave[:live[t]])[live[t + 1]:].sum(1, keepdims=True) + TINY) for t in range(steps)]
+    back, shares = ending[-1] if steps else None, []
     for t in range(steps - 1, -1, -1):
         held = ahead[t] * back
-        held /= held.sum(1, keepdims=True) + 1e-300
+        held /= held.sum(1, keepdims=True) + TINY
         shares.append(held)
         if t == 0:
             starts = held.sum(0) if opens is None else held[opens].sum(0)
@@ -194,23 +198,23 @@ def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray
 
 def transfers(model: Model, found: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """For each segment, up to a factor, the matrix from the forward vector before its first token to the one at its last token."""
-    out = np.empty((len(size), STATES, STATES))
+    out = np.empty((len(size), STATES, STATES), model.emit.dtype)
     order = np.argsort(-size, kind="stable")
     for begin in range(0, len(order), ROWS):
         own = order[begin:begin + ROWS]
         start, length = first[own], size[own]
-        made = np.eye(STATES) * model.emit[found[start]][:, None, :]
+        made = np.eye(STATES, dtype=model.emit.dtype) * model.emit[found[start]][:, None, :]
         for t in range(1, int(length[0])):
             n = int(np.searchsorted(-length, -t, side="left"))
             step = (made[:n].reshape(-1, STATES) @ model.move).reshape(-1, STATES, STATES) * model.emit[found[start[:n] + t]][:, None, :]
-            made[:n] = step / (step.sum((1, 2), keepdims=True) + 1e-300)
-        out[own] = made / (made.sum((1, 2), keepdims=True) + 1e-300)
+            made[:n] = step / (step.sum((1, 2), keepdims=True) + TINY)
+        out[own] = made / (made.sum((1, 2), keepdims=True) + TINY)
     return out
 
 
 def carried(model: Model, found: np.ndarray, first: np.ndarray, size: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """What ``expected`` needs at the segments' borders: (enter, leave), and the expected moves over the borders."""
-    enter, leave = np.tile(model.start, (len(size), 1)), np.ones((len(size), STATES))
+    enter, leave = np.tile(model.start, (len(size), 1)), np.ones((len(size), STATES), model.emit.dtype)
     moves = np.zeros((STATES, STATES))
     over = np.flatnonzero(np.repeat(parts > 1, parts))  # segments of texts that have several
     if not len(over):
@@ -220,20 +224,20 @@ def carried(model: Model, found: np.ndarray, first: np.ndarray, size: np.ndarray
     lengths = parts[parts > 1]
     head = (np.cumsum(lengths) - lengths)[np.argsort(-lengths, kind="stable")]
     live = np.searchsorted(-number, -np.arange(number[0] + 1), side="left")  # texts with more than s segments
-    ends = np.empty((len(over), STATES))
+    ends = np.empty((len(over), STATES), model.emit.dtype)
     for s in range(number[0]):
         at = head[:live[s]] + s
         if s:
             enter[over[at]] = ends[at - 1] @ model.move
         state = np.einsum("ni,nij->nj", enter[over[at]], through[at])
-        ends[at] = state / (state.sum(1, keepdims=True) + 1e-300)
+        ends[at] = state / (state.sum(1, keepdims=True) + TINY)
     for s in range(number[0] - 1, 0, -1):
         at = head[:live[s]] + s
         inside = np.einsum("nij,nj->ni", through[at], leave[over[at]])
-        whole = ((ends[at - 1] @ model.move) * inside).sum(1, keepdims=True) + 1e-300
+        whole = ((ends[at - 1] @ model.move) * inside).sum(1, keepdims=True) + TINY
         moves += model.move * (ends[at - 1].T @ (inside / whole))
         before = inside @ model.move.T
-        leave[over[at - 1]] = before / (before.sum(1, keepdims=True) + 1e-300)
+        leave[over[at - 1]] = before / (before.sum(1, keepdims=True) + TINY)
     return enter, leave, moves
 
 
@@ -255,7 +259,7 @@ def expected_of_texts(model: Model, found: np.ndarray, lengths: np.ndarray) -> t
 
 def counted(blocks: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One Baum-Welch E step over all training texts of ``blocks``: the tasks' tables, summed slice by slice."""
-    size = STATES * (1 + STATES + CLASSES)
+    size, light = STATES * (1 + STATES + CLASSES), model.light()
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, any_rows = np.zeros(size), False
@@ -268,7 +272,7 @@ def counted(blocks: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np
                 found = known[np.frombuffer(get("codes").as_py(), np.int32)]
                 train = ~np.frombuffer(get("held").as_py(), np.uint8).astype(bool)
                 if train.any():
-                    total += np.concatenate([x.ravel() for x in expected_of_texts(model, found[np.repeat(train, lengths)], lengths[train])])
+                    total += np.concatenate([x.ravel() for x in expected_of_texts(light, found[np.repeat(train, lengths)], lengths[train])])
         parts = range(0, size if any_rows else 0, SLICE)
         yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array(
             [total[p:p + SLICE].tobytes() for p in parts], pa.binary())], ["slice", "sums"])
@@ -302,7 +306,7 @@ class Words:
     kinds: int
     class_tokens: np.ndarray  # of the HASHED classes
     class_kinds: np.ndarray
-    totals: np.ndarray | None = None  # expected tokens of each state; None before the first round over words
+    totals: np.ndarray | None = None  # expected tokens of each state; None without training words
 
     def emissions(self, classes: np.ndarray, count: np.ndarray, expected_counts: np.ndarray) -> np.ndarray:
         """p(word | state) by word, then state: expected counts, backed off to the word's class."""
@@ -312,7 +316,7 @@ class Words:
         if self.totals is None:
             return backed
         seen = self.tokens / (self.tokens + self.kinds)
-        return seen * expected_counts / (self.totals + 1e-300) + (1 - seen) * backed
+        return seen * expected_counts / (self.totals + TINY) + (1 - seen) * backed
 
 
 def local_model(words: Words, block: pa.Table, known: pa.Table) -> tuple[Model, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -331,32 +335,29 @@ def local_model(words: Words, block: pa.Table, known: pa.Table) -> tuple[Model,
 def with_rows(entries: DataFrame, table: DataFrame) -> DataFrame:
     """The table's row of each word of each block; words without one were not trained on."""
     return entries.select("block", "code", "hash").join(table, "hash").select(
-        F.col("block").alias("home"), "code", "hash", "count", *EXPECTED)
+        F.col("block").alias("home"), "code", "count", *EXPECTED)
 
 
-def counted_words(blocks: DataFrame, rows: DataFrame, words: Words) -> DataFrame:
-    """One Baum-Welch E step over all training texts with emissions by word: rows of kind 0 are words (with their counts and expected counts by state), kind 1 the starts
-    and then each state's moves."""
+def counted_words(blocks: DataFrame, model: Model) -> DataFrame:
+    """The last E step, over all training texts: each training word's count and expected count in each state."""
+    light = model.light()
 
-    def of_block(block: pa.Table, known: pa.Table) -> pa.Table:
-        made = [learned(block.slice(i, 1), known) for i in range(block.num_rows)]
-        return pa.concat_tables(made) if made else nothing(WORDS)
-
-    def learned(block: pa.Table, known: pa.Table) -> pa.Table:
-        m, lengths, codes, held, _ = local_model(words, block, known)
-        starts, moves, emits = expected_of_texts(m, codes[np.repeat(~held, lengths)], lengths[~held])
-        at = known["code"].to_numpy()
-        trained = np.bincount(codes[np.repeat(~held, lengths)], minlength=len(m.emit))[at]
-        used = trained > 0
-        sums = np.concatenate([emits[:, at[used]].T, starts[None], moves]).astype(np.float32)
-        n, extra = int(used.sum()), 1 + STATES
-        return pa.table({"kind": pa.array(np.repeat([0, 1], [n, extra]).astype(np.int32)),
-                         "hash": pa.array(np.concatenate([known["hash"].to_numpy()[used], np.arange(extra)])),
-                         "count": pa.array(np.concatenate([trained[used], np.zeros(extra, np.int64)])),
-                         **{e: pa.array(np.ascontiguousarray(sums[:, k])) for k, e in enumerate(EXPECTED)}})
-
-    found = blocks.groupBy("block").cogroup(rows.groupBy("home")).applyInArrow(of_block, WORDS)
-    return found.groupBy("kind", "hash").agg(F.sum("count").alias("count"), *[F.sum(F.col(e).cast("double")).cast("float").alias(e) for e in EXPECTED])
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                hashes, suffixes, trained, codes, lengths, held = (batch.column(c)[i] for c in range(6))
+                hashes, trained = hashes.values.to_numpy(), trained.values.to_numpy()
+                sizes, train = np.frombuffer(lengths.as_py(), np.int32).astype(np.int64), ~np.frombuffer(held.as_py(), np.uint8).astype(bool)
+                if not train.any():
+                    continue
+                own = replace(light, emit=light.emit[classes_of(hashes, suffixes.values.to_numpy(), model.top)])
+                emits = expected_of_texts(own, np.frombuffer(codes.as_py(), np.int32)[np.repeat(train, sizes)], sizes[train])[2]
+                used = trained > 0
+                yield pa.RecordBatch.from_arrays([pa.array(hashes[used]), pa.array(trained[used].astype(np.int64)), *[
+                    pa.array(e[used].astype(np.float32)) for e in emits]], ["hash", "count", *EXPECTED])
+
+    found = blocks.select("hashes", "suffixes", "trained", "codes", "lengths", "held").mapInArrow(of_task, WORDS)
+    return found.groupBy("hash").agg(F.sum("count").alias("count"), *[F.sum(F.col(e).cast("double")).cast("float").alias(e) for e in EXPECTED])
 
 
 def nothing(schema: str) -> pa.Table:
@@ -382,7 +383,7 @@ def likelihoods(model: Model, found: np.ndarray, inside: np.ndarray, lengths: np
     return out + np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights=inside, minlength=len(lengths))
 
 
-def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
+def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "hmm")
     coded(docs).write.option("compression", "zstd").parquet(path)
     blocks = spark.read.schema(BLOCK).parquet(path)
@@ -404,7 +405,7 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
     share = (share + 1e-3) / (share + 1e-3).sum()
 
     model = first_model(top, share)
-    for _ in range(warm if tokens else 0):
+    for _ in range(rounds - 1 if tokens else 0):
         model = maximised(model, counted(blocks, model), share)
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -415,19 +416,10 @@ def score(docs: DataFrame, warm: int = WARM, rounds: int = ROUNDS) -> DataFrame:
     whole = blocks.select("hashes", "suffixes", "block", "codes", "lengths", "held", "doc_ids").mapInArrow(
         classed, "classes binary, block long, codes binary, lengths binary, held binary, doc_ids array<long>")
 
-    words = Words(model, tokens, kinds, rest_tokens, rest_kinds)
-    rows = with_rows(entries, counts.select("hash", "count", *[F.lit(0.0).cast("float").alias(e) for e in EXPECTED]))
-    for _ in range(rounds if tokens else 0):
-        summed = store(counted_words(whole.drop("doc_ids"), rows, words), "hmm")
-        chain = np.zeros((1 + STATES, STATES))
-        for row in summed.where("kind = 1").collect():  # 1 + STATES rows
-            chain[row["hash"]] = [row[e] for e in EXPECTED]
-        start, move = chain[0] + 0.1, chain[1:] + 0.1
-        table = summed.where("kind = 0").drop("kind")
-        totals = table.agg(*[F.sum(F.col(e).cast("double")) for e in EXPECTED]).first()
-        words = replace(words, model=Model(top, start / start.sum(), move / move.sum(1, keepdims=True), words.model.emit),
-                        totals=np.array(list(totals), float))
-        rows = with_rows(entries, table)
+    table = store(counted_words(blocks, model), "hmm")
+    totals = np.array([x or 0.0 for x in table.agg(*[F.sum(F.col(e).cast("double")) for e in EXPECTED]).first()])
+    words = Words(model, tokens, kinds, rest_tokens, rest_kinds, totals if tokens else None)
+    rows = with_rows(entries, table)
 
     def of_block(block: pa.Table, known: pa.Table) -> pa.Table:
         out = [rows_of(block.slice(i, 1), known) for i in range(block.num_rows)]
