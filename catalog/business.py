@@ -28,6 +28,24 @@ def top_products(d):
     return questions.top_products(d, 1998)
 
 
+@query("W2 L3 J9", """
+    SELECT r_name AS contract_region_name, product_key, CAST(total AS DOUBLE) AS total_revenue, rank
+    FROM (SELECT r_name, product_key, sum(amount) AS total,
+                 row_number() OVER (PARTITION BY r_name ORDER BY sum(amount) DESC, product_key) AS rank
+          FROM sales_fact JOIN region ON r_regionkey = contract_region GROUP BY 1, 2) WHERE rank <= 5""", "sales_fact")
+def top_products_by_region(d):
+    return questions.top_products_by_region(d)
+
+
+@query("M0 J9 B27", """
+    SELECT c.r_name AS contract_region_name, h.r_name AS customer_region_name, CAST(sum(amount) AS DOUBLE) AS total_revenue,
+           count(*) AS total_contracts
+    FROM sales_fact JOIN customer_dim d USING (customer_key) JOIN region c ON c.r_regionkey = contract_region
+    JOIN region h ON h.r_regionkey = d.region_key GROUP BY 1, 2""", "sales_fact customer_dim")
+def sales_by_region_roles(d):
+    return questions.sales_by_region_roles(d)
+
+
 @query("B3 A9", """
     SELECT customer_type, customer_count, total_revenue, total_revenue / CAST(sum(r) OVER () AS DOUBLE) AS revenue_share
     FROM (SELECT customer_type, count(*) AS customer_count FROM customer_dim GROUP BY 1)

@@ -149,6 +149,22 @@ def coverage_gaps(d):
     return gaps.groupBy("customer_key").agg(F.count("*").alias("missing_hours"))
 
 
+@query("DQ5 S14 A7", """
+    SELECT customer_key, gateway_id, min(hour) AS first_hour, max(hour) AS last_hour, count(*) AS missing_hours
+    FROM (SELECT *, hour - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY customer_key ORDER BY hour) AS island
+          FROM (SELECT d.customer_key, d.gateway_id, s.hour
+                FROM devices d, (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-30 23:00:00',
+                                                               INTERVAL 1 HOUR)) AS hour) s
+                WHERE NOT EXISTS (SELECT 1 FROM customer_hours h WHERE h.customer_key = d.customer_key AND h.hour = s.hour)))
+    GROUP BY customer_key, gateway_id, island""", "devices customer_hours")
+def coverage_islands(d):
+    """Masks of two loads, by even and odd customers and an overlap, merged."""
+    readings = d["telemetry"]
+    loads = readings.where("customer_key % 2 = 0"), readings.where("customer_key % 2 = 1 or customer_key % 3 = 0")
+    masks = telemetry.merged_masks(*map(telemetry.hour_masks, loads))
+    return telemetry.gap_islands(masks, d["devices"], "2024-01-01", "2024-01-30")
+
+
 @query("A7 F3", """
     SELECT count(*) AS telemetry_records, CAST(min(ts) AS DATE) AS earliest_date, CAST(max(ts) AS DATE) AS latest_date,
            CAST(date_diff('day', CAST(min(ts) AS DATE), CAST(max(ts) AS DATE)) + 1 AS BIGINT) AS days_covered

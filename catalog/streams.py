@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
+from wattloom.functions.exact import total
 from wattloom.operators.prices import hourly_prices
 from wattloom.session import scratch_path
 from wattloom.sources.testdata import LAYOUTS, Domain
@@ -79,3 +80,23 @@ def stream_deduplicated(d):
     once = _drained(d, jobs.deduplicated_stream(twice, ["gateway_id", "ts"]))
     return once.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
         F.count("*").alias("readings"))
+
+
+@query("T5 T6", """
+    SELECT date_trunc('hour', ts) AS hour, count(*) FILTER (WHERE NOT late) AS on_time_rows, count(*) FILTER (WHERE late) AS late_rows,
+           CAST(sum(grid_import_export_kw) AS DOUBLE) AS net_grid_kw
+    FROM (SELECT ts, grid_import_export_kw, customer_key % 20 = 0
+                 AND ts < max(CASE WHEN customer_key % 20 <> 0 THEN ts END) OVER () - INTERVAL 2 HOUR AS late FROM telemetry)
+    GROUP BY 1""", "telemetry")
+def stream_late_rows(d):
+    """Three deliveries: two by time, then the readings of some gateways that were cut off until the end."""
+    source, path, checkpoint = (scratch_path(d.spark, name) for name in ("stream-in", "stream-out", "stream-state"))
+    readings = d["telemetry"].select("ts", "customer_key", "grid_import_export_kw")
+    cut_off, middle = F.col("customer_key") % 20 == 0, F.lit("2024-01-15").cast("timestamp_ntz")
+    for delivery in (~cut_off & (F.col("ts") < middle), ~cut_off & (F.col("ts") >= middle), cut_off):
+        readings.where(delivery).write.mode("append").parquet(source)
+        jobs.route_late(jobs.file_stream(d.spark, source, readings.schema), path, checkpoint)
+    found = jobs.routed(d.spark, path, readings.schema)
+    return found.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour")).agg(
+        F.count_if(~F.col("late")).alias("on_time_rows"), F.count_if("late").alias("late_rows"),
+        total("grid_import_export_kw").alias("net_grid_kw"))

@@ -21,7 +21,7 @@ TABLES: dict[str, tuple[str, str]] = {
     "sales_rep_dim": ("", "SELECT n_nationkey AS sales_rep_key, 'Rep ' || n_name AS rep_name FROM nation"),
     "sales_fact": ("", """
         SELECT l_orderkey AS sale_id, CAST(o_orderdate AS DATE) AS date, o_custkey AS customer_key,
-               l_partkey AS product_key, l_suppkey AS vendor_key, l_suppkey % 25 AS sales_rep_key,
+               l_partkey AS product_key, l_suppkey AS vendor_key, l_suppkey % 25 AS sales_rep_key, l_orderkey % 5 AS contract_region,
                CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(18,4))
                  AS amount, CAST(l_quantity AS BIGINT) AS units
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),

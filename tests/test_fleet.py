@@ -167,3 +167,22 @@ def test_correlation_series(spark):
     d = fleet(spark, (1, "North", True))
     series = arbitrage.soc_and_price(telemetry.fleet_soc_by_hour(r, d), p, prices.price_bands(p, exact=True))
     assert arbitrage.soc_price_correlation(series).first()["soc_price_corr"] == pytest.approx(-1.0)
+
+
+def test_gap_islands_against_the_spine(spark):
+    draw = random.Random(3)
+    rows = {(f"2024-01-{draw.randint(1, 4):02d} {draw.choice((0, 1, 2, 3, 21, 22, 23)):02d}:{draw.randint(0, 59):02d}:00", draw.randint(1, 5))
+            for _ in range(150)}
+    r = readings_at(spark, *[(ts, c, 0, 50, 0, 0) for ts, c in sorted(rows)])
+    d = fleet(spark, *[(c, "North", True) for c in range(1, 7)])  # the sixth has no reading
+    masks = telemetry.hour_masks(r)
+    again = telemetry.merged_masks(masks, telemetry.hour_masks(r.where("customer_key < 3")), masks)
+    assert sorted(again.collect()) == sorted(masks.collect())
+    islands = telemetry.gap_islands(again, d, "2024-01-01", "2024-01-03").collect()
+    hours = [(i.customer_key, i.first_hour + timedelta(hours=n)) for i in islands for n in range(i.missing_hours)]
+    gaps = telemetry.coverage_gaps(r, d, "2024-01-01", "2024-01-03")
+    assert sorted(hours) == sorted((g.customer_key, g.hour) for g in gaps.collect())
+    assert all(i.last_hour == i.first_hour + timedelta(hours=i.missing_hours - 1) for i in islands)
+    borders = {(i.customer_key, i.first_hour) for i in islands} & {(i.customer_key, i.last_hour + timedelta(hours=1)) for i in islands}
+    assert not borders  # runs are as long as can be
+    assert [i.missing_hours for i in islands if i.customer_key == 6] == [72]

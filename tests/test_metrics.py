@@ -1,6 +1,8 @@
+from dataclasses import replace
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from wattloom.plans import models
 from wattloom.plans.metrics import Entity, Link, MetricError, SemanticModel
@@ -116,3 +118,29 @@ def test_membership_through_two_links(spark):
         [Link("bills", "household", "homes"), Link("people", "household", "homes"), Link("visits", "person", "people")],
         [Dimension("kind", "visits", "kind")], [Metric("amount", "bills", "sum", "amount")])
     assert values(model.query(["amount"], where={"kind": lambda k: k == "red"})) == [(5,)]
+
+
+def test_two_ways_to_a_table_need_a_role(tables):
+    signed = tables["sales_fact"].withColumn("region_key", F.when(F.col("sale_id") < 4, 10).cast("long"))
+    sales = models.sales_model({**tables, "sales_fact": signed})
+    both = sales.query(["total_revenue"], ["contract:region_name", "customer:region_name"])
+    assert both.columns == ["contract_region_name", "customer_region_name", "total_revenue"]
+    assert {tuple(r) for r in both.collect()} == {("West", "West", 30.0), ("West", "South", 30.0), (None, None, 5.0)}
+    kept = sales.query(["total_revenue"], where={"Contract:Region": lambda r: r == "West", "region_name": lambda r: r == "South"})
+    assert values(kept) == [(30.0,)]
+    with pytest.raises(MetricError, match="unknown role"):
+        sales.query(["total_revenue"], ["vendor:region_name"])
+    plain = replace(sales.find_dimension("region_name"), role="")
+    blind = SemanticModel(sales.entities, sales.links, [plain], sales.metrics)
+    with pytest.raises(MetricError, match=r"2 ways: name one of the roles \['contract', 'customer'\]"):
+        blind.query(["total_revenue"], ["region_name"])
+    assert values(blind.query(["customer_count"], ["region_name"])) == [("South", 2), ("West", 1)]  # one way only
+
+
+def test_table_synonyms_and_folded_names(tables):
+    sales = models.sales_model(tables)
+    assert sales.find_entity("VERTRAEGE").name == "contracts"
+    assert sales.find_dimension("Kunden.Stadt").name == "city"
+    assert sales.find_dimension("Region Name") == sales.find_dimension("regionen.region_name")
+    with pytest.raises(MetricError):
+        sales.find_dimension("Produkte.city")

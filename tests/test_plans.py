@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.helpers import fleet, prices_at, readings_at
 from wattloom.operators import prices, telemetry
-from wattloom.plans import models
+from wattloom.plans import models, questions
 from wattloom.session import small_side
 from wattloom.sources import layers
 
@@ -81,3 +81,17 @@ def test_scratch_follows_the_cluster_setting(tmp_path):
     done = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=120,
                           cwd=Path(__file__).resolve().parents[1])
     assert done.stdout.strip().startswith(f"{tmp_path}/a-")
+
+
+def test_top_rows_of_each_group_are_cut_before_the_shuffle(spark):
+    rows = spark.range(2000).selectExpr("id", "if(id % 3 = 0, null, id % 7) as area", "if(id < 5, null, id % 50) as size")
+    found = questions.top_per_group(rows, "area", "size", "id", k=3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in plan.split("Exchange")[-1]
+    groups = {}
+    for r in rows.collect():
+        groups.setdefault(r.area, []).append(r)
+    for area, own in groups.items():
+        own.sort(key=lambda r: (r.size is None, -(r.size or 0), r.id))
+        groups[area] = [(r.id, i + 1) for i, r in enumerate(own[:3])]
+    assert {(r.area, r.id, r["rank"]) for r in found.collect()} == {(a, *x) for a, own in groups.items() for x in own}

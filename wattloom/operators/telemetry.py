@@ -72,6 +72,53 @@ def coverage_gaps(readings: DataFrame, devices: DataFrame, first_day: str, last_
     return spine.join(seen, ["customer_key", "hour"], "left_anti")
 
 
+def hour_masks(readings: DataFrame) -> DataFrame:
+    """One row per device and day: bit h of ``hours`` is set if hour h has a reading. Fit to be stored by day."""
+    bit = F.call_function("shiftleft", F.lit(1), F.hour("ts"))
+    return (readings.where(F.col("ts").isNotNull()).groupBy("customer_key", F.to_date("ts").alias("day"))
+            .agg(F.bit_or(bit).alias("hours")))
+
+
+def merged_masks(*masks: DataFrame) -> DataFrame:
+    """Masks of several loads as one; loading the same readings twice changes nothing."""
+    together = masks[0]
+    for more in masks[1:]:
+        together = together.unionByName(more)
+    return together.groupBy("customer_key", "day").agg(F.bit_or("hours").alias("hours"))
+
+
+def gap_islands(masks: DataFrame, devices: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Runs of hours without a reading, one row per device and run; a run may cross days.
+
+    What is shuffled is a mask per device and day, not an hour of the spine. The list per device is as long as the
+    window has days, whatever the number of readings.
+    """
+    first, last = F.to_date(F.lit(first_day)), F.to_date(F.lit(last_day))
+    per_device = (masks.where(F.col("day").between(first, last)).groupBy("customer_key", "day").agg(F.bit_or("hours").alias("hours"))
+                  .groupBy("customer_key").agg(F.map_from_entries(F.collect_list(F.struct("day", "hours"))).alias("masks")))
+    days = F.sequence(first, last)
+
+    def bits(day: Column) -> Column:
+        mask = F.coalesce(F.try_element_at("masks", day), F.lit(0))
+        return F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.getbit(mask.cast("bigint"), h))
+
+    covered = devices.select("customer_key", "gateway_id").join(per_device, "customer_key", "left").select(
+        "customer_key", "gateway_id", F.flatten(F.transform(days, bits)).alias("bits"))
+    every = F.sequence(F.lit(0), F.size("bits") - 1)
+
+    def gap(i: Column) -> Column:
+        return F.coalesce(F.get("bits", i), F.lit(1)) == 0
+
+    starts = F.filter(every, lambda i: gap(i) & ~gap(i - 1))
+    ends = F.filter(every, lambda i: gap(i) & ~gap(i + 1))
+    runs = covered.select("customer_key", "gateway_id", F.explode(F.arrays_zip(starts.alias("a"), ends.alias("b"))).alias("run"))
+    origin = first.cast("timestamp_ntz")
+    return runs.select(
+        "customer_key", "gateway_id", (origin + F.make_dt_interval(hours=F.col("run.a"))).alias("first_hour"),
+        (origin + F.make_dt_interval(hours=F.col("run.b"))).alias("last_hour"),
+        (F.col("run.b") - F.col("run.a") + 1).cast("bigint").alias("missing_hours"))
+
+
 def coverage_summary(readings: DataFrame) -> DataFrame:
     span = readings.agg(F.count("*").alias("telemetry_records"),
                         F.to_date(F.min("ts")).alias("earliest_date"), F.to_date(F.max("ts")).alias("latest_date"))

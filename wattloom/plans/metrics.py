@@ -7,12 +7,13 @@ separately and then joined on the shared dimensions, so one table never multipli
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.exact import from_units, ratio
+from wattloom.functions.texts import UMLAUTS
 
 Predicate = Callable[[Column], Column]
 
@@ -31,18 +32,32 @@ class Entity:
 
 @dataclass(frozen=True)
 class Link:
-    """Many rows of ``child`` refer to one row of ``parent`` by its key."""
+    """Many rows of ``child`` refer to one row of ``parent`` by its key.
+
+    Where a table can be reached in several ways, ``role`` says what the parent is on this way.
+    """
     child: str
     column: str
     parent: str
+    role: str = ""
 
 
 @dataclass(frozen=True)
 class Dimension:
+    """``role`` picks the way to the table where there are several; a query can name another one."""
     name: str
     entity: str
     expression: str
     synonyms: tuple[str, ...] = ()
+    role: str = ""
+
+
+def folded_name(name: str) -> str:
+    """Names compare without case, blanks, hyphens, underscores and umlauts."""
+    name = name.casefold()
+    for letter, spelling in UMLAUTS.items():
+        name = name.replace(letter, spelling)
+    return "".join(c for c in name if c not in " -_")
 
 
 @dataclass(frozen=True)
@@ -116,6 +131,9 @@ class SemanticModel:
         ``where`` keeps rows whose dimension meets the predicate. A dimension that cannot be reached
         many-to-one acts as membership: a bill is kept when its customer has such a row in the other
         table. ``without`` keeps the rows that have none.
+
+        A name may say its table (``"Kunden.city"``), and a dimension its role (``"contract:region_name"``), which then
+        leads its column's name (``contract_region_name``).
         """
         wanted = [self.find_metric(m) for m in metrics]
         by = [self.find_dimension(d) for d in dimensions]
@@ -131,15 +149,52 @@ class SemanticModel:
         return self._find(name, self.metrics, "metric")
 
     def find_dimension(self, name: str) -> Dimension:
-        return self._find(name, self.dimensions, "dimension")
+        role, _, plain = name.rpartition(":")
+        found = self._find(plain, self.dimensions, "dimension")
+        if not role:
+            return found
+        known = {folded_name(link.role): link.role for link in self.links if link.role}
+        if folded_name(role) not in known:
+            raise MetricError(f"unknown role {role!r} in {self.name}")
+        role = known[folded_name(role)]
+        return replace(found, name=f"{role}_{found.name}", role=role)
+
+    def find_entity(self, name: str) -> Entity:
+        return self._named(name, self.entities, "table")
 
     def _find(self, name, items, kind):
-        exact = [i for i in items if i.name.lower() == name.lower()]
-        found = exact or [i for i in items if name.lower() in {s.lower() for s in i.synonyms}]
+        table, _, plain = name.rpartition(".")
+        if table:
+            entity = self.find_entity(table).name
+            items = [i for i in items if i.entity == entity]
+        return self._named(plain, items, kind)
+
+    def _named(self, name, items, kind):
+        wanted = folded_name(name)
+        exact = [i for i in items if folded_name(i.name) == wanted]
+        found = exact or [i for i in items if wanted in map(folded_name, i.synonyms)]
         if len(found) != 1:
             raise MetricError(f"{'ambiguous' if found else 'unknown'} {kind} {name!r} in {self.name}")
         return found[0]
 
+    def _routes(self, start: str, goal: str, before: tuple[Link, ...] = ()) -> list[tuple[Link, ...]]:
+        """All chains of many-to-one links that pass no table twice."""
+        if start == goal:
+            return [before]
+        passed = {link.child for link in before}
+        return [route for link in self.links if link.child == start and link.parent not in passed
+                for route in self._routes(link.parent, goal, (*before, link))]
+
+    def _way(self, base: str, d: Dimension) -> tuple[Link, ...]:
+        """The one chain from the metric's table to the dimension in its role."""
+        routes = self._routes(base, d.entity)
+        in_role = [r for r in routes if d.role and d.role in {link.role for link in r}]
+        named = in_role or (routes if len(routes) == 1 else [])
+        if len(named) != 1:
+            roles = sorted({link.role for r in routes for link in r if link.role})
+            raise MetricError(f"{d.name} can be reached from {base} in {len(routes)} ways: name one of the roles {roles}")
+        return named[0]
+
     def _route(self, start: str, goal: str) -> list[Link] | None:
         """Shortest chain of many-to-one links, or None."""
         routes, seen = [(start, [])], {start}
@@ -167,7 +222,7 @@ class SemanticModel:
         joined_dimensions = [d for d in near_all if d.entity != base]
         local = [d for d in near_all if d.entity == base]
         meeting = [self._meeting(base, d) for d, _, _ in members]
-        first_hops = {self._route(base, d.entity)[0] for d in joined_dimensions} | {own[0] for own, _ in meeting if own}
+        first_hops = {self._way(base, d)[0] for d in joined_dimensions} | {own[0] for own, _ in meeting if own}
 
         keys = {self._key_column(link): F.col(link.column) for link in sorted(first_hops, key=self._key_column)}
         if any(not own for own, _ in meeting):
@@ -202,16 +257,16 @@ class SemanticModel:
         return rows.groupBy(*[d.name for d in by]).agg(*[m.combined() if early else m.direct() for m in metrics])
 
     def _with_parents(self, rows: DataFrame, base: str, dimensions: list[Dimension]) -> DataFrame:
-        """Join each parent once, carrying only its wanted dimensions and the keys that lead on."""
-        links = list(dict.fromkeys(link for d in dimensions for link in self._route(base, d.entity)))
-        links.sort(key=lambda link: len(self._route(base, link.parent)))
-        for link in links:
-            parent = self._entities[link.parent]
-            onward = [n for n in links if n.child == link.parent]
+        """Join each parent once in each role, carrying only its wanted dimensions and the keys that lead on."""
+        ways = {d: self._way(base, d) for d in dimensions}
+        steps = sorted({way[:n] for way in ways.values() for n in range(1, len(way) + 1)},
+                       key=lambda step: (len(step), self._key_column(*step)))
+        for step in steps:
+            parent = self._entities[step[-1].parent]
             columns = [F.col(parent.key).alias("_parent_key")]
-            columns += [F.col(n.column).alias(self._key_column(n)) for n in onward]
-            columns += [F.expr(d.expression).alias(d.name) for d in dimensions if d.entity == link.parent]
-            key_column = self._key_column(link)
+            columns += [F.col(n[-1].column).alias(self._key_column(*n)) for n in steps if n[:-1] == step]
+            columns += [F.expr(d.expression).alias(d.name) for d in dimensions if ways[d] == step]
+            key_column = self._key_column(*step)
             rows = rows.join(parent.frame.select(*columns), F.col(key_column) == F.col("_parent_key"), "left")
             rows = rows.drop("_parent_key", key_column)
         return rows
@@ -241,8 +296,8 @@ class SemanticModel:
         return rows.join(keys.distinct(), F.col(own_column) == F.col("_member"), how)
 
     @staticmethod
-    def _key_column(link: Link) -> str:
-        return f"_fk_{link.child}_{link.column}_{link.parent}"
+    def _key_column(*way: Link) -> str:
+        return "".join(f"_fk_{link.child}_{link.column}_{link.parent}" for link in way)
 
     @staticmethod
     def _side_by_side(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:

@@ -35,7 +35,7 @@ def sales_model(t: Tables) -> SemanticModel:
         links=[
             Link("contracts", "customer_key", "customers"), Link("contracts", "product_key", "products"),
             Link("contracts", "sales_rep_key", "reps"), Link("contracts", "vendor_key", "vendors"),
-            Link("customers", "region_key", "regions"),
+            Link("customers", "region_key", "regions", "customer"), Link("contracts", "region_key", "regions", "contract"),
         ],
         dimensions=[
             Dimension("customer_name", "customers", "customer_name", ("Kunde",)),
@@ -45,7 +45,7 @@ def sales_model(t: Tables) -> SemanticModel:
             Dimension("product_name", "products", "product_name", ("Produkt", "Tarif")),
             Dimension("category_name", "products", "category_name", ("Kategorie", "product_category")),
             Dimension("vertical", "products", "vertical", ("Bereich",)),
-            Dimension("region_name", "regions", "region_name", ("Region", "Gebiet")),
+            Dimension("region_name", "regions", "region_name", ("Region", "Gebiet"), role="customer"),
             Dimension("contract_date", "contracts", "date", ("Vertragsdatum",)),
             Dimension("contract_month", "contracts", "cast(trunc(date, 'month') as date)"),
             Dimension("contract_year", "contracts", "year(date)"),

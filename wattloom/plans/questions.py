@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattloom.operators import arbitrage, prices as price_ops, telemetry
@@ -42,6 +43,13 @@ def top(df: DataFrame, by: str, *ties: str, k: int) -> DataFrame:
     return df.orderBy(F.desc(by), *ties).limit(k)
 
 
+def top_per_group(df: DataFrame, group: str, by: str, *ties: str, k: int) -> DataFrame:
+    """Largest ``k`` rows of each group with their rank. Each task keeps ``k`` rows a group before the shuffle, so a hot group
+    sends no more rows than any other."""
+    order = W.partitionBy(group).orderBy(F.desc_nulls_last(by), *ties)
+    return df.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 # sales
 
 
@@ -51,6 +59,17 @@ def top_products(t: Tables, year: int, k: int = 5) -> DataFrame:
     return top(sales, "total_revenue", "product_key", k=k)
 
 
+def top_products_by_region(t: Tables, role: str = "contract", k: int = 5) -> DataFrame:
+    """Best-selling products of each region, by the contract's or the customer's region."""
+    sales = models.sales_model(t).query(["total_revenue"], [f"{role}:region_name", "product_key"])
+    return top_per_group(sales, f"{role}_region_name", "total_revenue", "product_key", k=k)
+
+
+def sales_by_region_roles(t: Tables) -> DataFrame:
+    """Revenue by where a contract was signed and where its customer lives."""
+    return models.sales_model(t).query(["total_revenue", "total_contracts"], ["contract:region_name", "customer:region_name"])
+
+
 def customer_segments(t: Tables) -> DataFrame:
     both = models.sales_model(t).query(["customer_count", "total_revenue"], ["customer_type"])
     return share_of_total(both, "total_revenue", "revenue_share")

@@ -134,6 +134,7 @@ def sales_fact(d: Domain) -> DataFrame:
         F.col("l_orderkey").alias("sale_id"), F.to_date("o_orderdate").alias("date"),
         F.col("o_custkey").alias("customer_key"), F.col("l_partkey").alias("product_key"),
         F.col("l_suppkey").alias("vendor_key"), (F.col("l_suppkey") % 25).alias("sales_rep_key"),
+        (F.col("l_orderkey") % 5).cast("int").alias("region_key"),
         amount.cast("decimal(18,4)").alias("amount"), F.col("l_quantity").cast("bigint").alias("units"))
 
 

@@ -57,6 +57,40 @@ def deduplicated_stream(readings: DataFrame, keys: list[str], delay: str = "2 ho
     return timed.dropDuplicatesWithinWatermark(keys).drop("event_time")
 
 
+def route_late(stream: DataFrame, path: str, checkpoint: str, delay: str = "2 hours") -> None:
+    """Store on-time rows below ``path``/on_time and late ones below ``path``/late; nothing is dropped.
+
+    A row is late if it is older than the newest time of all earlier batches less ``delay``, as with a watermark. Every
+    batch keeps its newest time and writes folders of its own number, so a batch that is replayed finds the same mark
+    and replaces what it wrote. Rows without a time are late.
+    """
+    spark = stream.sparkSession
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        before = None
+        if batch_id > 0:
+            marks = spark.read.schema("newest long, routed_batch long").parquet(f"{path}/marks")
+            before = marks.where(F.col("routed_batch") < batch_id).agg(F.max("newest")).first()[0]
+        limit = F.timestamp_micros(F.lit(before).cast("bigint")) - F.expr(f"interval {delay}")
+        late = F.coalesce(F.col("ts").cast("timestamp") < limit, F.col("ts").isNull())
+        batch.where(~late).write.mode("overwrite").parquet(f"{path}/on_time/routed_batch={batch_id}")
+        batch.where(late).write.mode("overwrite").parquet(f"{path}/late/routed_batch={batch_id}")
+        newest = batch.agg(F.unix_micros(F.max(F.col("ts").cast("timestamp"))).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{path}/marks/routed_batch={batch_id}")
+        batch.unpersist()
+
+    (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def routed(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """What ``route_late`` stored, with a column ``late``."""
+    parts = [spark.read.schema(schema).parquet(f"{path}/{name}").drop("routed_batch").withColumn("late", F.lit(name == "late"))
+             for name in ("on_time", "late")]
+    return parts[0].unionByName(parts[1])
+
+
 def upsert_available(stream: DataFrame, path: str, checkpoint: str, keys: list[str], partition_column: str,
                      newest_by: str) -> None:
     """Upsert each micro-batch by key; of several rows for a key the newest stays, whatever their order.
