@@ -278,7 +278,8 @@ def html_sql(column: str) -> str:
     text = f"regexp_replace({column}, '<!--.*?-->', ' ', 'gs')"
     for tag in ("script", "style"):
         text = f"regexp_replace({text}, '<{tag}[^>]*>.*?</{tag}>', ' ', 'gsi')"
-    text = f"regexp_replace({text}, '<[^>]*>', ' ', 'gs')"
+    text = f"""regexp_replace({text}, '<[a-zA-Z/!?]("[^"]*"|''[^'']*''|[^''">])*>', ' ', 'gs')"""
+    text = f"regexp_replace({text}, '<[a-zA-Z/!?][^>]*>', ' ', 'gs')"
     for entity, character in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):
         text = f"replace({text}, '{entity}', '{character}')"
     return rf"trim(regexp_replace({text}, '\s+', ' ', 'g'))"

@@ -5,6 +5,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from tests.helpers import by
+from wattloom.functions import texts
 from wattloom.functions.texts import folded, html_text, ticket_tone, tokens
 from wattloom.operators import search
 from wattloom.operators.resolve import resolve_literal
@@ -107,3 +108,19 @@ def test_ticket_tone(spark):
     assert {k: r["tone"] for k, r in by(found, "t").items()} == {
         "Wallbox defekt": "negative", "Lob, aber Störung": "negative", "Lob": "positive", "Frage": "neutral",
         "Speicher lädt nicht": "negative"}
+
+
+def test_html_tags_quotes_and_numbered_characters(spark):
+    cases = {
+        "a < b and c > d": "a < b and c > d",
+        '<p title="x>y">in</p> out': "in out",
+        "<a href='it>s'>k</a><br/>z": "k z",
+        "M&#228;rz &#x20AC;5 &#128512; &#38;lt; &#0; &#55296; &#12": "M\u00e4rz \u20ac5 \U0001f600 &lt; &#0; &#55296; &#12",
+        '<p title="open>left': 'left',
+        "<!-- a > b --><script>x<y</script>t": "t",
+        "": "", None: None,
+        "<b " + "'x' " * 5000 + "> end": "end",
+    }
+    rows = spark.createDataFrame([(k,) for k in cases], "html string")
+    found = {r.html: r.text for r in rows.select("html", texts.html_text(F.col("html")).alias("text")).collect()}
+    assert found == cases
