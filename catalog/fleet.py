@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from wattloom.operators import arbitrage, devices, prices, telemetry
+from wattloom.operators import arbitrage, devices, prices, sketches, telemetry
 from wattloom.operators.accounts import share_of_total
 from wattloom.plans import models, questions
+from wattloom.session import store
 from wattloom.sources.testdata import HEATPUMP, SOLAR
 
 
@@ -57,6 +58,34 @@ def owner_overlap(d):
     return devices.ownership_overlap(d["customer_products"], SOLAR, HEATPUMP)
 
 
+@query("U3", """
+    SELECT CAST(count_if(a) AS BIGINT) AS n_first, CAST(count_if(b) AS BIGINT) AS n_second, CAST(count_if(a AND b) AS BIGINT) AS n_both,
+           CAST(count_if(a OR b) AS BIGINT) AS n_either, CAST(count_if(a AND NOT b) AS BIGINT) AS n_first_only
+    FROM (SELECT customer_key, coalesce(bool_or(category_name = 'PROMO'), false) AS a, coalesce(bool_or(category_name = 'ECONOMY'), false) AS b
+          FROM customer_products GROUP BY 1)""", "customer_products")
+def owner_set_overlap(d):
+    """The overlap of owners from one stored set per category, without grouping by customer."""
+    sets = d["customer_products"].groupBy("category_name").agg(sketches.members("customer_key").alias("members"))
+    return sketches.set_overlap(store(sets, "sets"), "category_name", SOLAR, HEATPUMP)
+
+
+TURNOVER_SQL = """
+    SELECT day, region, count(*) AS active, CAST(count_if(known) AS BIGINT) AS returning, CAST(count_if(NOT known) AS BIGINT) AS new,
+           coalesce(any_value(n_before), 0) - CAST(count_if(known) AS BIGINT) AS gone
+    FROM (SELECT a.*, b.customer_key IS NOT NULL AS known, s.n_before
+          FROM seen a LEFT JOIN seen b ON b.customer_key = a.customer_key AND b.region = a.region AND b.day = a.day - 1
+          LEFT JOIN (SELECT day, region, count(*) AS n_before FROM seen GROUP BY 1, 2) s ON s.region = a.region AND s.day = a.day - 1)
+    GROUP BY 1, 2"""
+
+
+@query("A2 U3", """
+    SELECT * FROM (WITH seen AS MATERIALIZED (SELECT DISTINCT CAST(hour AS DATE) AS day, region, customer_key FROM customer_hours
+                               JOIN devices USING (customer_key) WHERE is_vpp_enrolled)""" + TURNOVER_SQL + ")", "customer_hours devices")
+def device_turnover(d):
+    """Days merged from stored hourly sets; regions have fewer customers here than a set holds exactly."""
+    return sketches.day_turnover(store(sketches.device_sets(d["telemetry"], d["devices"]), "sets"))
+
+
 @query("J11", """
     SELECT customer_key, customer_name, city FROM customer_dim
     WHERE customer_key IN (SELECT customer_key FROM customer_products WHERE category_name = 'PROMO')""",

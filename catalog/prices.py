@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query
-from wattloom.operators import arbitrage, prices
+from wattloom.operators import arbitrage, prices, sketches
 from wattloom.plans import models, questions
-from wattloom.session import scratch_path
+from wattloom.plans.refresh import bands_by_day
+from wattloom.session import scratch_path, store
 from wattloom.sources import price_documents as docs
 
 
@@ -110,6 +111,31 @@ def price_bands_sketch(d):
     return prices.price_bands(d["market_prices"])
 
 
+@query("A3", """
+    SELECT p25, p75, CAST(sum(CAST(price_eur_mwh AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS avg_price
+    FROM (SELECT price_eur_mwh, quantile_disc(price_eur_mwh, 0.25) OVER () AS p25, quantile_disc(price_eur_mwh, 0.75) OVER () AS p75
+          FROM market_prices) GROUP BY 1, 2""", "market_prices")
+def price_bands_by_day(d):
+    """Stored day sketches after two refreshes: the second reads the days from the 20th on only, one of them again."""
+    path = scratch_path(d.spark, "quantiles")
+    staged = store(d["market_prices"].withColumn("price_day", F.to_date("start_time")), "staged")
+    before = staged.where("start_time < timestamp_ntz'2024-01-20 10:00:00'")
+    bands_by_day(before, before, path)
+    return bands_by_day(staged, staged.where("price_day >= date'2024-01-20'"), path)
+
+
+@query("A3", """
+    SELECT CAST(date_trunc('month', start_time) AS DATE) AS month, count(*) AS intervals, quantile_disc(price_eur_mwh, 0.1) AS p10,
+           quantile_disc(price_eur_mwh, 0.5) AS median_price, quantile_disc(price_eur_mwh, 0.9) AS p90,
+           CAST(sum(CAST(price_eur_mwh AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS avg_price
+    FROM market_prices GROUP BY 1""", "market_prices")
+def price_month_quantiles(d):
+    """Months merged from stored day sketches; a month has fewer intervals than a sketch holds, so it answers exactly."""
+    months = sketches.merged_quantiles(store(sketches.day_quantiles(d["market_prices"]), "quantiles"), F.trunc("price_day", "month").alias("month"))
+    return months.select("month", "intervals", sketches.quantile("quantiles", 0.1).alias("p10"), sketches.quantile("quantiles", 0.5).alias("median_price"),
+                         sketches.quantile("quantiles", 0.9).alias("p90"), (F.col("price_sum").cast("double") / F.col("intervals")).alias("avg_price"))
+
+
 @query("A4 F1", "SELECT * FROM hourly_prices", "hourly_prices")
 def hourly_prices(d):
     return prices.hourly_prices(d["market_prices"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query
 from wattloom.functions.exact import total
 from wattloom.operators.prices import hourly_prices
+from wattloom.operators.sketches import size_of, united
 from wattloom.session import scratch_path
 from wattloom.sources.testdata import LAYOUTS, Domain
 from wattloom.streaming import jobs
@@ -43,6 +44,17 @@ def stream_capacity(d):
     return _drained(d, jobs.capacity_stream(_streamed(d), d["devices"])).drop("approx_active_devices")
 
 
+@query("T1 A2", """
+    SELECT CAST(hour AS DATE) AS day, region, count(DISTINCT customer_key) AS active
+    FROM customer_hours JOIN devices USING (customer_key)
+    WHERE is_vpp_enrolled AND hour + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM telemetry)
+    GROUP BY 1, 2""", "customer_hours devices telemetry")
+def stream_device_sets(d):
+    """Hourly sets from the stream, merged to days: distinct customers of the hours that the watermark has closed."""
+    sets = _drained(d, jobs.device_set_stream(_streamed(d), d["devices"]))
+    return sets.groupBy(F.to_date("hour").alias("day"), "region").agg(size_of(united("members")).alias("active"))
+
+
 @query("T2", "SELECT count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS id_sum FROM events")
 def stream_ingest(d):
     """Two runs over the same folder: the second finds nothing new."""

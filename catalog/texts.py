@@ -14,6 +14,7 @@ from wattloom.operators.text_index import TextIndex
 from wattloom.operators.vector_index import VectorIndex
 from wattloom.session import scratch_path, store
 from wattloom.sources import documents
+from wattloom.sources.document_folder import DocumentFolder
 
 SQL_WORDS = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')".format
 
@@ -56,6 +57,27 @@ def document_collections(d):
         F.sum(F.length("content")).alias("characters"))
 
 
+@query("S8 R7 S5", """
+    SELECT doc_id, CAST(CASE WHEN doc_id % 10 IN (1, 3) THEN 1 ELSE 0 END AS BIGINT) AS scan, length(text) AS characters, md5(text) AS content_hash
+    FROM documents""")
+def document_rescan(d):
+    """Documents as one file each, in ten folders: one is rewritten and one added after the first scan; the second reads these, the third none."""
+    root = scratch_path(d.spark, "document-files")
+    part = F.col("doc_id") % 10
+    texts = d.source("documents").select("doc_id", F.col("text").alias("value"), part.alias("part"))
+    folder = DocumentFolder(d.spark, root, scratch_path(d.spark, "document-state"))
+    older = F.when(part == 1, F.concat("value", F.lit(" older words"))).otherwise(F.col("value"))
+    for now in (texts.where("part <> 3").withColumn("value", older), texts.where("part in (1, 3)")):
+        (now.select(F.concat_ws("\n", "doc_id", "value").alias("value"), "part").repartition("part").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 1).partitionBy("part").text(root))
+        folder.scan()
+    folder.scan()
+    pieces = F.split("content", "\n", 2)
+    text = F.expr("left(text, length(text) - 1)")  # the writer ends a file with a line feed
+    return folder.documents().select(pieces[0].cast("bigint").alias("doc_id"), "scan", pieces[1].alias("text")).select(
+        "doc_id", "scan", F.length(text).alias("characters"), F.md5(text).alias("content_hash"))
+
+
 @query("L2", """
     SELECT relative_path, left(content, 200) AS content_preview FROM parsed_content ORDER BY relative_path LIMIT 5""",
        "parsed_content")

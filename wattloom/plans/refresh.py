@@ -7,20 +7,36 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.operators import arbitrage, devices as device_ops, prices as price_ops, telemetry as telemetry_ops
+from wattloom.operators import arbitrage, devices as device_ops, prices as price_ops, sketches, telemetry as telemetry_ops
 from wattloom.session import small_side, store
 from wattloom.sources.layers import append, layer_path, one_row_each, read_if_present, unseen_rows, upsert_partitions, write_full
 from wattloom.sources.price_documents import checked_documents, new_documents, quarantined, usable
 
 
-def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | None = None) -> dict[str, str]:
+def bands_by_day(prices: DataFrame, renewed: DataFrame, path: str) -> DataFrame:
+    """Price bands from a stored sketch per day: of the prices only the days in ``renewed``, or without a sketch yet, are read.
+
+    Both frames have a column ``price_day``, by which stored prices are partitioned.
+    """
+    stored = read_if_present(prices.sparkSession, path)
+    days = prices.select("price_day").distinct()
+    if stored is not None:
+        days = days.join(stored.select("price_day"), "price_day", "left_anti").union(renewed.select("price_day")).distinct()
+    fresh = sketches.day_quantiles(prices.join(days, "price_day", "left_semi"))
+    upsert_partitions(fresh, path, ["price_day"], "price_day")
+    stored = read_if_present(prices.sparkSession, path)
+    return sketches.bands_of(fresh if stored is None else stored)
+
+
+def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | None = None, day_sketches: bool = False) -> dict[str, str]:
     """Bring the layers below ``root`` up to date; running it again with the same input changes nothing.
 
     ``incoming`` holds ``raw_day_ahead_prices``, ``telemetry``, ``customer_dim`` and
     ``device_registry``. Readings and price documents are taken up by key, so late and back-dated ones count, and a reading that a delivery repeats counts
     once. A document that can't be used goes to ``price_quarantine`` with the reason and does not keep a later one of its day away.
     Capacity and margins are computed anew for the hours that new readings or new prices touch, from all stored
-    readings of those hours, and replace their rows. Quartiles come from all prices so far unless ``bands`` fixes them.
+    readings of those hours, and replace their rows. Quartiles come from all prices so far unless ``bands`` fixes them; with
+    ``day_sketches`` they are merged from a stored sketch per day, so that a refresh reads the prices of new days only for them.
     """
     spark = incoming["telemetry"].sparkSession
     path = {
@@ -30,6 +46,7 @@ def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | Non
         "devices": layer_path(root, "silver", "devices"),
         "market_prices": layer_path(root, "silver", "market_prices"),
         "price_mart": layer_path(root, "gold", "price_mart"),
+        "price_quantiles": layer_path(root, "ops", "price_quantiles"),
         "capacity": layer_path(root, "gold", "capacity_hourly"),
         "arbitrage": layer_path(root, "gold", "arbitrage"),
     }
@@ -72,6 +89,8 @@ def refresh(incoming: Mapping[str, DataFrame], root: str, bands: DataFrame | Non
     capacity = telemetry_ops.capacity_hourly(touched, devices)
     upsert_partitions(capacity.withColumn("day", F.to_date("hour")), path["capacity"], ["hour", "region"], "day")
 
+    if bands is None and day_sketches:
+        bands = bands_by_day(prices, staged, path["price_quantiles"])
     margins = arbitrage.arbitrage_margins(touched, devices, prices, bands=bands)
     upsert_partitions(margins.withColumn("day", F.to_date("hour")), path["arbitrage"], ["hour", "customer_key"], "day")
     return path

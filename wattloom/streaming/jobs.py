@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from wattloom.functions.exact import total
+from wattloom.operators.sketches import members
 from wattloom.sources.layers import upsert_partitions
 
 
@@ -45,6 +46,18 @@ def capacity_stream(readings: DataFrame, devices: DataFrame, delay: str = "2 hou
                     "approx_active_devices", "total_battery_soc", "total_solar_yield_kw", "net_grid_kw"))
 
 
+def device_set_stream(readings: DataFrame, devices: DataFrame, delay: str = "2 hours") -> DataFrame:
+    """The set of enrolled customers per hour and region from a telemetry stream, as ``device_sets`` gives it for a table.
+
+    The state holds one bounded sketch per open hour and region; stored hours merge to days without reading a row again.
+    """
+    enrolled = devices.where("is_vpp_enrolled").select("customer_key", "region")
+    timed = readings.withColumn("event_time", F.col("ts").cast("timestamp")).withWatermark("event_time", delay)
+    return (timed.join(enrolled, "customer_key").groupBy(F.window("event_time", "1 hour").alias("w"), "region")
+            .agg(members("customer_key").alias("members"))
+            .select(F.col("w.start").cast("timestamp_ntz").alias("hour"), "region", "members"))
+
+
 def priced_stream(readings: DataFrame, hourly_prices: DataFrame) -> DataFrame:
     """Each reading of the stream with the price of its hour, NULL where none is known."""
     hour = F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz")
