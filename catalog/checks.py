@@ -7,7 +7,8 @@ from pyspark.sql.types import StructType
 
 from catalog.fleet import ZONE_SQL
 from catalog.registry import query
-from wattloom.operators import arbitrage, prices, quality
+from wattloom.operators import arbitrage, prices, quality, telemetry
+from wattloom.plans.declared import MODEL_TESTS
 from wattloom.plans.refresh import refresh
 from wattloom.schemas import BATTERY_ACTIONS, DATE, INT, LONG, PRICE_ZONES, col, key, money, text
 from wattloom.session import scratch_path
@@ -146,6 +147,40 @@ def merged_with_new_column(d):
     return layers.merge_rows(stored, moved, ["customer_key"])
 
 
+def _test_sql(table: str, source: str, column: str, test) -> str:
+    """One declared test as SQL that counts."""
+    head = f"SELECT '{table}' AS table_name, '{column}' AS column_name, "
+    if test == quality.NOT_NULL:
+        return head + f"""'not_null' AS test, count(*) AS failing_rows, least(count(*), 1) AS failing_values
+    FROM {source} WHERE {column} IS NULL"""
+    if test == quality.UNIQUE:
+        return head + f"""'unique' AS test, CAST(coalesce(sum(n), 0) AS BIGINT) AS failing_rows, count(*) AS failing_values
+    FROM (SELECT count(*) AS n FROM {source} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)"""
+    values = ", ".join(f"'{v}'" for v in test)
+    return head + f"""'accepted_values' AS test, count(*) AS failing_rows, count(DISTINCT {column}) AS failing_values
+    FROM {source} WHERE {column} NOT IN ({values})"""
+
+
+TESTED = {
+    "staged_prices": "market_prices", "price_mart": "market_prices", "devices": "devices", "telemetry": "telemetry",
+    "capacity_hourly": "(SELECT DISTINCT hour, region FROM customer_hours JOIN devices USING (customer_key) WHERE is_vpp_enrolled)",
+    "arbitrage": "(SELECT * FROM margins WHERE grain = 'hour')", "order_lines": "lineitem"}
+
+#: What the models promise, and some promises that the test tables break.
+DECLARED = {**MODEL_TESTS, "order_lines": {"l_orderkey": (quality.UNIQUE, quality.NOT_NULL), "l_returnflag": (("A", "N"),)}}
+
+
+@query("DQ1 DQ2 DQ3", " UNION ALL ".join(
+    _test_sql(table, TESTED[table], column, test) for table, columns in DECLARED.items() for column, tests in columns.items() for test in tests),
+       "market_prices devices telemetry customer_hours margins")
+def declared_tests(d):
+    """The column tests of every model, one row each. Regions of the test tables have other names than the listed ones, so that test fails."""
+    margins = arbitrage.arbitrage_margins(d["telemetry"], d["devices"], d["market_prices"], exact_bands=True)
+    tables = {"staged_prices": d["market_prices"], "price_mart": d["prices_mart"], "devices": d["devices"], "telemetry": d["telemetry"],
+              "capacity_hourly": telemetry.capacity_hourly(d["telemetry"], d["devices"]), "arbitrage": margins, "order_lines": d.source("lineitem")}
+    return quality.declared_report(tables, DECLARED)
+
+
 @query("DQ1", """
     SELECT 'market_prices' AS table_name, c.column_name, CAST(0 AS BIGINT) AS null_rows
     FROM (VALUES ('start_time'), ('end_time'), ('price_eur_mwh')) AS c(column_name)

@@ -188,8 +188,8 @@ def negative_hours_by_month(d):
 
 @query("K2", """
     SELECT CAST(hour AS DATE) AS price_day,
-           CAST(sum(CAST(price_eur_mwh AS DECIMAL(18,4))) AS DOUBLE) / count(*) AS baseload,
-           CAST(sum(CAST(price_eur_mwh AS DECIMAL(18,4))) FILTER (hour(hour) BETWEEN 8 AND 19) AS DOUBLE)
+           CAST(sum(CAST(price_eur_mwh AS DECIMAL(28,9))) AS DOUBLE) / count(*) AS baseload,
+           CAST(sum(CAST(price_eur_mwh AS DECIMAL(28,9))) FILTER (hour(hour) BETWEEN 8 AND 19) AS DOUBLE)
              / nullif(count(*) FILTER (hour(hour) BETWEEN 8 AND 19), 0) AS peakload
     FROM hourly_prices GROUP BY 1""", "hourly_prices")
 def base_and_peak_load(d):

@@ -109,6 +109,12 @@ def test_peak_hours_are_eight_to_twenty(spark):
     assert prices.base_and_peak_load(p).first()[1:] == (2.0, 1.0)
 
 
+def test_means_of_hourly_means_keep_their_digits(spark):
+    thirds = [("2024-01-01 09:00:00", 1.0), ("2024-01-01 09:15:00", 1.0), ("2024-01-01 09:30:00", 2.0), ("2024-01-01 10:00:00", 1.0)]
+    found = prices.base_and_peak_load(prices_at(spark, *thirds)).first()
+    assert abs(found.baseload - 7 / 6) < 1e-9 and abs(found.peakload - 7 / 6) < 1e-9
+
+
 def test_highest_price_reports_its_first_time(spark):
     p = prices_at(spark, ("2024-01-01 05:00:00", 9.0), ("2024-01-01 03:00:00", 9.0), ("2024-01-01 01:00:00", 1.0))
     row = prices.highest_prices(p, "2024-01-01", 1).first()

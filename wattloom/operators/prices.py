@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.functions.clock import EPOCH, hour_of, month_of, unix_to_utc, weekday
-from wattloom.functions.exact import mean, rounded
+from wattloom.functions.exact import fine_mean, mean, rounded
 from wattloom.sources.price_documents import price_points
 
 # Parts of the household price in ct/kWh.
@@ -106,7 +106,7 @@ def base_and_peak_load(prices: DataFrame) -> DataFrame:
     peak_price = F.when(F.hour("hour").between(8, 19), F.col("price_eur_mwh"))
     return (hourly_prices(prices).withColumn("peak_price", peak_price)
             .groupBy(F.to_date("hour").alias("price_day"))
-            .agg(mean("price_eur_mwh").alias("baseload"), mean("peak_price").alias("peakload")))
+            .agg(fine_mean("price_eur_mwh").alias("baseload"), fine_mean("peak_price").alias("peakload")))
 
 
 def household_price(prices: DataFrame, grid_fee_ct: float = GRID_FEE_CT, tax_ct: float = ELECTRICITY_TAX_CT,

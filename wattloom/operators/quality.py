@@ -2,13 +2,48 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+NOT_NULL, UNIQUE, ACCEPTED = "not_null", "unique", "accepted_values"
+
+
+def column_tests(df: DataFrame, table: str, declared: Mapping[str, tuple]) -> DataFrame:
+    """One row per declared test: how many rows fail it, and how many different values they have.
+
+    ``declared`` maps a column to its tests: NOT_NULL, UNIQUE or a tuple of accepted values. NULL fails NOT_NULL only. All tests of a table
+    take one pass: rows are counted per column and value inside each task, and columns that need no values bring one count for NULL and one
+    for the rest. A table without rows passes every test.
+    """
+    def needed(column: str, tests: tuple) -> Column:
+        value = F.col(column).cast("string") if set(tests) - {NOT_NULL} else F.when(F.col(column).isNotNull(), F.lit(""))
+        return F.struct(F.lit(column).alias("column_name"), value.alias("value"))
+
+    value, rows = F.col("value"), F.col("rows")
+    counted = (df.select(F.inline(F.array(*[needed(c, tests) for c, tests in declared.items()])))
+               .groupBy("column_name", "value").agg(F.count("*").alias("rows")))
+    results = []
+    for column, tests in declared.items():
+        for test in tests:
+            breach = (value.isNull() if test == NOT_NULL else value.isNotNull() & (rows > 1) if test == UNIQUE
+                      else value.isNotNull() & ~value.isin(*test))
+            fails = (F.col("column_name") == column) & breach
+            results.append(F.struct(
+                F.lit(column).alias("column_name"), F.lit(test if isinstance(test, str) else ACCEPTED).alias("test"),
+                F.coalesce(F.sum(F.when(fails, rows)), F.lit(0)).alias("failing_rows"), F.count_if(fails).alias("failing_values")))
+    return counted.agg(F.array(*results).alias("results")).select(F.lit(table).alias("table_name"), F.inline("results"))
+
+
+def declared_report(tables: Mapping[str, DataFrame], declared: Mapping[str, Mapping[str, tuple]]) -> DataFrame:
+    """``column_tests`` for every table that has declared tests."""
+    return reduce(DataFrame.unionByName, [column_tests(tables[name], name, tests) for name, tests in declared.items()])
+
+
 def null_counts(df: DataFrame, table: str, columns: list[str]) -> DataFrame:
     """NULLs per column: one pass over the table, one output row per column."""
     counted = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
