@@ -133,6 +133,20 @@ def test_urls_without_rows_or_labels(spark):
     assert [(r.verdict, r.score) for r in one] == [("allow", 0.0)]
 
 
+def test_grams_of_short_and_very_long_strings(spark):
+    """Around the borders of pieces, with line feeds and characters beyond 16 bits; a string of a million characters is cut as fast a character."""
+    texts = ["", "a", "ab", "x" * 63, "".join(chr(97 + i % 26) for i in range(64)), "".join(chr(97 + i * 7 % 26) for i in range(300)), "a\n\U0001F600b" * 50]
+    strings = spark.createDataFrame(list(enumerate(texts)), "id long, chars string")
+    found = sorted(tuple(r) for r in url_model.grams(strings).select("id", "n", "context", "next").collect())
+    want = []
+    for i, text in enumerate(texts):
+        marked = "\u0002" + text
+        want += [(i, n, marked[at - n:at], marked[at]) for at in range(1, len(marked)) for n in range(min(url_model.ORDER, at) + 1)]
+    assert found == sorted(want)
+    long = spark.range(3).selectExpr("id", "repeat('http://a.b/c?', 80000) as chars")
+    assert url_model.grams(long).groupBy("n").count().where("n = 4").first()["count"] == 3 * (13 * 80_000 - 3)
+
+
 def test_whole_urls_are_modelled(spark):
     """Query, fragment, scheme and digits count: urls that differ only there are judged apart, each by the plain model of the whole url."""
     urls = [f"http://h{i % 7}.example.{tld}/en/{i}?{mark}={i}" for i in range(80) for tld, mark in (("com", "good"), ("net", "x"))]

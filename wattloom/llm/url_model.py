@@ -25,6 +25,7 @@ ORDER = 4
 HELD_OUT = 5
 LEAST_CONTEXT = 2
 ALPHABET = 256
+PIECE = 64
 #: (rule, verdict): hosts of the rule and below, paths that start with the rule's.
 RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block"))
 
@@ -49,18 +50,26 @@ def rule_for(rules: tuple[tuple[str, str], ...]) -> tuple[Column, Column]:
 
 
 def grams(strings: DataFrame) -> DataFrame:
-    """One row for each character and order: the characters before it and itself. A start mark stands before the first."""
-    marked = F.concat(F.lit("\u0002"), F.col("chars"))
-    placed = strings.withColumn("marked", marked).withColumn("i", F.explode(F.sequence(F.lit(2), F.length("marked")))).where(
-        F.length("marked") > 1).withColumn("n", F.explode(F.array(*map(F.lit, range(ORDER + 1))))).where("n < i")
-    return placed.withColumn("context", F.expr("substring(marked, i - n, n)")).withColumn(
-        "next", F.expr("substring(marked, i, 1)")).drop("marked", "i")
+    """One row for each character and order: the characters before it and itself. A start mark stands before the first.
+
+    A string is cut into pieces of PIECE characters, each with the ORDER ones before it, so that a character of a very long string costs no more than
+    one of a short string. Rows carry the string's ``id`` and the piece, not the string. A small table may lie in one task and is spread first.
+    """
+    tasks = int(strings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = strings.repartition(tasks, "id").withColumn(
+        "pieces", F.regexp_extract_all(F.concat(F.lit("\u0002"), F.col("chars")), F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))).drop("chars")
+    led = F.transform("pieces", lambda piece, k: F.concat(F.coalesce(F.right(F.get("pieces", k - 1), F.lit(ORDER)), F.lit("")), piece))
+    first = F.when(F.col("pos") == 0, 2).otherwise(ORDER + 1)  # the first place that is the piece's own
+    placed = (cut.select("*", F.posexplode(led).alias("pos", "piece")).drop("pieces").where(F.length("piece") >= first)
+              .withColumn("i", F.explode(F.sequence(first, F.length("piece")))).drop("pos")
+              .withColumn("n", F.explode(F.array(*map(F.lit, range(ORDER + 1))))).where("n < i"))
+    return placed.withColumn("context", F.expr("substring(piece, i - n, n)")).withColumn("next", F.expr("substring(piece, i, 1)")).drop("piece", "i")
 
 
 def model(strings: DataFrame) -> DataFrame:
     """(context, next) -> the two models' changes of log-probability; next '' is a context's discount.
 
-    ``strings`` has chars, kind (allow or block) and how many URLs are so. Contexts below LEAST_CONTEXT sightings are left
+    ``strings`` has id, chars, kind (allow or block) and how many URLs are so. Contexts below LEAST_CONTEXT sightings are left
     out, as a smoothed model's shorter contexts speak for them.
     """
     counted = grams(strings).groupBy("kind", "n", "context", "next").agg(F.sum("urls").alias("seen"))
@@ -86,15 +95,15 @@ def model(strings: DataFrame) -> DataFrame:
 
 
 def scored(strings: DataFrame, fitted: DataFrame) -> DataFrame:
-    """``strings`` (distinct chars) with score: the mean over characters of log allow minus log block."""
-    pieces = grams(strings.select("chars"))
+    """``strings`` (distinct chars, each with an id) with score: the mean over characters of log allow minus log block; none for the empty string."""
+    pieces = grams(strings.select("id", "chars"))
     model_rows = small_side(fitted)
     seen = model_rows.where("next != ''").select("context", "next", "allow", "block")
     discount = model_rows.where("next = ''").select("context", F.col("allow").alias("allow_0"), F.col("block").alias("block_0"))
     found = pieces.join(small_side(seen), ["context", "next"], "left").join(small_side(discount), "context", "left")
     change = lambda kind: F.coalesce(F.col(kind), F.col(f"{kind}_0"), F.lit(0.0))
-    sums = found.groupBy("chars").agg(F.sum(change("allow") - change("block")).alias("sum"))
-    return sums.select("chars", F.round(F.col("sum") / F.length("chars"), 9).alias("score"))
+    sums = found.groupBy("id").agg(F.sum(change("allow") - change("block")).alias("sum"))
+    return strings.join(sums, "id").select("chars", F.round(F.col("sum") / F.length("chars"), 9).alias("score"))
 
 
 def threshold(labelled: DataFrame) -> float:
@@ -117,11 +126,11 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str], ...] = RULES) -> Data
     rule, said = rule_for(rules)
     parts = pages.select("page_id", F.coalesce("url", F.lit("")).alias("chars"), host.alias("host"), path.alias("path")).withColumn(
         "rule", rule).withColumn("said", said)
-    strings = store(parts.groupBy("chars", "said").agg(F.count("*").alias("urls")), "urls")
+    strings = store(parts.groupBy("chars", "said").agg(F.count("*").alias("urls")).withColumn("id", F.monotonically_increasing_id()), "urls")
     labelled = strings.where("said is not null").withColumnRenamed("said", "kind")
     held = F.pmod(F.xxhash64("chars"), F.lit(HELD_OUT)) == 0
     fitted = model(labelled.where(~held))
-    scores = store(scored(strings.select("chars").distinct(), fitted), "urls")
+    scores = store(scored(strings, fitted), "urls")
     cut = threshold(labelled.where(held).join(scores, "chars"))
     verdict = F.coalesce(F.col("said"), F.when(F.coalesce("score", F.lit(0.0)) >= F.lit(cut), "allow").otherwise("block"))
     return parts.join(scores, "chars", "left").select(
