@@ -2,6 +2,7 @@ from collections import defaultdict
 
 import corpus_pipeline
 from tests.llm.test_line_dedup import brute
+from tests.llm.test_lsh_forest import brute as near, corpus as near_corpus
 from wattloom.llm.common import table
 from wattloom.session import store
 
@@ -27,6 +28,9 @@ def test_stages_one_after_another(spark):
         if kept.strip() or not any(d == doc_id for d, _ in gone):
             left[doc_id] = kept if text is not None else None
     assert {r.doc_id: r.text for r in rows} == left
+    before, rows = seen["MinHash near-dedup"]
+    classes = near(sorted(before.items()), 5, 80)
+    assert {r.doc_id for r in rows} == {doc_id for doc_id, _, _, kept in classes if kept}
     pieces = defaultdict(list)
     for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect():
         pieces[r.sequence_id].append((r.offset, r.length))
@@ -54,3 +58,12 @@ def test_one_row_of_each_group_stays(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
     found = [tuple(r) for r in corpus_pipeline.one_of_each(spark, docs, SF).collect()]
     assert sorted(found, key=str) == sorted([(3, same), (None, other), (None, "a single one"), (9, ""), (9, None)], key=str)
+
+
+def test_near_copies_go_from_the_stage_as_brute_force_says(spark):
+    """The line stage leaves few near copies, so the stage is held against texts of its own here."""
+    rows = list(enumerate(text for _, text in near_corpus(5)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, SF).collect()}
+    want = {doc_id for doc_id, _, _, kept in near(rows, 5, 80) if kept}
+    assert kept == want and len(want) < len(rows)
