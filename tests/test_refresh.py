@@ -106,3 +106,17 @@ def test_a_column_comes_and_goes(spark, tmp_path):
     assert {(r.k, r.v, r.fresh) for r in found.collect()} == {(1, "a", None), (2, "b", None), (3, "c", 9.5)}
     layers.upsert_partitions(spark.createDataFrame([(4, "d", 1)], "k long, v string, p int"), path, ["k"], "p")
     assert {(r.k, r.fresh) for r in layers.read_if_present(spark, path).collect()} == {(1, None), (2, None), (3, 9.5), (4, None)}
+
+
+def test_bands_from_day_sketches_see_every_stored_day(spark, tmp_path):
+    """The second day alone has its upper quartile at 700, both days together at 600: its mean of 650 is high only if the first day counts."""
+    root = str(tmp_path)
+    quarters = lambda day: [unix(f"{day} 10:{minute}:00") for minute in ("00", "15", "30", "45")]
+    days = [("2024-01-01", quarters("2024-01-01"), [10.0, 20.0, 30.0, 40.0]), ("2024-01-02", quarters("2024-01-02"), [500.0, 600.0, 700.0, 800.0])]
+    readings = readings_at(spark, ("2024-01-01 10:05:00", 1, 0, 50, 0, -1), ("2024-01-02 10:05:00", 1, 0, 50, 0, -1))
+    nothing = refresh({**shared(spark), "raw_day_ahead_prices": price_document(spark, days[0]).limit(0), "telemetry": readings}, root, day_sketches=True)
+    assert {zone for _, zone in margins(spark, nothing).values()} == {"NO_PRICE_DATA"}
+    for known in (days[:1], days, days):
+        paths = refresh({**shared(spark), "raw_day_ahead_prices": price_document(spark, *known), "telemetry": readings}, root, day_sketches=True)
+    assert {hour.day: zone for hour, (_, zone) in margins(spark, paths).items()} == {1: "MEDIUM", 2: "HIGH"}
+    assert sorted(r.price_day.day for r in spark.read.parquet(paths["price_quantiles"]).collect()) == [1, 2]
