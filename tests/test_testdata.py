@@ -37,3 +37,12 @@ def test_ticket_search_finds_later_turns(spark, tmp_path):
     domain(spark, tmp_path, conversations=turns, benchmark=[(0, "broken battery")])
     found = run("ticket_search", spark, str(tmp_path)).collect()
     assert [(r.conv_id, r.turn) for r in found] == [(1, 2), (2, 0)]
+
+
+def test_products_of_every_size_count_in_the_best_region(spark, tmp_path):
+    domain(spark, tmp_path, region=[(1, "NORTH"), (2, "SOUTH")], nation=[(1, "N1", 1), (2, "N2", 2)],
+           customer=[(1, "C1", 1, 0.0, "m"), (2, "C2", 2, 0.0, "m")], supplier=[(1, "S", 1, 0.0)],
+           orders=[(1, 1, "O", 10.0, dt.datetime(2024, 1, 1), "2-HIGH"), (2, 2, "O", 10.0, dt.datetime(2024, 1, 1), "2-HIGH")],
+           part=[(10, "small", "B", "ECONOMY", 1, 5.0), (11, "large", "B", "ECONOMY", 40, 5.0), (12, "other", "B", "PROMO", 1, 5.0)],
+           lineitem=[line(1, 10, 1), line(2, 11, 1), line(2, 11, 2), line(1, 12, 2), line(1, 12, 3)])
+    assert [tuple(r) for r in run("best_region_for_heatpumps", spark, str(tmp_path)).collect()] == [("SOUTH", 20.0)]

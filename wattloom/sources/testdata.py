@@ -98,17 +98,26 @@ def customer_dim(d: Domain) -> DataFrame:
         F.col("n_regionkey").alias("region_key"))
 
 
-@table
-def product_dim(d: Domain) -> DataFrame:
-    """Of the two hardware categories, only small parts are whole devices."""
-    parts = F.col("p_type").isin(SOLAR, HEATPUMP) & (F.col("p_size") > HARDWARE_SIZE)
-    category = F.when(parts, F.concat("p_type", F.lit(" PARTS"))).otherwise(F.col("p_type"))
+def _products(d: Domain, category: Column) -> DataFrame:
     return d.source("part").select(
         F.col("p_partkey").alias("product_key"), F.col("p_name").alias("product_name"), category.alias("category_name"),
         F.col("p_brand").alias("vertical"),
         money("p_retailprice").alias("capex_eur"), money("p_size").alias("opex_eur_year"))
 
 
+@table
+def product_dim(d: Domain) -> DataFrame:
+    """Of the two hardware categories, only small parts are whole devices."""
+    parts = F.col("p_type").isin(SOLAR, HEATPUMP) & (F.col("p_size") > HARDWARE_SIZE)
+    return _products(d, F.when(parts, F.concat("p_type", F.lit(" PARTS"))).otherwise(F.col("p_type")))
+
+
+@table
+def whole_categories(d: Domain) -> DataFrame:
+    """Products as in ``product_dim``, but parts of every size stay in their category."""
+    return _products(d, F.col("p_type"))
+
+
 @table
 def vendor_dim(d: Domain) -> DataFrame:
     return d.source("supplier").join(_places(d), F.col("s_nationkey") == F.col("n_nationkey")).select(
