@@ -98,8 +98,8 @@ def gateway_flatten(d):
     return gateway.flatten_messages(d["gateway_messages"])
 
 
-def _prices_until(d, day: str):
-    staged = d["market_prices"].withColumn("price_day", F.to_date("start_time"))
+def _prices_until(prices, day: str):
+    staged = prices.withColumn("price_day", F.to_date("start_time"))
     return staged.where(F.col("price_day") <= F.lit(day).cast("date"))
 
 
@@ -107,18 +107,18 @@ def _prices_until(d, day: str):
     SELECT fetch_date, start_time, price_eur_mwh FROM market_prices WHERE fetch_date > DATE '2024-01-20'""",
        "market_prices")
 def prices_after_high_water(d):
-    stored = _prices_until(d, "2024-01-20")
+    stored = _prices_until(d["market_prices"], "2024-01-20")
     return layers.after_high_water(d["market_prices"], stored, "fetch_date").select(
         "fetch_date", "start_time", "price_eur_mwh")
 
 
 @query("T5", """
-    SELECT start_time, price_eur_mwh FROM market_prices WHERE CAST(start_time AS DATE) = DATE '2024-01-10'""",
-       "market_prices")
+    SELECT start_time, price_eur_mwh FROM every_price WHERE CAST(start_time AS DATE) = DATE '2024-01-10'""",
+       "every_price")
 def late_price_rows(d):
-    """10 January arrives after the 20th was stored: a plain append would lose it."""
-    stored = _prices_until(d, "2024-01-20").where("price_day <> date'2024-01-10'")
-    return layers.late_rows(d["market_prices"], stored, "fetch_date", ["start_time"]).select(
+    """10 January arrives after the 20th was stored: a plain append would lose it. Every hour counts."""
+    stored = _prices_until(d["every_price"], "2024-01-20").where("price_day <> date'2024-01-10'")
+    return layers.late_rows(d["every_price"], stored, "fetch_date", ["start_time"]).select(
         "start_time", "price_eur_mwh")
 
 
@@ -129,8 +129,8 @@ def upserted_prices(d):
     """Prices up to the 25th are stored; corrected ones from the 20th on replace and extend them."""
     columns = ["start_time", "price_eur_mwh", "price_day"]
     path = layers.layer_path(scratch_path(d.spark, "upsert"), "silver", "market_prices")
-    layers.write_full(_prices_until(d, "2024-01-25").select(*columns), path, ("price_day",))
-    corrected = (_prices_until(d, "2024-12-31").select(*columns).where("price_day >= date'2024-01-20'")
+    layers.write_full(_prices_until(d["market_prices"], "2024-01-25").select(*columns), path, ("price_day",))
+    corrected = (_prices_until(d["market_prices"], "2024-12-31").select(*columns).where("price_day >= date'2024-01-20'")
                  .withColumn("price_eur_mwh", F.col("price_eur_mwh") + 1))
     layers.upsert_partitions(corrected, path, ["start_time"], "price_day")
     return d.spark.read.parquet(path).select("start_time", "price_eur_mwh")

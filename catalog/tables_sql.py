@@ -73,6 +73,12 @@ TABLES: dict[str, tuple[str, str]] = {
     "market_prices": ("price_slots", """
         SELECT CAST(start_time AS DATE) AS fetch_date, start_time, start_time + INTERVAL 15 MINUTE AS end_time,
                price_eur_mwh, unix_seconds FROM price_slots"""),
+    "every_price": ("ev", """
+        SELECT CAST(start_time AS DATE) AS fetch_date, start_time,
+               (mean_cents - CASE WHEN hour(start_time) IN (12, 13) THEN 7000 ELSE 1000 END) / 100.0::DOUBLE AS price_eur_mwh
+        FROM (SELECT make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) // 900 * 900 * 1000000) AS start_time,
+                     CAST(sum(cents) AS BIGINT) // count(*) AS mean_cents
+              FROM ev GROUP BY 1)"""),
     "hourly_prices": ("market_prices", """
         SELECT hour, price_eur_mwh,
                CAST(CAST(CAST(price_eur_mwh AS DECIMAL(18,6)) * 0.001 AS DECIMAL(18,4)) AS DOUBLE) AS price_eur_kwh

@@ -46,3 +46,9 @@ def test_products_of_every_size_count_in_the_best_region(spark, tmp_path):
            part=[(10, "small", "B", "ECONOMY", 1, 5.0), (11, "large", "B", "ECONOMY", 40, 5.0), (12, "other", "B", "PROMO", 1, 5.0)],
            lineitem=[line(1, 10, 1), line(2, 11, 1), line(2, 11, 2), line(1, 12, 2), line(1, 12, 3)])
     assert [tuple(r) for r in run("best_region_for_heatpumps", spark, str(tmp_path)).collect()] == [("SOUTH", 20.0)]
+
+
+def test_late_prices_of_every_hour(spark, tmp_path):
+    times = [dt.datetime(2024, 1, 10, h) for h in range(24)] + [dt.datetime(2024, 1, 20, 8), dt.datetime(2024, 1, 21)]
+    domain(spark, tmp_path, events=[(i, ts, 1, "click", 20.0, '{"k": 1}') for i, ts in enumerate(times)])
+    assert {r.start_time for r in run("late_price_rows", spark, str(tmp_path)).collect()} == set(times[:24])

@@ -192,21 +192,18 @@ def telemetry(d: Domain) -> DataFrame:
         .alias("grid_import_export_kw"))
 
 
-@table
-def price_slots(d: Domain) -> DataFrame:
-    """Prices per quarter hour, from all events; cheaper around noon. Some hours, by their hash, have no price."""
+def _slot_prices(d: Domain) -> DataFrame:
+    """Prices per quarter hour, from all events; cheaper around noon."""
     slot = (F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / 900) * 900).cast("bigint")
     per_slot = _event_columns(d).groupBy(slot.alias("unix_seconds")).agg(F.expr("sum(cents) div count(*)").alias("mean_cents"))
     discount = F.when(F.hour(unix_to_utc("unix_seconds")).isin(12, 13), 7000).otherwise(1000)
-    priced = percent_bucket(F.expr("unix_seconds div 3600")) >= HOURS_WITHOUT_PRICE_PERCENT
-    return per_slot.where(priced).select("unix_seconds", ((F.col("mean_cents") - discount) / 100).cast("double").alias("price"))
+    return per_slot.select("unix_seconds", ((F.col("mean_cents") - discount) / 100).cast("double").alias("price"))
 
 
-@table
-def raw_day_ahead_prices(d: Domain) -> DataFrame:
+def _day_documents(slots: DataFrame) -> DataFrame:
     """One JSON document per UTC day; a day has at most 96 slots."""
     points = F.array_sort(F.collect_list(F.struct("unix_seconds", "price")))
-    days = d["price_slots"].groupBy(F.to_date(unix_to_utc("unix_seconds")).alias("fetch_date")).agg(points.alias("p"))
+    days = slots.groupBy(F.to_date(unix_to_utc("unix_seconds")).alias("fetch_date")).agg(points.alias("p"))
     document = F.struct(F.lit("").alias("license_info"), F.col("p.unix_seconds").alias("unix_seconds"),
                         F.col("p.price").alias("price"), F.lit("EUR/MWh").alias("unit"),
                         F.lit(False).alias("deprecated"))
@@ -214,11 +211,28 @@ def raw_day_ahead_prices(d: Domain) -> DataFrame:
                        F.to_json(document).alias("raw_data"))
 
 
+@table
+def price_slots(d: Domain) -> DataFrame:
+    """Prices per quarter hour; some hours, by their hash, have none."""
+    return _slot_prices(d).where(percent_bucket(F.expr("unix_seconds div 3600")) >= HOURS_WITHOUT_PRICE_PERCENT)
+
+
+@table
+def raw_day_ahead_prices(d: Domain) -> DataFrame:
+    return _day_documents(d["price_slots"])
+
+
 @table
 def market_prices(d: Domain) -> DataFrame:
     return stage_prices(d["raw_day_ahead_prices"])
 
 
+@table
+def every_price(d: Domain) -> DataFrame:
+    """Prices as in ``market_prices``, of every hour."""
+    return stage_prices(_day_documents(_slot_prices(d)))
+
+
 @table
 def prices_mart(d: Domain) -> DataFrame:
     return price_mart(d["market_prices"])
