@@ -52,6 +52,21 @@ def test_against_brute_force(spark, most, hot):
         assert (r.match_doc_id is not None, r.match_doc_id or 0, r.match_line) < (r.doc_id is not None, r.doc_id or 0, r.line)
 
 
+@pytest.mark.parametrize("most, hot", [(1, line_dedup.HOT), (1 << 20, 7)])
+def test_every_link_is_counted_once(spark, most, hot):
+    rows = corpus(3) + [(10**6 + i, " ".join(f"near{j}" for j in range(40) if j != i)) for i in range(30)]  # each of the last is like all of the others
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    _, lines = brute(rows, 80)
+    sets = set(lines.values())
+    links = {w: sum(w != x and 100 * len(w & x) >= 80 * len(w | x) for x in sets) for w in sets}
+    first = {}
+    for at, words in sorted(lines.items(), key=lambda x: (x[0][0] is not None, x[0][0] or 0, x[0][1])):
+        first.setdefault(words, at)
+    found = {(r.doc_id, r.line): ((r.first_doc_id, r.first_line), r.n_links) for r in line_dedup.line_links(docs, 80, most, hot).collect()}
+    assert found == {at: (first[words], links[words]) for at, words in lines.items()}
+    assert max(links.values()) >= 29
+
+
 def test_long_lines_that_differ_in_few_words(spark):
     """Every bit of the maps comes into play: sets of 40 words, with a few of them changed."""
     draw = random.Random(5)

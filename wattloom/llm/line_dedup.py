@@ -2,16 +2,16 @@
 
 A line is taken as the set of its words (A-Z lower-cased). Sets are alike if their Jaccard similarity is at least ``percent``.
 A line is removed if an earlier line (by doc_id, then line number) is alike, whether or not that one is removed itself.
+Lines with equal sets are one class; a line's links are the other sets that are alike, all of them, earlier and later.
 
 1. One pass reads the lines and counts words in a table of fixed size, by hash. (count in steps of 0.7 percent, hash) is a total order of words by rarity.
 2. Each set's rarest words, so many that two alike sets share one of them (the prefix), are dealt by word. Sets with a word in common are
    compared in order of length: the length filter ends the comparison; the positional filter and the parity map of the words, whose
    differing bits are no more than the words that differ, bound the overlap that is left. A pair that also shares the prefix word before is left to that word.
-   Once a set has CANDIDATES earlier partners for a word, it needs no more there. All lines of a set meet in each of its words, so its first one is known.
-3. Of each set's candidates the likeliest is verified on the full sets. Sets without a verified partner have their other candidates verified, and those
-   that ran into CANDIDATES are compared again without that bound.
+   What is kept is which sets have a partner there, not the pairs, so a group of near copies costs a row for each of its sets and words.
+3. These sets are dealt by word once more, with all their words. Every pair is compared on the full sets, and counts in the group of its rarest common word only.
 A word of more than HOT lines is dealt in tiles, each pair of which is a group of its own, so no task holds all its lines.
-4. Lines with equal sets are one class throughout; of a class only the first line can stay.
+4. Of a class only the first line can stay.
 
 Defined cases: lines without words are never removed and match nothing; a null text has no lines; null doc_ids come first; rows that
 share doc_id and line number and have equal words stand or fall together; an empty table gives no rows; other columns are kept by ``without_removed``,
@@ -20,27 +20,29 @@ which takes each row by itself, and not read otherwise. Words and sets are told
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import fresh, numbered
 from wattloom.llm.line_sets import Lines, lines_of, order_within
-from wattloom.llm.sets import SLICE, TABLE, added_slices, mixed, overlap
+from wattloom.llm.sets import SLICE, TABLE, added_slices, mixed
 from wattloom.session import small_side, store
 
 PERCENT = 80
-CANDIDATES = 4
+AT_ONCE = 1 << 20
 RARITY = 1 << 22
 WANTED = 1 << 26
 HOT = 1 << 16
 MAP_WORDS = 2
 STEP_BITS = 12
 BITS = 64 * MAP_WORDS
-POSTING = "word long, before long, size int, place int, doc_id long, line int, key long, " + ", ".join(f"bits{i} long" for i in range(MAP_WORDS))
+POSTING = "word long, before long, size int, place int, key long, " + ", ".join(f"bits{i} long" for i in range(MAP_WORDS))
+LINK = "key long, links long, match_doc_id long, match_line int, similarity double"
 
 
 def prefix_length(size: int | np.ndarray, percent: int) -> int | np.ndarray:
@@ -62,17 +64,17 @@ def read_lines(texts: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, line, key) of each line with a word, and how many lines hold each word, by hash: one pass, stored."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(RARITY, np.int64)
+        total = np.zeros(RARITY, np.uint32)
         for batch in batches:
             for lines in lines_of(batch.column(1)):
-                total += np.bincount((lines.members % np.uint64(RARITY)).astype(np.int64), minlength=RARITY)
+                np.add.at(total, (lines.members % np.uint64(RARITY)).astype(np.int64), np.uint32(1))
                 nothing = pa.nulls(len(lines.key))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lines.text)), pa.array(lines.number.astype(np.int32)), pa.array(lines.key),
                                                   nothing.cast(pa.int32()), nothing.cast(pa.binary())], ["doc_id", "line", "key", "slice", "sums"])
         parts = [p for p in range(0, RARITY, SLICE) if total[p:p + SLICE].any()]
         nothing = pa.nulls(len(parts))
         yield pa.RecordBatch.from_arrays([nothing.cast(pa.int64()), nothing.cast(pa.int32()), nothing.cast(pa.int64()), pa.array(parts, pa.int32()), pa.array(
-            [total[p:p + SLICE].astype(np.uint32).tobytes() for p in parts], pa.binary())], ["doc_id", "line", "key", "slice", "sums"])
+            [total[p:p + SLICE].tobytes() for p in parts], pa.binary())], ["doc_id", "line", "key", "slice", "sums"])
 
     both = store(texts.select("doc_id", "text").mapInArrow(rows, f"doc_id long, line int, key long, {TABLE}"), "lines")
     return both.where("slice is null").select("doc_id", "line", "key"), added_slices(both.where("slice is not null").select("slice", "sums"), RARITY)
@@ -87,6 +89,15 @@ def bit_maps(lines: Lines, chosen: np.ndarray) -> np.ndarray:
     return maps.reshape(-1, MAP_WORDS)[chosen].view(np.int64)
 
 
+def tile_of(key: np.ndarray, tiles: np.ndarray) -> np.ndarray:
+    return (mixed(key.view(np.uint64)) % tiles.astype(np.uint64)).astype(np.int64)
+
+
+def tile_group(word: np.ndarray, tile: np.ndarray, other: np.ndarray) -> np.ndarray:
+    pair = (np.minimum(tile, other) << 31) + np.maximum(tile, other) + 1
+    return mixed(word + mixed(pair.astype(np.uint64)))
+
+
 def tiled(at: np.ndarray, word: np.ndarray, often: np.ndarray, key: np.ndarray, hot: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, group) under which rows are dealt. A word's group is itself; a word of more than ``hot`` lines has a group for each pair of tiles, so that any two of its sets meet in one."""
     tiles = -(-often.astype(np.int64) // hot)
@@ -95,32 +106,27 @@ def tiled(at: np.ndarray, word: np.ndarray, often: np.ndarray, key: np.ndarray,
     split, count = np.flatnonzero(~plain), tiles[~plain]
     if len(split):
         own = np.repeat(split, count)
-        tile = (mixed(key[own].view(np.uint64)) % tiles[own].astype(np.uint64)).astype(np.int64)
         other = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
-        pair = (np.minimum(tile, other) << 31) + np.maximum(tile, other) + 1
         rows.append(at[own])
-        groups.append(mixed(word[own] + mixed(pair.astype(np.uint64))))
+        groups.append(tile_group(word[own], tile_of(key[own], tiles[own]), other))
     return np.concatenate(rows), np.concatenate(groups)
 
 
-def postings(texts: DataFrame, counts: np.ndarray, percent: int, hot: int, only: bytes | None = None) -> DataFrame:
-    """A row for each set and prefix word that other lines may hold. A set that comes again within a block is dealt once, its first line.
+def meeting_group(word: np.ndarray, often: np.ndarray, a: np.ndarray, b: np.ndarray, hot: int) -> np.ndarray:
+    """Of the groups of a word in which two sets (keys a, b) meet, the one that their pair belongs to."""
+    tiles = -(-often.astype(np.int64) // hot)
+    return np.where(tiles <= 1, word, tile_group(word, tile_of(a, np.maximum(tiles, 1)), tile_of(b, np.maximum(tiles, 1))))
 
-    ``only`` is a bit table of words: rows of other words are left out.
-    """
-    rarity = texts.sparkSession.sparkContext.broadcast(counts)  # RARITY numbers, whatever the corpus
+
+def postings(texts: DataFrame, rarity: Broadcast, percent: int, hot: int) -> DataFrame:
+    """A row for each set and prefix word that other lines may hold. A set that comes again within a block is dealt once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = rarity.value
         for batch in batches:
-            ids, missing = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False), batch.column(0).is_null().to_numpy(zero_copy_only=False)
-            for lines in lines_of(batch.column(1)):
-                own = lines.text
-                order = np.lexsort((lines.number, ids[own], ~missing[own], lines.key))
-                first = np.ones(len(order), bool)
-                first[1:] = lines.key[order[1:]] != lines.key[order[:-1]]
-                dealt = np.zeros(len(order), bool)
-                dealt[order[first]] = True
+            for lines in lines_of(batch.column(0)):
+                dealt = np.zeros(len(lines.key), bool)
+                dealt[np.unique(lines.key, return_index=True)[1]] = True
                 owner = np.repeat(np.arange(len(lines.size)), lines.size)
                 often = count[(lines.members % np.uint64(RARITY)).astype(np.int64)]
                 rarest = order_within(owner, steps_of(often), lines.members, STEP_BITS)
@@ -131,90 +137,62 @@ def postings(texts: DataFrame, counts: np.ndarray, percent: int, hot: int, only:
                 before[1:] = np.where((place[1:] > 0) & (often[:-1] > 1), word[:-1], 0)
                 at = np.flatnonzero(kept)
                 at, group = tiled(at, word[at], often[at], lines.key[owner[at]], hot)
-                if only is not None:
-                    asked = has_bit(only, group.view(np.int64))
-                    at, group = at[asked], group[asked]
                 place, before, owner = place[at], before[at], owner[at]
                 maps = bit_maps(lines, owner)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(group.view(np.int64)), pa.array(before.view(np.int64)), pa.array(lines.size[owner].astype(np.int32)), pa.array(place.astype(np.int32)),
-                     batch.column(0).take(pa.array(own[owner])), pa.array(lines.number[owner].astype(np.int32)), pa.array(lines.key[owner]),
-                     *(pa.array(np.ascontiguousarray(maps[:, i])) for i in range(MAP_WORDS))], [p.split()[0] for p in POSTING.split(", ")])
+                     pa.array(lines.key[owner]), *(pa.array(np.ascontiguousarray(maps[:, i])) for i in range(MAP_WORDS))], [p.split()[0] for p in POSTING.split(", ")])
 
-    return texts.select("doc_id", "text").mapInArrow(rows, POSTING)
+    return texts.select("text").mapInArrow(rows, POSTING)
 
 
-def compared(rows: dict[str, np.ndarray], percent: int, most: int, searching: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (later, earlier) of sets that no filter rules out, and their differing bits; ``rows`` lie in order of word and size.
+def compared(rows: dict[str, np.ndarray], percent: int, known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of sets that no filter rules out, each once; ``rows`` lie in order of word and size.
 
     All rows are compared with the one d places on, for d = 1, 2, ... A row leaves once that one has another word or is too long.
+    Pairs of rows that are both ``known``, which may grow meanwhile, are left out.
     """
     word, before, size, place, bits = (rows[c] for c in ("word", "before", "size", "place", "bits"))
-    order = rows["position"]
-    found = np.zeros(len(word), np.int64)
-    pairs, differing = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)]
     left, d = np.arange(len(word)), 1
     while len(left):
         left = left[left + d < len(word)]
         right = left + d
         near = (word[left] == word[right]) & (100 * size[left] >= percent * size[right])
         left, right = left[near], right[near]
-        later = np.where(order[left] > order[right], left, right)
-        open_ = ((before[left] != before[right]) | (before[left] == 0)) & (found[later] < most)
-        if searching is not None:
-            open_ &= searching[later]
+        open_ = (before[left] != before[right]) | (before[left] == 0)
+        if known is not None:
+            open_ &= ~(known[left] & known[right])
         a, b = left[open_], right[open_]
         room = needed(size[a], size[b], percent)
         fits = np.minimum(place[a], place[b]) + np.minimum(size[a] - place[a], size[b] - place[b]) >= room
         a, b, room = a[fits], b[fits], room[fits]
         apart = np.bitwise_count(bits[a] ^ bits[b]).sum(1)  # unsigned: of a negative number, numpy counts the bits of its absolute value
         alike = 2 * room <= size[a] + size[b] - apart
-        a, b = a[alike], b[alike]
-        late = np.where(order[a] > order[b], a, b)
-        pairs.append(np.stack([late, a + b - late], 1))
-        differing.append(apart[alike])
-        np.add.at(found, late, 1)
+        yield a[alike], b[alike]
         d += 1
-    return np.concatenate(pairs), np.concatenate(differing)
 
 
-def first_lines(table: pa.Table) -> tuple[pa.Table, np.ndarray]:
-    """One row for each set and word, that of its first line, and how these rows follow in order of their lines."""
-    empty, ids = table["doc_id"].is_null().to_numpy(), table["doc_id"].fill_null(0).to_numpy()
-    line, key, word = table["line"].to_numpy(), table["key"].to_numpy(), table["word"].to_numpy()
-    order = np.lexsort((line, ids, ~empty))
-    position = np.empty(len(ids), np.int64)
-    position[order] = np.arange(len(ids))
-    by_set = np.lexsort((position, key, table["size"].to_numpy(), word))
-    first = np.ones(len(ids), bool)
-    first[1:] = (key[by_set[1:]] != key[by_set[:-1]]) | (word[by_set[1:]] != word[by_set[:-1]])
-    kept = by_set[first]
-    return table.take(pa.array(kept)), position[kept]
+def rows_of(table: pa.Table) -> dict[str, np.ndarray]:
+    rows = {c: table[c].to_numpy() for c in ("word", "before", "size", "place", "key")}
+    rows["size"], rows["place"] = rows["size"].astype(np.int64), rows["place"].astype(np.int64)
+    rows["bits"] = np.stack([table[f"bits{i}"].to_numpy().view(np.uint64) for i in range(MAP_WORDS)], 1)
+    return rows
 
 
-def candidates(dealt: DataFrame, percent: int, most: int, searching: DataFrame | None = None) -> DataFrame:
-    """(later, earlier, apart, full, word) of the candidate pairs; full: the later set may have more of them for this word.
-
-    ``dealt`` is sorted inside its partitions by word; a word that runs over an Arrow batch is carried into the next one.
-    """
+def by_word(dealt: DataFrame, layout: str, of_words: Callable[[pa.Table], pa.RecordBatch]) -> DataFrame:
+    """``of_words`` over all rows of one or more words: what is dealt is sorted inside its partitions by word, and a word that runs over an Arrow batch is carried into the next one."""
 
-    restricted = searching is not None
+    def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(parts)
+        word, size, key = (table[c].to_numpy() for c in ("word", "size", "key"))
+        order = np.lexsort((key, size, word))
+        first = np.ones(len(order), bool)  # a row for each set and word
+        first[1:] = (key[order[1:]] != key[order[:-1]]) | (word[order[1:]] != word[order[:-1]])
+        return of_words(table.take(pa.array(order[first])))
 
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         current = None
-
-        def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            table, position = first_lines(pa.Table.from_batches(parts))
-            rows = {c: table[c].to_numpy() for c in ("word", "before", "size", "place")}
-            rows["bits"] = np.stack([table[f"bits{i}"].to_numpy().view(np.uint64) for i in range(MAP_WORDS)], 1)
-            rows["position"], key = position, table["key"].to_numpy()
-            found, apart = compared(rows, percent, most, table["searching"].to_numpy() if restricted else None)
-            seen = np.bincount(found[:, 0], minlength=len(key))
-            return pa.RecordBatch.from_arrays([pa.array(key[found[:, 0]]), pa.array(key[found[:, 1]]), pa.array(apart.astype(np.int32)),
-                                               pa.array(seen[found[:, 0]] >= most), pa.array(rows["word"][found[:, 0]])],
-                                              ["later", "earlier", "apart", "full", "word"])
-
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -229,10 +207,20 @@ def candidates(dealt: DataFrame, percent: int, most: int, searching: DataFrame |
         if held:
             yield done(held)
 
-    rows = dealt if searching is None else dealt.join(searching.select("key", F.lit(True).alias("searching")), "key", "left").withColumn(
-        "searching", F.coalesce("searching", F.lit(False)))
-    placed = rows.repartition("word").sortWithinPartitions("word")
-    return placed.mapInArrow(pairs, "later long, earlier long, apart int, full boolean, word long")
+    return dealt.repartition("word").sortWithinPartitions("word").mapInArrow(words, layout)
+
+
+def with_partner(dealt: DataFrame, percent: int) -> DataFrame:
+    """The rows of sets that some other set of the word may be like."""
+
+    def chosen(table: pa.Table) -> pa.RecordBatch:
+        known = np.zeros(len(table), bool)
+        for a, b in compared(rows_of(table), percent, known):
+            known[a] = known[b] = True
+        return table.filter(pa.array(known)).combine_chunks().to_batches()[0] if known.any() else pa.RecordBatch.from_arrays(
+            [pa.array([], f.type) for f in table.schema], schema=table.schema)
+
+    return by_word(dealt, POSTING, chosen)
 
 
 def bit_table(keys: DataFrame) -> bytes:
@@ -263,7 +251,7 @@ def line_places(ids: np.ndarray, line: np.ndarray) -> np.ndarray:
 
 
 def full_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, members) of the sets ``wanted`` (key, doc_id, line: their first lines). Only lines at such places are cut into words: a bit table of fixed size says which may be."""
+    """(key, doc_id, line, members) of the sets ``wanted`` (key, doc_id, line: their first lines). Only lines at such places are cut into words: a bit table of fixed size says which may be."""
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -290,68 +278,128 @@ def full_sets(texts: DataFrame, wanted: DataFrame) -> DataFrame:
                 key, at = np.unique(lines.key, return_index=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array([lines.set_of(i).tobytes() for i in at], pa.binary())], ["key", "members"])
 
-    return texts.select("doc_id", "text").mapInArrow(members, "key long, members binary").join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"])
+    return texts.select("doc_id", "text").mapInArrow(members, "key long, members binary").dropDuplicates(["key"]).join(wanted, "key")
+
+
+class Sets:
+    """Full sets of some rows, their words numbered from the rarest on; each set lies in that order."""
+
+    def __init__(self, members: pa.ChunkedArray, count: np.ndarray) -> None:
+        cut = [np.frombuffer(x.as_buffer(), np.uint64) for x in members]
+        self.size = np.array([len(x) for x in cut], np.int64)
+        self.starts = np.cumsum(self.size) - self.size
+        found, number = np.unique(np.concatenate(cut), return_inverse=True)
+        often = count[(found % np.uint64(RARITY)).astype(np.int64)]
+        order = np.lexsort((found, steps_of(often)))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        self.words, self.often = found[order], often[order]
+        owner = np.repeat(np.arange(len(cut)), self.size)
+        self.members = np.sort(owner * len(found) + rank[number]) - owner * len(found)
+
+    def _listed(self, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The words of these sets, one set after another, and the place in ``sets`` of each."""
+        size = self.size[sets]
+        place = np.repeat(np.arange(len(sets)), size)
+        return self.members[np.arange(len(place)) + np.repeat(self.starts[sets] - (np.cumsum(size) - size), size)], place
+
+    def common(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many words each pair has in common, and the number of the rarest one (0 if there is none)."""
+        (x, pair), (y, other) = self._listed(a), self._listed(b)
+        x_at, y_at = pair * len(self.words) + x, other * len(self.words) + y
+        found = np.flatnonzero(y_at[np.minimum(np.searchsorted(y_at, x_at), len(y_at) - 1)] == x_at)
+        opens = np.ones(len(found), bool)
+        opens[1:] = pair[found[1:]] != pair[found[:-1]]
+        rarest = np.zeros(len(a), np.int64)
+        rarest[pair[found[opens]]] = x[found[opens]]
+        return np.bincount(pair[found], minlength=len(a)), rarest
+
+
+def linked(dealt: DataFrame, rarity: Broadcast, percent: int, most: int, hot: int) -> DataFrame:
+    """(key, links, match_doc_id, match_line, similarity) of each word: in how many pairs that belong to the word a set is alike, and its likest earlier partner there, if any."""
+
+    def of_words(table: pa.Table) -> pa.RecordBatch:
+        rows, count = rows_of(table), rarity.value
+        ids, line = table["doc_id"].fill_null(0).to_numpy(), table["line"].to_numpy()
+        order = np.lexsort((line, ids, ~table["doc_id"].is_null().to_numpy()))
+        position = np.empty(len(ids), np.int64)
+        position[order] = np.arange(len(ids))
+        sets, key, group = Sets(table["members"], count), rows["key"], rows["word"].view(np.uint64)
+        links = np.zeros(len(key), np.int64)
+        partner, share = np.full(len(key), -1), np.zeros(len(key))
+
+        def take(a: np.ndarray, b: np.ndarray) -> None:
+            common, rarest = sets.common(a, b)
+            both = sets.size[a] + sets.size[b] - common
+            good = (100 * common >= percent * both) & (meeting_group(sets.words[rarest], sets.often[rarest], key[a], key[b], hot) == group[a])
+            a, b, likeness = a[good], b[good], (common / both)[good]
+            np.add.at(links, a, 1)
+            np.add.at(links, b, 1)
+            late = np.where(position[a] > position[b], a, b)
+            early = a + b - late
+            best = np.lexsort((position[early], -likeness, late))
+            best = best[np.append(True, late[best[1:]] != late[best[:-1]])] if len(best) else best
+            late, early, likeness = late[best], early[best], likeness[best]
+            better = (partner[late] < 0) | (likeness > share[late]) | ((likeness == share[late]) & (position[early] < position[partner[late]]))
+            partner[late[better]], share[late[better]] = early[better], likeness[better]
+
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def flush() -> None:
+            a, b = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            words = np.cumsum(sets.size[a] + sets.size[b])
+            cuts = np.flatnonzero(np.diff(words // most)) + 1  # about ``most`` words at once
+            for x, y in zip(np.split(a, cuts), np.split(b, cuts)):
+                take(x, y)
+
+        for a, b in compared(rows, percent):
+            if len(a):
+                held.append((a, b))
+                if sum(len(x) for x, _ in held) >= 1 << 15:
+                    flush()
+        if held:
+            flush()
+        some = np.flatnonzero(links)
+        match = pa.array(partner[some], mask=partner[some] < 0)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key[some]), pa.array(links[some]), table["doc_id"].combine_chunks().take(match), table["line"].combine_chunks().take(match),
+             pa.array(share[some], mask=partner[some] < 0)], [c.split()[0] for c in LINK.split(", ")])
 
+    return by_word(dealt, LINK, of_words)
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier, similarity) of the pairs that are alike."""
 
-    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shares, kept = [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                common = overlap(x, y)
-                shares.append(common / (len(x) + len(y) - common))
-                kept.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(shares, pa.float64())],
-                                             ["later", "earlier", "similarity"]).filter(pa.array(kept, pa.bool_()))
-
-    left = sets.select(F.col("key").alias("later"), F.col("members").alias("x"))
-    right = sets.select(F.col("key").alias("earlier"), F.col("members").alias("y"))
-    return pairs.join(left, "later").join(right, "earlier").select("later", "earlier", "x", "y").mapInArrow(
-        exact, "later long, earlier long, similarity double")
-
-
-def alike(texts: DataFrame, firsts: DataFrame, counts: np.ndarray, percent: int, most: int, hot: int) -> DataFrame:
-    """(later, earlier, similarity): for each set with an alike earlier one, one of these."""
-
-    def links_of(pairs: DataFrame) -> DataFrame:
-        keys = pairs.select(F.explode(F.array("later", "earlier")).alias("key")).distinct()
-        wanted = store(firsts.join(keys, "key", "left_semi").select("key", "first.doc_id", "first.line"), "lines")
-        return store(verified(pairs, store(full_sets(texts, wanted), "lines"), percent), "lines")
-
-    found = store(candidates(postings(texts, counts, percent, hot), percent, most), "lines")
-    likeliest = store(found.groupBy("later").agg(F.min(F.struct("apart", "earlier")).alias("best")).select("later", "best.earlier"), "lines")
-    links = links_of(likeliest)
-    open_ = store(found.join(links, "later", "left_anti"), "lines")
-    unsure = store(open_.where("full").select(F.col("later").alias("key"), "word").distinct(), "lines")
-    others = open_.select("later", "earlier")
-    if not unsure.isEmpty():
-        again = postings(texts, counts, percent, hot, bit_table(unsure.select("word")))
-        others = others.union(candidates(again, percent, 1 << 62, small_side(unsure.select("key").distinct())).select("later", "earlier"))
-    others = store(others.distinct().join(likeliest, ["later", "earlier"], "left_anti"), "lines")
-    if not others.isEmpty():
-        links = links.union(links_of(others))
-    best = F.max_by(F.struct("earlier", "similarity"), F.struct("similarity", F.negative(F.xxhash64("earlier").cast("double")))).alias("best")
-    return links.groupBy("later").agg(best).select("later", "best.*")
-
-
-def repeated_lines(docs: DataFrame, percent: int = PERCENT, most: int = CANDIDATES, hot: int = HOT) -> DataFrame:
-    """One row for each line that goes: doc_id, line, and an earlier line that is alike (match_doc_id, match_line, similarity)."""
+def line_links(docs: DataFrame, percent: int = PERCENT, most: int = AT_ONCE, hot: int = HOT) -> DataFrame:
+    """One row for each line with a word: doc_id, line, the first line of its class (first_doc_id, first_line), n_links: how many other sets are alike, removed,
+    and for a removed line an earlier one that is alike (match_doc_id, match_line, similarity): its class's first line, or else the likest (first of equals).
+
+    ``most``: full sets are compared about so many words at once.
+    """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     lines, counts = read_lines(texts)
+    rarity = texts.sparkSession.sparkContext.broadcast(counts)  # RARITY numbers, whatever the corpus
     firsts = store(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first")), "lines")
-    links = store(alike(texts, firsts, counts, percent, most, hot), "lines")
-    partner = links.join(firsts.select(F.col("key").alias("earlier"), F.col("first").alias("partner")), "earlier").select(
-        F.col("later").alias("key"), "partner", "similarity")
-    classes = firsts.join(partner, "key", "left")
-    at = F.struct("doc_id", "line")
-    copy = ~at.eqNullSafe(F.col("first"))
-    match = F.when(copy, F.col("first")).otherwise(F.col("partner"))
-    return lines.join(classes, "key").where(copy | F.col("partner").isNotNull()).select(
-        "doc_id", "line", match["doc_id"].alias("match_doc_id"), match["line"].alias("match_line"),
-        F.when(copy, 1.0).otherwise(F.col("similarity")).alias("similarity"))
+    partners = store(with_partner(postings(texts, rarity, percent, hot), percent), "lines")
+    wanted = store(firsts.join(partners.select("key").distinct(), "key", "left_semi").select("key", "first.doc_id", "first.line"), "lines")
+    found = linked(partners.join(full_sets(texts, wanted), "key"), rarity, percent, most, hot)
+    match = F.struct(F.negative("similarity").alias("apart"), F.col("match_doc_id").isNotNull().alias("known"), "match_doc_id", "match_line")
+    links = found.groupBy("key").agg(F.sum("links").alias("n_links"), F.min(F.when(F.col("similarity").isNotNull(), match)).alias("match"))
+    classes = firsts.join(store(links, "lines"), "key", "left")
+    copy = ~F.struct("doc_id", "line").eqNullSafe(F.col("first"))
+
+    def shown(of_copy: Column, of_other: Column) -> Column:
+        return F.when(copy, of_copy).otherwise(of_other)
+
+    return lines.join(classes, "key").select(
+        "doc_id", "line", F.col("first.doc_id").alias("first_doc_id"), F.col("first.line").alias("first_line"),
+        F.coalesce("n_links", F.lit(0)).alias("n_links"), (copy | F.col("match").isNotNull()).alias("removed"),
+        shown(F.col("first.doc_id"), F.col("match.match_doc_id")).alias("match_doc_id"), shown(F.col("first.line"), F.col("match.match_line")).alias("match_line"),
+        shown(F.lit(1.0), F.negative("match.apart")).alias("similarity"))
+
+
+def repeated_lines(docs: DataFrame, percent: int = PERCENT, most: int = AT_ONCE, hot: int = HOT) -> DataFrame:
+    """One row for each line that goes: doc_id, line, and an earlier line that is alike (match_doc_id, match_line, similarity)."""
+    return line_links(docs, percent, most, hot).where("removed").select("doc_id", "line", "match_doc_id", "match_line", "similarity")
 
 
 def without_removed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

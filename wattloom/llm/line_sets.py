@@ -18,7 +18,7 @@ from wattloom.llm.sets import mixed
 
 BLOCK = 1 << 20
 LONG = 1 << 12
-TEXT_BYTES = 16 << 20
+TEXT_BYTES = 4 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 LETTER = np.random.default_rng(23).integers(0, 2**64, 256, np.uint64) | np.uint64(1)

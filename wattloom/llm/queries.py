@@ -15,7 +15,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.repeated_lines(table(spark, sf_dir, "documents"))
+    return line_dedup.line_links(table(spark, sf_dir, "documents"))
 
 
 def op2_url_markov_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
