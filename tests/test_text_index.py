@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tests.test_search import WORDS, brute_force
 from wattloom.functions.texts import tokens
 from wattloom.operators import text_index
+from wattloom.operators.search import term_index
 from wattloom.operators.text_index import TextIndex
 
 LAYOUT = "id long, content string, kind string"
@@ -99,3 +100,12 @@ def test_an_unfinished_refresh_is_not_seen(spark, tmp_path, monkeypatch):
 
 def test_token_rule_is_that_of_the_plain_search(spark):
     assert spark.createDataFrame([("Ab-c'd 1x",)], "t string").select(tokens(F.col("t"))).first()[0] == ["ab", "c", "d", "1x"]
+
+
+def test_postings_are_not_shuffled(spark):
+    corpus = spark.createDataFrame([(1, "solar heat solar"), (2, None), (3, "heat"), (3, "heat pump")], "id long, content string")
+    alone = term_index(corpus.where("id < 3"), "id", "content")
+    assert "Exchange" not in alone._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in alone.collect()} == {(1, 3, "solar", 2), (1, 3, "heat", 1)}
+    shared = {tuple(r) for r in term_index(corpus, "id", "content").where("doc = 3").collect()}
+    assert shared == {(3, 1, "heat", 1), (3, 2, "heat", 1), (3, 2, "pump", 1)}

@@ -25,10 +25,31 @@ def sections(parsed: DataFrame) -> DataFrame:
 def term_index(corpus: DataFrame, key: str, text: str) -> DataFrame:
     """Term counts per document with the document's length: the stored form that searches read.
 
-    Terms are counted in the scan tasks before the shuffle. Write it sorted by term
-    (``write_term_index``), so a search reads only the row groups of its own terms.
+    A document's terms are counted inside its row, so nothing is shuffled; only rows that share a key are counted together.
+    Write it sorted by term (``write_term_index``), so a search reads only the row groups of its own terms.
     """
-    return _term_counts(corpus, key, text, lambda words: words)
+    single, shared = by_repeated_key(corpus, key)
+    counted = row_counts(single.select(F.col(key).alias("doc"), tokens(F.col(text)).alias("words")))
+    return counted if shared is None else counted.unionByName(_term_counts(shared, key, text, lambda words: words))
+
+
+def by_repeated_key(corpus: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows whose key is theirs alone, and those that share one, null included; None if there is no such row. Only keys are shuffled to find out."""
+    repeated = corpus.groupBy(F.col(key).alias("_shared")).agg(F.count("*").alias("n")).where("n > 1").select("_shared")
+    if repeated.isEmpty():
+        return corpus, None
+    same = F.col(key).eqNullSafe(F.col("_shared"))
+    return corpus.join(repeated, same, "left_anti"), corpus.join(repeated, same, "left_semi")
+
+
+def row_counts(rows: DataFrame) -> DataFrame:
+    """(doc, doc_length, term, tf) of rows (doc, words): each row's words are sorted, and a term's count is how long its run is."""
+    ordered = rows.where(F.size("words") > 0).select("doc", F.size("words").alias("doc_length"), F.sort_array("words").alias("words"))
+    runs = ordered.select("doc", "doc_length", "words", F.filter(F.sequence(F.lit(0), F.col("doc_length") - 1), lambda i: (i == 0) | (
+        F.get("words", i) != F.get("words", i - 1))).alias("starts"))
+    counts = F.transform("starts", lambda at, i: F.struct(F.get("words", at).alias("term"), (
+        F.coalesce(F.get("starts", i + 1), F.col("doc_length")) - at).cast("long").alias("tf")))
+    return runs.select("doc", "doc_length", F.inline(counts))
 
 
 def _term_counts(corpus: DataFrame, key: str, text: str, kept: Callable[[Column], Column]) -> DataFrame:
