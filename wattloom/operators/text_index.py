@@ -2,8 +2,8 @@
 
 Layout below the index's folder, all Parquet:
 
-* ``postings/<segment>``: blocks of at most BLOCK postings of one term, those of highest weight first, sorted by term, with the block's highest
-  term count and least document length. These two bound the weight of every posting in it, whatever the average length is by now.
+* ``postings/<segment>``: blocks of at most BLOCK postings of one term, with the block's highest term count and least document length. Each file holds
+  the documents of one task, sorted by term and in a term by weight, the highest first; so the postings are never shuffled. These two bound the weight of every posting in it, whatever the average length is by now.
 * ``documents/<segment>``: one row per document: key, length, hash of the text, attributes.
 * ``dead/<segment>``: (doc, segment) of what the refresh that wrote the segment replaced or removed.
 * ``commits``: one row per finished refresh. A refresh that breaks off leaves files that no commit names, which nothing reads.
@@ -15,17 +15,22 @@ ones of the other terms reach that score together. Its documents are the same as
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.operators.search import term_index
+from wattloom.functions.texts import tokens
+from wattloom.operators.search import by_repeated_key, term_index
 from wattloom.session import store
 
-BLOCK_BITS = 7
-BLOCK = 1 << BLOCK_BITS
+BLOCK = 128
 COMMITS = "segment string, number long, documents long, total_length long, dead_documents long, dead_length long"
 K1, B = 1.2, 0.75
 
@@ -39,6 +44,26 @@ def rarity(documents: Column, df: Column) -> Column:
     return F.log(F.lit(1.0) + (documents - df + F.lit(0.5)) / (df + F.lit(0.5)))
 
 
+def blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Postings in order of term and weight as blocks; a block ends with its term, with its batch or when it is full. Their numbers tell a task's blocks of a term apart."""
+    task, number = TaskContext.get().partitionId() << 33, 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        term, place = batch["term"], np.arange(batch.num_rows)
+        opens = np.ones(len(place), bool)
+        opens[1:] = pc.not_equal(term[1:], term[:-1]).to_numpy(zero_copy_only=False)
+        opens |= (place - np.maximum.accumulate(np.where(opens, place, 0))) % BLOCK == 0
+        starts = np.flatnonzero(opens)
+        entries = pa.StructArray.from_arrays([batch["doc"], batch["tf"], batch["doc_length"]], ["doc", "tf", "doc_length"])
+        yield pa.RecordBatch.from_arrays(
+            [term.take(pa.array(starts)), pa.array(task + number + np.arange(len(starts))), pa.array(np.diff(np.append(starts, len(place)))),
+             pa.array(np.maximum.reduceat(batch["tf"].to_numpy(), starts)), pa.array(np.minimum.reduceat(batch["doc_length"].to_numpy(), starts)),
+             pa.ListArray.from_arrays(pa.array(np.append(starts, len(place)).astype(np.int32)), entries)],
+            ["term", "block", "size", "most", "shortest", "entries"])
+        number += len(starts)
+
+
 class TextIndex:
     """An index over rows with a key ``doc``, a text and attribute columns."""
 
@@ -88,34 +113,35 @@ class TextIndex:
             stale = F.col("known").isNotNull() & ~F.col("content_hash").eqNullSafe(F.col("known"))
             changed = hashed.join(state.where(renewed).select("doc"), "doc", "left_semi")
             gone = state.where(stale).select("doc", "in_segment", "doc_length")
-        changed = store(changed, "index")
+        if held is not None:
+            changed = store(changed, "index")
         if gone is not None:
             gone.write.parquet(f"{self.path}/dead/{segment}")
             dead = self.spark.read.schema(gone.schema).parquet(f"{self.path}/dead/{segment}").agg(
                 F.count("*"), F.coalesce(F.sum("doc_length"), F.lit(0))).first()
         else:
             dead = (0, 0)
-        counts = store(term_index(changed.select("doc", text), "doc", text), "index")
-        lengths = counts.groupBy("doc").agg(F.max("doc_length").alias("doc_length"))
-        rows = changed.drop(text).join(lengths, "doc", "left").withColumn("doc_length", F.coalesce("doc_length", F.lit(0)).cast("int"))
+        shared = by_repeated_key(changed, "doc")[1]
+        length = F.when(F.col("doc").isNotNull(), F.size(tokens(F.coalesce(text, F.lit(""))))).otherwise(0).cast("int")
+        rows = changed.withColumn("doc_length", length).drop(text)
+        if shared is not None:  # rows that share a key are one document to the postings
+            longest = rows.groupBy("doc").agg(F.max("doc_length").alias("doc_length"))
+            rows = rows.drop("doc_length").join(longest, "doc", "left").withColumn("doc_length", F.coalesce("doc_length", F.lit(0)))
         rows.write.parquet(f"{self.path}/documents/{segment}")
         new = self.spark.read.schema(rows.schema).parquet(f"{self.path}/documents/{segment}").agg(
             F.count("*"), F.coalesce(F.sum("doc_length"), F.lit(0))).first()
         if new[0] or dead[0]:
-            self._write_postings(counts, f"{self.path}/postings/{segment}")
+            self._write_postings(term_index(changed.select("doc", text), "doc", text), f"{self.path}/postings/{segment}")
             done = [(segment, len(commits), new[0], new[1], dead[0], dead[1])]
             self.spark.createDataFrame(done, COMMITS).coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return {"indexed": new[0], "dropped": dead[0]}
 
     def _write_postings(self, counts: DataFrame, path: str) -> None:
-        """Blocks in order of term and weight. A term of very many documents spans several tasks: order comes from a range sort, not from a window."""
+        """Blocks in order of term and weight, made by each task from its own documents."""
         order = ("term", F.desc("tf"), "doc_length", "doc")
-        placed = store(counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id()), "index")
-        block = F.shiftright("place", BLOCK_BITS).alias("block")  # rows of one block are neighbours, of one term after grouping
-        blocks = placed.groupBy("term", block).agg(
-            F.count("*").alias("size"), F.max("tf").alias("most"), F.min("doc_length").alias("shortest"),
-            F.collect_list(F.struct("doc", "tf", "doc_length")).alias("entries"))  # BLOCK entries at most
-        blocks.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(path)
+        doc = counts.schema["doc"].dataType.simpleString()
+        layout = f"term string, block long, size long, most long, shortest int, entries array<struct<doc: {doc}, tf: bigint, doc_length: int>>"
+        counts.sortWithinPartitions(*order).select("doc", "term", "tf", "doc_length").mapInArrow(blocks_of, layout).write.parquet(path)
 
     def search(self, query_terms: list[str], k: int = 5, where: Column | None = None) -> DataFrame:
         """The ``k`` best documents by BM25 over all documents of the index, those that fit ``where`` only, with their attributes; ties by key.
