@@ -186,3 +186,10 @@ def test_gap_islands_against_the_spine(spark):
     borders = {(i.customer_key, i.first_hour) for i in islands} & {(i.customer_key, i.last_hour + timedelta(hours=1)) for i in islands}
     assert not borders  # runs are as long as can be
     assert [i.missing_hours for i in islands if i.customer_key == 6] == [72]
+
+
+def test_hours_without_a_reading_are_listed_after_the_join(spark):
+    gaps = telemetry.coverage_gaps(readings_at(spark, ("2024-01-01 05:10:00", 1, 0, 0, 0, 0)), fleet(spark, (1, "R", True), (2, "R", True)), "2024-01-01", "2024-01-01")
+    plan = gaps._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join")  # the spine lies above the join, so it is never dealt
+    assert gaps.count() == 23 + 24 and gaps.columns == ["customer_key", "hour", "gateway_id"]

@@ -66,10 +66,10 @@ def device_hours(devices: DataFrame, first_day: str, last_day: str) -> DataFrame
 
 
 def coverage_gaps(readings: DataFrame, devices: DataFrame, first_day: str, last_day: str) -> DataFrame:
-    """Device hours without any reading."""
-    seen = readings.select("customer_key", hour_of("ts").alias("hour")).distinct()
-    spine = device_hours(devices.select("customer_key", "gateway_id"), first_day, last_day)
-    return spine.join(seen, ["customer_key", "hour"], "left_anti")
+    """Device hours without any reading. A device's hours are listed after the join with its masks, so the spine is never shuffled."""
+    every = hour_bits(hour_masks(readings), devices, first_day, last_day).select("customer_key", "gateway_id", F.posexplode("bits").alias("place", "bit"))
+    origin = F.to_date(F.lit(first_day)).cast("timestamp_ntz")
+    return every.where("bit = 0").select("customer_key", (origin + F.make_dt_interval(hours=F.col("place"))).alias("hour"), "gateway_id")
 
 
 def hour_masks(readings: DataFrame) -> DataFrame:
@@ -87,12 +87,8 @@ def merged_masks(*masks: DataFrame) -> DataFrame:
     return together.groupBy("customer_key", "day").agg(F.bit_or("hours").alias("hours"))
 
 
-def gap_islands(masks: DataFrame, devices: DataFrame, first_day: str, last_day: str) -> DataFrame:
-    """Runs of hours without a reading, one row per device and run; a run may cross days.
-
-    What is shuffled is a mask per device and day, not an hour of the spine. The list per device is as long as the
-    window has days, whatever the number of readings.
-    """
+def hour_bits(masks: DataFrame, devices: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """One row per device: ``bits`` has a 1 for each hour of the window with a reading, else a 0. The list is as long as the window, whatever the number of readings."""
     first, last = F.to_date(F.lit(first_day)), F.to_date(F.lit(last_day))
     per_device = (masks.where(F.col("day").between(first, last)).groupBy("customer_key", "day").agg(F.bit_or("hours").alias("hours"))
                   .groupBy("customer_key").agg(F.map_from_entries(F.collect_list(F.struct("day", "hours"))).alias("masks")))
@@ -102,8 +98,16 @@ def gap_islands(masks: DataFrame, devices: DataFrame, first_day: str, last_day:
         mask = F.coalesce(F.try_element_at("masks", day), F.lit(0))
         return F.transform(F.sequence(F.lit(0), F.lit(23)), lambda h: F.getbit(mask.cast("bigint"), h))
 
-    covered = devices.select("customer_key", "gateway_id").join(per_device, "customer_key", "left").select(
+    return devices.select("customer_key", "gateway_id").join(per_device, "customer_key", "left").select(
         "customer_key", "gateway_id", F.flatten(F.transform(days, bits)).alias("bits"))
+
+
+def gap_islands(masks: DataFrame, devices: DataFrame, first_day: str, last_day: str) -> DataFrame:
+    """Runs of hours without a reading, one row per device and run; a run may cross days.
+
+    What is shuffled is a mask per device and day, not an hour of the spine.
+    """
+    covered = hour_bits(masks, devices, first_day, last_day)
     every = F.sequence(F.lit(0), F.size("bits") - 1)
 
     def gap(i: Column) -> Column:
@@ -112,7 +116,7 @@ def gap_islands(masks: DataFrame, devices: DataFrame, first_day: str, last_day:
     starts = F.filter(every, lambda i: gap(i) & ~gap(i - 1))
     ends = F.filter(every, lambda i: gap(i) & ~gap(i + 1))
     runs = covered.select("customer_key", "gateway_id", F.explode(F.arrays_zip(starts.alias("a"), ends.alias("b"))).alias("run"))
-    origin = first.cast("timestamp_ntz")
+    origin = F.to_date(F.lit(first_day)).cast("timestamp_ntz")
     return runs.select(
         "customer_key", "gateway_id", (origin + F.make_dt_interval(hours=F.col("run.a"))).alias("first_hour"),
         (origin + F.make_dt_interval(hours=F.col("run.b"))).alias("last_hour"),
