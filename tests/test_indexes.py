@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from wattloom.operators import vector_index
 from wattloom.operators.name_index import NameIndex
 from wattloom.operators.resolve import resolve_literal
 from wattloom.operators.vector_index import VectorIndex
@@ -73,3 +74,24 @@ def test_empty_vector_table(spark, tmp_path):
     index = VectorIndex(spark, str(tmp_path / "none"))
     index.build(spark.createDataFrame([], "id long, v array<float>"), "id", "v")
     assert index.search([1.0, 0.0]).count() == 0 and index.vectors().where(F.col("cell") >= 0).count() == 0
+
+
+def test_search_of_many_queries_against_brute_force(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(vector_index, "PART", 50)  # several parts of a cell and blocks of queries
+    monkeypatch.setattr(vector_index, "ASKED", 7)
+    rows, df = vectors(spark, 600)
+    rows += [(1000 + i, rows[5][1]) for i in range(9)] + [(None, rows[40][1])]  # copies, and a vector without a key
+    df = spark.createDataFrame(rows, df.schema)
+    index = VectorIndex(spark, str(tmp_path / "many"))
+    index.build(df, "id", "v", 6)
+    usable = [(i, v) for i, v in rows if v and any(v)]
+    asked = [(i, v) for i, v in usable if i is not None and i % 20 in (0, 5)]
+    found = index.search_all(df.where("id % 20 in (0, 5)"), "id", "v", 5, probes=6)
+    near = lambda v: sorted((-round(cosine(v, w), 6), j is not None, j or 0) for j, w in usable)[:5]
+    expected = {i: [(j if known else None) for _, known, j in near(v)] for i, v in asked}
+    got = {i: [None] * 5 for i in expected}
+    for r in found.collect():
+        got[r.query][r.rank - 1] = r.key
+    assert got == expected
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "Join" not in plan  # no row for each pair of a query and a vector

@@ -10,8 +10,11 @@ it opens is measured when the index is built: so many that TRIED vectors of the
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -21,7 +24,8 @@ from wattloom.session import store
 
 SAMPLE, CELLS = 20_000, 64
 RECALL, TRIED, NEIGHBOURS, LARGE = 0.95, 400, 5, 0.05
-SALTS = 8
+#: In searches of many queries: vectors and queries that meet in one task, and queries in one matrix product.
+PART, ASKED, AT_ONCE = 16_384, 16_384, 256
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -31,7 +35,7 @@ def dot(a: Column, b: Column) -> Column:
 def scaled(column: str) -> Column:
     wide = F.transform(column, lambda x: x.cast("double"))
     norm = F.sqrt(dot(wide, wide))
-    return F.when(norm > 0, F.transform(wide, lambda x: x / norm))
+    return F.when(norm > 0, F.zip_with(wide, F.array_repeat(norm, F.size(wide)), lambda x, y: x / y))  # a norm inside the lambda is worked out for each element
 
 
 def probes_for(points: np.ndarray, centres: np.ndarray) -> int:
@@ -49,6 +53,39 @@ def probes_for(points: np.ndarray, centres: np.ndarray) -> int:
     return 1 + max(int(np.quantile(part, RECALL, method="higher")) for part in [needed, *large])
 
 
+def distances(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The squared distance of each point to each centre, less the point's own square."""
+    return (centres ** 2).sum(1) - 2 * points @ centres.T
+
+
+def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Lists of one length as rows."""
+    flat = (column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column).flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
+
+
+def nearest_pairs(asked: np.ndarray, held: np.ndarray, keys: pa.Array, k: int) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """(row of ``asked``, row of ``held``, cosine) of the k nearest of each, by cosine rounded to six digits and then by key; NaN counts as largest, as in Spark."""
+    if not len(asked) or not len(held):
+        return pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())
+    order = pc.array_sort_indices(keys, null_placement="at_start").to_numpy().astype(np.int64)
+    held, found = held[order], []
+    for begin in range(0, len(asked), AT_ONCE):
+        apart = -np.round(asked[begin:begin + AT_ONCE] @ held.T, 6)
+        apart[np.isnan(apart)] = -np.inf
+        limit = np.partition(apart, min(k, len(held)) - 1, axis=1)[:, min(k, len(held)) - 1]
+        row, to = np.nonzero(apart <= limit[:, None])
+        placed = np.lexsort((to, apart[row, to], row))
+        row, to = row[placed], to[placed]
+        kept = np.arange(len(row)) - np.searchsorted(row, row) < k
+        found.append((begin + row[kept], to[kept]))
+    at, to = (np.concatenate(x) for x in zip(*found))
+    cosine = np.zeros(len(at))
+    for i in range(held.shape[1]):  # summed in the order of ``dot``
+        cosine += held[to, i] * asked[at, i]
+    return pa.array(at), pa.array(order[to]), pa.array(cosine)
+
+
 class VectorIndex:
     """Vectors of ``key`` and ``column`` below ``path``, one folder for each cell."""
 
@@ -59,7 +96,7 @@ class VectorIndex:
         """Fit the cells on a bounded sample and store every vector."""
         units = vectors.select(F.col(key).alias("key"), scaled(column).alias("v"))
         known = units.where("v is not null").withColumn("point", array_to_vector("v"))
-        sample = store(known.orderBy(F.xxhash64("v")).limit(SAMPLE).select("v"), "cells").withColumn("point", array_to_vector("v"))
+        sample = store(known.select("v", F.xxhash64("v").alias("hash")).orderBy("hash").limit(SAMPLE).select("v"), "cells").withColumn("point", array_to_vector("v"))
         points = np.array([r.v for r in sample.select("v").collect()])  # SAMPLE vectors
         size, probes = len(points), 1
         parts = units.where("v is null").select("key", "v", F.lit(None).cast("double").alias("far"), F.lit(-1).alias("cell"))
@@ -68,10 +105,18 @@ class VectorIndex:
             model = KMeans(k=min(cells, size), seed=seed, featuresCol="point", predictionCol="cell", maxIter=15).fit(sample)
             centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]  # ``cells`` rows
             probes = probes_for(points, np.array([c for _, c in centres]))
-            table = F.array(*[F.array(*map(F.lit, c)) for _, c in centres])
-            placed = model.transform(known).withColumn("centre", F.get(table, F.col("cell")))
-            far = F.sqrt(F.aggregate(F.zip_with("v", "centre", lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x))
-            parts = placed.select("key", "v", far.alias("far"), "cell").unionByName(parts)
+            middle = np.array([c for _, c in centres])
+
+            def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    if batch.num_rows:
+                        v = matrix(batch.column(1))
+                        cell = distances(v, middle).argmin(1)
+                        far = np.sqrt(((v - middle[cell]) ** 2).sum(1))
+                        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(far), pa.array(cell.astype(np.int32))], ["key", "v", "far", "cell"])
+
+            kind = units.schema["key"].dataType.simpleString()
+            parts = known.select("key", "v").mapInArrow(placed, f"key {kind}, v array<double>, far double, cell int").unionByName(parts)
         parts.hint("rebalance", "cell").write.partitionBy("cell").parquet(f"{self.path}/vectors")
         found = self.vectors().where("cell >= 0").groupBy("cell").agg(F.max("far").alias("radius"), F.count("*").alias("size"))
         centre = self.spark.createDataFrame([(i, c, probes) for i, c in centres], "cell int, centre array<double>, probes int")
@@ -108,21 +153,40 @@ class VectorIndex:
     def search_all(self, queries: DataFrame, key: str, column: str, k: int = 5, probes: int | None = None) -> DataFrame:
         """(query, key, cosine, rank): the ``k`` nearest of every query.
 
-        Queries are copied to their ``probes`` cells and, so that no task holds the whole of a large cell, to SALTS parts of each. A part keeps its k
-        best of each query before the shuffle that ranks them.
+        Queries are copied to the parts of their ``probes`` cells. A part has about PART vectors, and a task compares it with about ASKED queries
+        at once, by matrix products; only the k best of each query in each part are shuffled and ranked.
         """
         cells = self.cells()
         probes = probes or max((c.probes for c in cells), default=1)
-        centres = F.array(*[F.struct(F.lit(c.cell).alias("cell"), F.array(*map(F.lit, c.centre)).alias("centre")) for c in cells])
-        far = F.transform(centres, lambda c: F.struct(
-            F.aggregate(F.zip_with("q", c["centre"], lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda t, x: t + x).alias("far"), c["cell"].alias("cell")))
+        numbers, centres = np.array([c.cell for c in cells], np.int32), np.array([c.centre for c in cells])
         asked = queries.select(F.col(key).alias("query"), scaled(column).alias("q")).where("q is not null")
-        dealt = asked.withColumn("near", F.explode(F.slice(F.array_sort(far), 1, probes))).select(
-            "query", "q", F.col("near.cell").alias("cell"), F.explode(F.array(*map(F.lit, range(SALTS)))).alias("salt"))
-        held = self.vectors().where("cell >= 0").withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
-        pairs = held.join(dealt, ["cell", "salt"]).select("query", "key", "cell", "salt", F.round(dot(F.col("v"), F.col("q")), 6).alias("cosine"))
+        sizes = {c.cell: -(-c.size // PART) for c in cells}
+        parts = F.get(F.array(*[F.lit(sizes.get(i, 1)).cast("int") for i in range(max(sizes, default=0) + 1)]), F.col("cell"))
+        blocks = max(1, -(-queries.count() // ASKED))
+
+        def each(count: Column) -> Column:
+            return F.explode(F.sequence(F.lit(0), count - 1))
+
+        def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if batch.num_rows and len(numbers):
+                    first = np.argsort(distances(matrix(batch.column(1)), centres), axis=1, kind="stable")[:, :probes]
+                    cell = pa.ListArray.from_arrays(np.arange(batch.num_rows + 1, dtype=np.int32) * first.shape[1], pa.array(numbers[first].ravel()))
+                    yield pa.RecordBatch.from_arrays([*batch.columns, cell], ["query", "q", "cell"])
+
+        kind = asked.schema["query"].dataType.simpleString()
+        dealt = asked.mapInArrow(near, f"query {kind}, q array<double>, cell array<int>").withColumn("cell", F.explode("cell")).select(
+            "query", "q", "cell", each(parts).alias("part"), F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block"))
+        held = self.vectors().where("cell >= 0").select("key", "v", "cell", F.pmod(F.xxhash64("key"), parts.cast("long")).cast("int").alias("part")).select(
+            "*", each(F.lit(blocks)).alias("block"))
+        places = ["cell", "part", "block"]
+
+        def best(vectors: pa.Table, wanted: pa.Table) -> pa.Table:
+            at, to, cosine = nearest_pairs(matrix(wanted["q"]), matrix(vectors["v"]), vectors["key"].combine_chunks(), k)
+            return pa.table({"query": wanted["query"].combine_chunks().take(at), "key": vectors["key"].combine_chunks().take(to), "cosine": cosine})
+
+        pairs = held.groupBy(*places).cogroup(dealt.groupBy(*places)).applyInArrow(best, f"query {kind}, key long, cosine double")
         order = (F.desc("cosine"), F.col("key"))
-        part = Window.partitionBy("query", "cell", "salt").orderBy(*order)
-        best = pairs.withColumn("place", F.row_number().over(part)).where(F.col("place") <= k)
-        ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("query").orderBy(*order)).cast("long"))
+        ranked = pairs.withColumn("cosine", F.round("cosine", 6)).withColumn(
+            "rank", F.row_number().over(Window.partitionBy("query").orderBy(*order)).cast("long"))
         return ranked.where(F.col("rank") <= k).select("query", "key", "cosine", "rank")
