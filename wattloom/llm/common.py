@@ -43,9 +43,14 @@ def fresh(df: DataFrame, name: str) -> str:
 
 
 def numbered(docs: DataFrame, name: str, nulls_last: bool = False) -> DataFrame:
-    """``docs`` stored with a row number in column ``name``: unique, in the order of doc_id. Rows that share a doc_id are numbered as they are read."""
+    """``docs`` with a row number in column ``name``: unique, in the order of doc_id. Rows that share a doc_id are numbered as they are read.
+
+    Where no row lacks a doc_id or shares one, the number is the doc_id; only other tables are sorted and stored, texts and all.
+    """
     read = fresh(docs, "_read")
     own = F.col("doc_id").cast("long")
+    if docs.groupBy(own.alias(name)).agg(F.count("*").alias(read)).where(F.col(name).isNull() | (F.col(read) > 1)).isEmpty():
+        return docs.withColumn(name, own)
     order = (own.asc_nulls_last() if nulls_last else own.asc_nulls_first(), F.col(read))
     placed = docs.withColumn(read, F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
     return store(placed.drop(read).withColumn(name, F.monotonically_increasing_id()), "rows")

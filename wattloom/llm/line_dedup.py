@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from wattloom.llm.common import fresh, numbered
 from wattloom.llm.line_sets import Lines, lines_of, order_within
 from wattloom.llm.sets import SLICE, TABLE, added_slices, mixed
-from wattloom.session import small_side, store
+from wattloom.session import store
 
 PERCENT = 80
 AT_ONCE = 1 << 20
@@ -412,7 +412,7 @@ def without_removed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows = numbered(docs, row)
     removed = repeated_lines(rows.select(F.col(row).alias("doc_id"), "text"), percent).groupBy(F.col("doc_id").alias(key)).agg(
         F.collect_set("line").alias(lines))
-    gone = small_side(store(removed, "lines"), 100_000)
+    gone = store(removed, "lines")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(lines, i)), "\n")
     changed = F.col(lines).isNotNull()
     joined = rows.join(gone, F.col(row) == F.col(key), "left")
