@@ -57,6 +57,9 @@ def document_collections(d):
         F.sum(F.length("content")).alias("characters"))
 
 
+FILE_SLICES = 24
+
+
 @query("S8 R7 S5", """
     SELECT doc_id, CAST(CASE WHEN doc_id % 10 IN (1, 3) THEN 1 ELSE 0 END AS BIGINT) AS scan, length(text) AS characters, md5(text) AS content_hash
     FROM documents""")
@@ -64,12 +67,13 @@ def document_rescan(d):
     """Documents as one file each, in ten folders: one is rewritten and one added after the first scan; the second reads these, the third none."""
     root = scratch_path(d.spark, "document-files")
     part = F.col("doc_id") % 10
-    texts = d.source("documents").select("doc_id", F.col("text").alias("value"), part.alias("part"))
+    slice_ = F.pmod(F.floor(F.col("doc_id") / 10), F.lit(FILE_SLICES))  # each subfolder is written by one task, the folders by all
+    texts = d.source("documents").select("doc_id", F.col("text").alias("value"), part.alias("part"), slice_.alias("slice"))
     folder = DocumentFolder(d.spark, root, scratch_path(d.spark, "document-state"))
     older = F.when(part == 1, F.concat("value", F.lit(" older words"))).otherwise(F.col("value"))
     for now in (texts.where("part <> 3").withColumn("value", older), texts.where("part in (1, 3)")):
-        (now.select(F.concat_ws("\n", "doc_id", "value").alias("value"), "part").repartition("part").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 1).partitionBy("part").text(root))
+        (now.select(F.concat_ws("\n", "doc_id", "value").alias("value"), "part", "slice").repartition(FILE_SLICES, "part", "slice").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 1).partitionBy("part", "slice").text(root))
         folder.scan()
     folder.scan()
     pieces = F.split("content", "\n", 2)

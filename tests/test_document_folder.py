@@ -79,3 +79,22 @@ def test_the_path_below_a_root_whose_name_comes_twice(spark, tmp_path):
     put(root, "docs/x y.md", "text")
     assert [r.relative_path for r in scan_documents(spark, str(root) + "/").collect()] == ["docs/x y.md"]
     assert [r.relative_path for r in scan_documents(spark, f"file://{root}").collect()] == ["docs/x y.md"]
+
+
+def test_many_small_files_make_few_tasks(spark, tmp_path):
+    root = tmp_path / "small"
+    root.mkdir()
+    for i in range(120):
+        (root / f"{i}.txt").write_text(f"text {i}")
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], "16m")
+    try:
+        folder = DocumentFolder(spark, str(root), str(tmp_path / "small-state"))
+        assert folder.scan() == {"read": 120, "dropped": 0}
+        assert spark.conf.get(names[1]) == before[1]
+    finally:
+        spark.conf.set(names[0], before[0])
+    written = list((tmp_path / "small-state" / "files" / "scan=0").glob("*.parquet"))
+    assert len(written) <= 16  # at Spark's own cost of opening a file, a task reads four
+    assert sorted(r.content for r in folder.documents().collect()) == sorted(f"text {i}" for i in range(120))
