@@ -82,11 +82,10 @@ def read_lines(texts: DataFrame) -> tuple[DataFrame, np.ndarray]:
 
 def bit_maps(lines: Lines, chosen: np.ndarray) -> np.ndarray:
     """MAP_WORDS numbers for each chosen line: each of its words turns one bit."""
-    owner = np.repeat(np.arange(len(lines.size)), lines.size)
     bit = (lines.members >> np.uint64(24)) % np.uint64(BITS)
-    maps = np.zeros(len(lines.size) * MAP_WORDS, np.uint64)
-    np.bitwise_xor.at(maps, owner * MAP_WORDS + (bit // np.uint64(64)).astype(np.int64), np.uint64(1) << (bit % np.uint64(64)))
-    return maps.reshape(-1, MAP_WORDS)[chosen].view(np.int64)
+    turned, half = np.uint64(1) << (bit % np.uint64(64)), bit // np.uint64(64)
+    maps = [np.bitwise_xor.reduceat(np.where(half == i, turned, np.uint64(0)), lines.starts) if len(bit) else bit for i in range(MAP_WORDS)]
+    return np.stack(maps, 1)[chosen].view(np.int64)
 
 
 def tile_of(key: np.ndarray, tiles: np.ndarray) -> np.ndarray:
