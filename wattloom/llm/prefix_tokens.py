@@ -173,21 +173,27 @@ class Encoder:
                 begin = i + 1
         return ids + (self.known_stretch(text[begin:]) if begin < len(text) else [])
 
-    def stretches(self, text: str) -> Iterator[tuple[int, str, str]]:
+    def stretches(self, text: str) -> list[tuple[int, str, str]]:
         """For each stretch of a text: how many ids, the ids joined by commas, and what they decode to."""
         if not text:
-            return
+            return []
+        parts = self.stretch.findall(MARK + text.replace(" ", MARK))
+        found = list(map(self.kept.get, parts))
+        if None in found:
+            found = [self.looked_up(part) if had is None else had for part, had in zip(parts, found)]
+        return found
+
+    def looked_up(self, stretch: str) -> tuple[int, str, str]:
         kept = self.kept
-        for stretch in self.stretch.findall(MARK + text.replace(" ", MARK)):
-            found = kept.get(stretch)
-            if found is None:
-                ids = self.stretch_ids(stretch)
-                found = len(ids), ",".join(map(str, ids)), joined(ids, self.words)
-                if len(stretch) <= KEPT_LENGTH:
-                    if len(kept) >= KEPT:
-                        kept.clear()
-                    kept[stretch] = found
-            yield found
+        found = kept.get(stretch)
+        if found is None:
+            ids = self.stretch_ids(stretch)
+            found = len(ids), ",".join(map(str, ids)), joined(ids, self.words)
+            if len(stretch) <= KEPT_LENGTH:
+                if len(kept) >= KEPT:
+                    kept.clear()
+                kept[stretch] = found
+        return found
 
     def encode(self, text: str | None) -> list[int]:
         return [int(i) for _, ids, _ in self.stretches(text or "") for i in ids.split(",")]
@@ -264,12 +270,11 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     words = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
     def digest(encoder: Encoder, text: str) -> tuple[int, str, str]:
-        total, ids, back, first = 0, hashlib.sha256(), hashlib.sha256(), True
-        for count, numbers, shown in encoder.stretches(text):
-            ids.update((numbers if first else "," + numbers).encode())
-            back.update((shown.removeprefix(" ") if first else shown).encode())
-            total, first = total + count, False
-        return total, ids.hexdigest(), back.hexdigest()
+        found = encoder.stretches(text)
+        shown = [x[2] for x in found]
+        shown[:1] = [x.removeprefix(" ") for x in shown[:1]]
+        ids, back = ",".join([x[1] for x in found]), "".join(shown)
+        return sum([x[0] for x in found]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(path, words.value)
