@@ -25,10 +25,12 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near-duplicates: the smallest doc_id, of several rows with it the first as read; no doc_id comes last."""
-    row, key = fresh(docs, "_row"), fresh(docs, "_kept")
+    row, key = fresh(docs, "_row"), fresh(docs, "_gone")
     rows = numbered(docs, row, nulls_last=True)
-    kept = lsh_forest.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias(key))
-    return rows.join(store(kept, "pipeline"), F.col(row) == F.col(key), "left_semi").drop(row)
+    near = lsh_forest.near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"))
+    gone = store(near.where("not kept").select(F.col("doc_id").alias(key)), "pipeline")
+    some, others = line_dedup.parted(rows, row, gone)
+    return others.union(some.join(gone, F.col(row) == F.col(key), "left_anti")).drop(row)
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,8 +3,9 @@ from collections import defaultdict
 import corpus_pipeline
 from tests.llm.test_line_dedup import brute
 from tests.llm.test_lsh_forest import brute as near, corpus as near_corpus
+from wattloom.llm import line_dedup
 from wattloom.llm.common import table
-from wattloom.session import store
+from wattloom.session import settings, store
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,3 +68,19 @@ def test_near_copies_go_from_the_stage_as_brute_force_says(spark):
     kept = {r.doc_id for r in corpus_pipeline.one_of_each(spark, docs, SF).collect()}
     want = {doc_id for doc_id, _, _, kept in near(rows, 5, 80) if kept}
     assert kept == want and len(want) < len(rows)
+
+
+def test_texts_that_stay_as_they_are_are_not_dealt(spark):
+    """Only rows that may be named by the keys go through the join's shuffle, even where nothing is broadcast."""
+    long_one = " ".join(f"w{i}" for i in range(400))
+    texts = ["alpha beta gamma\ndelta epsilon", "alpha beta gamma\nzeta eta", *(f"{long_one} x{i}a x{i}b" * 3 if i == 0 else " ".join(f"u{i}v{k}" for k in range(400)) for i in range(40))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        found = corpus_pipeline.fresh_lines(spark, docs, SF)
+        kept = {r.doc_id: r.text for r in found.collect()}
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert kept == {**dict(enumerate(texts)), 1: "zeta eta"}
+    assert plan.lstrip().startswith("Union")
+    some, others = line_dedup.parted(docs, "doc_id", spark.createDataFrame([(1,), (7,)], "key long"))
+    assert {1, 7} <= {r.doc_id for r in some.collect()} and some.count() + others.count() == len(texts)
+    assert others.count() >= len(texts) - 4 and "Exchange" not in others._jdf.queryExecution().executedPlan().toString()

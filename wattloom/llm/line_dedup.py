@@ -244,6 +244,18 @@ def has_bit(table: bytes, keys: np.ndarray) -> np.ndarray:
     return (np.frombuffer(table, np.uint8)[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1 > 0
 
 
+def parted(rows: DataFrame, number: str, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``rows`` whose ``number`` may be among ``keys`` (one column), and those whose is not: a bit table of fixed size says which, so that a join with ``keys`` deals the texts of the first only."""
+    table = rows.sparkSession.sparkContext.broadcast(bit_table(keys.select(F.xxhash64(keys.columns[0]).alias("key"))))
+
+    @F.arrow_udf("boolean")
+    def may_be(places: pa.Array) -> pa.Array:
+        return pa.array(has_bit(table.value, places.to_numpy(zero_copy_only=False)))
+
+    found = may_be(F.xxhash64(number))
+    return rows.where(found), rows.where(~found)
+
+
 def line_places(ids: np.ndarray, line: np.ndarray) -> np.ndarray:
     """A number for each line's place that spreads well."""
     return mixed(mixed(ids.view(np.uint64)) + line.astype(np.uint64)).view(np.int64)
@@ -414,10 +426,12 @@ def without_removed(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     gone = store(removed, "lines")
     left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(lines, i)), "\n")
     changed = F.col(lines).isNotNull()
-    joined = rows.join(gone, F.col(row) == F.col(key), "left")
+    some, others = parted(rows, row, gone.select(key))
+    joined = some.join(gone, F.col(row) == F.col(key), "left")
     kept = joined.withColumn("text", F.when(changed, left).otherwise(F.col("text"))).where(
         ~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.when(changed, F.length("text").cast(
             docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return others.select(*columns).union(kept.select(*columns))
