@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from wattloom.llm import hidden_markov as hm
+from wattloom.session import settings
 
 
 def model(states, classes, seed=1):
@@ -177,3 +178,35 @@ def test_rounds_over_words_against_one_block(spark):
     rows = hm.counted_words(blocks, hm.first_model({}, share)).collect()
     assert sorted(r["count"] for r in rows) == sorted(train.values())
     assert all(sum(r[e] for e in hm.EXPECTED) == pytest.approx(r["count"], rel=1e-4) for r in rows)
+
+
+def test_words_are_dealt_packed(spark):
+    """Counting, summing and sending back words shuffles a row for each block and range of hashes, not one for each word of a block."""
+    texts = [" ".join(f"w{(i * 7 + k) % 900}" for k in range(300)) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    blocks = hm.coded(docs)
+    with settings(spark, {"spark.sql.shuffle.partitions": "4"}):
+        counts = hm.word_counts(blocks)
+        table = hm.counted_words(blocks, hm.first_model({}, np.ones(hm.CLASSES) / hm.CLASSES))
+        rows = hm.with_rows(blocks, table).collect()
+        kept = {r.hash: r["count"] for r in counts.collect()}
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "part#" in plan and "hash#" not in plan.split("Exchange")[1].split("\n")[0]
+    assert len(rows) <= 3 * 4
+    asked = {r.block: r.hashes for r in blocks.collect()}
+    for r in rows:
+        own = sorted(asked[r.home], key=lambda h: h % 2**64)[r.first:]
+        found = np.frombuffer(bytes(r.counts), np.int64)
+        sums = np.frombuffer(bytes(r.sums), np.float32).reshape(hm.STATES, -1).sum(0)
+        assert [kept.get(h, 0) for h in own[:len(found)]] == found.tolist()
+        assert np.allclose(sums, found, rtol=1e-4)
+    train = Counter(w for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split() + [""])
+    assert sorted(kept.values()) == sorted(train.values()) and sum(len(x) for x in asked.values()) == sum(
+        len(np.frombuffer(bytes(r.counts), np.int64)) for r in rows)
+
+
+def test_classes_of_frequent_and_other_words():
+    top = {-5: 0, 2**62: 1, 7: 2}
+    found = hm.classes_of(np.array([7, 8, -5, 2**62, -6]), np.array([1, 2, 3, 4, 5], np.int32), top)
+    assert found.tolist() == [2, hm.TOP + 2, 0, 1, hm.TOP + 5]
+    assert hm.classes_of(np.array([7]), np.array([1], np.int32), {}).tolist() == [hm.TOP + 1]

@@ -8,13 +8,14 @@ that unknown words have a class as well, and the class table has a fixed size.
 
 Steps, all over whole texts:
 1. Documents are coded once, block by block: a block's distinct words, and each text as numbers in them. No text is shuffled.
-2. Words are counted over all training documents: one row for each word and block is shuffled.
+2. Words are counted over all training documents. Here and later, words are dealt by the range of their hash: a block gives one row of packed
+   arrays for each range.
 3. Baum-Welch, ROUNDS rounds: tasks run scaled forward-backward over their blocks. In all rounds but the last the expected counts are summed by
    slices of the class table; in the last one by word, into the state-by-word table. (p(word | class) is the same in every state, so that round needs no table either.)
    The chain runs through each text as a whole and starts at its first token only. Work goes by segments of SEGMENT tokens: a segment's transfer
    matrix carries the forward and backward vectors over it, so segments are worked side by side and a text's length costs no memory but its own.
    Every round runs over every block.
-4. Scoring: each block gets the rows of its own words back, and a scaled forward recursion over the whole text gives its exact likelihood.
+4. Scoring: each block gets the counts of its own words back, in the order of their hashes, and a scaled forward recursion over the whole text gives its exact likelihood.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id hashes as the empty text; repeated rows are scored one by
 one and count as often; without training rows every word is unknown and the states are alike; an empty table gives no rows; other columns are not
@@ -31,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.session import scratch_path, store
@@ -43,7 +44,7 @@ CLASSES = TOP + HASHED
 SEGMENT = 512
 ROWS = 2048
 ROUNDS = 13
-BLOCK_DOCS, BLOCK_TOKENS = 2000, 1 << 20
+BLOCK_DOCS, BLOCK_TOKENS = 1 << 14, 1 << 22
 SLICE = 4096
 END = b""
 BLOCK = ("block long, hashes array<long>, suffixes array<int>, trained array<int>, codes binary, lengths binary, held binary, "
@@ -51,6 +52,7 @@ BLOCK = ("block long, hashes array<long>, suffixes array<int>, trained array<int
 TINY = 1e-30
 EXPECTED = [f"e{k}" for k in range(STATES)]
 WORDS = "hash long, count long, " + ", ".join(f"{e} float" for e in EXPECTED)
+PACKED = "part int, block long, first int, hashes binary, counts binary, sums binary"
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
 
@@ -120,13 +122,68 @@ class Model:
 
 def classes_of(hashes: np.ndarray, suffixes: np.ndarray, top: dict[int, int]) -> np.ndarray:
     found = TOP + suffixes
-    for i, h in enumerate(hashes.tolist()):
-        own = top.get(h)
-        if own is not None:
-            found[i] = own
+    if top:
+        known, own = np.fromiter(top.keys(), np.int64, len(top)), np.fromiter(top.values(), np.int64, len(top))
+        order = np.argsort(known)
+        known, own = known[order], own[order]
+        at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+        hit = known[at] == hashes
+        found[hit] = own[at[hit]]
     return found
 
 
+def parts_in(spark: SparkSession) -> int:
+    """So many ranges of hashes are dealt."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def by_hash(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order by hash, and where each of ``parts`` ranges of hashes begins in it."""
+    own = hashes.view(np.uint64)
+    order = np.argsort(own, kind="stable")
+    return order, np.searchsorted(((own[order] >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32), np.arange(parts + 1, dtype=np.uint64))
+
+
+def dealt(block: int | None, hashes: np.ndarray, parts: int, counts: np.ndarray | None = None, sums: np.ndarray | None = None) -> pa.RecordBatch:
+    """One PACKED row for each range of hashes with a word; ``first`` is its place in the order by hash. ``sums`` has a row for each state."""
+    order, cuts = by_hash(hashes, parts)
+    some = np.flatnonzero(np.diff(cuts))
+    lists = [None if x is None else [np.ascontiguousarray(x[..., order[cuts[p]:cuts[p + 1]]]).tobytes() for p in some] for x in (hashes, counts, sums)]
+    return pa.RecordBatch.from_arrays([
+        pa.array(some, pa.int32()), pa.array([block] * len(some), pa.int64()), pa.array(cuts[some], pa.int32()),
+        *[pa.nulls(len(some), pa.binary()) if x is None else pa.array(x, pa.binary()) for x in lists]], [c.split()[0] for c in PACKED.split(", ")])
+
+
+def unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.frombuffer(b"".join(x.as_py() for x in column), kind)
+
+
+def unpacked_sums(column: pa.ChunkedArray) -> np.ndarray:
+    """The sums of several rows side by side: a row for each state."""
+    return np.concatenate([np.empty((STATES, 0), np.float32), *[np.frombuffer(x.as_py(), np.float32).reshape(STATES, -1) for x in column]], 1)
+
+
+def word_counts(blocks: DataFrame) -> DataFrame:
+    """(hash, suffix, count) of every training word."""
+    parts = parts_in(blocks.sparkSession)
+
+    def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in zip(*batch.columns):
+                hashes, suffixes, trained = (x.values.to_numpy() for x in row)
+                used = trained > 0
+                both = np.stack([suffixes[used], trained[used]])
+                yield dealt(None, hashes[used], parts, both)
+
+    def of_part(rows: pa.Table) -> pa.Table:
+        hashes = unpacked(rows["hashes"], np.int64)
+        suffixes, trained = np.concatenate([np.frombuffer(x.as_py(), np.int32).reshape(2, -1) for x in rows["counts"]], 1)
+        words, at, own = np.unique(hashes, return_index=True, return_inverse=True)
+        return pa.table({"hash": words, "suffix": suffixes[at], "count": np.bincount(own, weights=trained).astype(np.int64)})
+
+    return blocks.select("hashes", "suffixes", "trained").mapInArrow(of_task, PACKED).groupBy("part").applyInArrow(of_part, "hash long, suffix int, count long")
+
+
 def first_model(top: dict[int, int], share: np.ndarray, seed: int = 5) -> Model:
     """Each state's emissions are the classes' shares, each turned up or down at random; states tend to stay."""
     random = np.random.default_rng(seed)
@@ -323,24 +380,51 @@ def local_model(words: Words, block: pa.Table, known: pa.Table) -> tuple[Model,
     """One block's own model, with emissions by its words; then text lengths, codes, which texts are held out, and the words' counts."""
     classes = np.frombuffer(block["classes"][0].as_py(), np.int32)
     count, own = np.zeros(len(classes)), np.zeros((len(classes), STATES))
-    at = known["code"].to_numpy()
-    count[at] = known["count"].to_numpy()
-    for k, name in enumerate(EXPECTED):
-        own[at, k] = known[name].to_numpy()
-    m = words.model
-    return (Model({}, m.start, m.move, words.emissions(classes, count, own)), np.frombuffer(block["lengths"][0].as_py(), np.int32).astype(np.int64),
-            np.frombuffer(block["codes"][0].as_py(), np.int32), np.frombuffer(block["held"][0].as_py(), np.uint8).astype(bool), count)
+    for first, counts, sums in zip(*(known[c] for c in ("first", "counts", "sums"))):
+        found = np.frombuffer(counts.as_py(), np.int64)
+        at = slice(first.as_py(), first.as_py() + len(found))
+        count[at], own[at] = found, np.frombuffer(sums.as_py(), np.float32).reshape(STATES, -1).T
+    m, lengths = words.model, np.frombuffer(block["lengths"][0].as_py(), np.int32).astype(np.int64)
+    codes = np.frombuffer(pa.decompress(block["codes"][0].as_py(), int(4 * lengths.sum()), "zstd", asbytes=True), np.int32)
+    return (Model({}, m.start, m.move, words.emissions(classes, count, own)), lengths, codes,
+            np.frombuffer(block["held"][0].as_py(), np.uint8).astype(bool), count)
 
 
-def with_rows(entries: DataFrame, table: DataFrame) -> DataFrame:
-    """The table's row of each word of each block; words without one were not trained on."""
-    return entries.select("block", "code", "hash").join(table, "hash").select(
-        F.col("block").alias("home"), "code", "count", *EXPECTED)
+def with_rows(blocks: DataFrame, table: DataFrame) -> DataFrame:
+    """The table's counts for the words of each block, packed, one row for each range of hashes; words without a row were not trained on and have none."""
+    parts = parts_in(blocks.sparkSession)
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, hashes in zip(*batch.columns):
+                yield dealt(block.as_py(), hashes.values.to_numpy(), parts)
+
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes, counts, *sums = (x.to_numpy() for x in batch.columns)
+            yield dealt(None, hashes, parts, counts, np.stack(sums))
+
+    def of_part(asked: pa.Table, table: pa.Table) -> pa.Table:
+        hashes, counts, sums = unpacked(table["hashes"], np.int64), unpacked(table["counts"], np.int64), unpacked_sums(table["sums"])
+        order = np.append(np.argsort(hashes), len(hashes))  # the last place stands for a word without a row
+        sorted_hashes, counts, sums = hashes[order[:-1]], np.append(counts, 0)[order], np.append(sums, np.zeros((STATES, 1), np.float32), 1)[:, order]
+        found: list[tuple[bytes, bytes]] = []
+        for x in asked["hashes"]:
+            own = np.frombuffer(x.as_py(), np.int64)
+            at = np.searchsorted(sorted_hashes, own)
+            at[np.append(sorted_hashes, 0)[at] != own] = len(hashes)
+            found.append((counts[at].tobytes(), np.ascontiguousarray(sums[:, at]).tobytes()))
+        return pa.table({"home": asked["block"], "first": asked["first"], "counts": pa.array([c for c, _ in found], pa.binary()),
+                         "sums": pa.array([x for _, x in found], pa.binary())})
+
+    questions = blocks.select("block", "hashes").mapInArrow(asked, PACKED)
+    answers = table.select("hash", "count", *EXPECTED).mapInArrow(held, PACKED)
+    return questions.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(of_part, "home long, first int, counts binary, sums binary")
 
 
 def counted_words(blocks: DataFrame, model: Model) -> DataFrame:
     """The last E step, over all training texts: each training word's count and expected count in each state."""
-    light = model.light()
+    light, parts = model.light(), parts_in(blocks.sparkSession)
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -353,11 +437,16 @@ def counted_words(blocks: DataFrame, model: Model) -> DataFrame:
                 own = replace(light, emit=light.emit[classes_of(hashes, suffixes.values.to_numpy(), model.top)])
                 emits = expected_of_texts(own, np.frombuffer(codes.as_py(), np.int32)[np.repeat(train, sizes)], sizes[train])[2]
                 used = trained > 0
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[used]), pa.array(trained[used].astype(np.int64)), *[
-                    pa.array(e[used].astype(np.float32)) for e in emits]], ["hash", "count", *EXPECTED])
+                yield dealt(None, hashes[used], parts, trained[used], emits[:, used].astype(np.float32))
+
+    def of_part(rows: pa.Table) -> pa.Table:
+        words, own = np.unique(unpacked(rows["hashes"], np.int64), return_inverse=True)
+        added = lambda x: np.bincount(own, weights=x)
+        return pa.table({"hash": words, "count": added(unpacked(rows["counts"], np.int32)).astype(np.int64), **{
+            e: added(x).astype(np.float32) for e, x in zip(EXPECTED, unpacked_sums(rows["sums"]))}})
 
-    found = blocks.select("hashes", "suffixes", "trained", "codes", "lengths", "held").mapInArrow(of_task, WORDS)
-    return found.groupBy("hash").agg(F.sum("count").alias("count"), *[F.sum(F.col(e).cast("double")).cast("float").alias(e) for e in EXPECTED])
+    found = blocks.select("hashes", "suffixes", "trained", "codes", "lengths", "held").mapInArrow(of_task, PACKED)
+    return found.groupBy("part").applyInArrow(of_part, WORDS)
 
 
 def nothing(schema: str) -> pa.Table:
@@ -387,9 +476,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "hmm")
     coded(docs).write.option("compression", "zstd").parquet(path)
     blocks = spark.read.schema(BLOCK).parquet(path)
-    entries = blocks.select("block", F.posexplode(F.arrays_zip("hashes", "suffixes", "trained")).alias("code", "word")).select(
-        "block", "code", F.col("word.hashes").alias("hash"), F.col("word.suffixes").alias("suffix"), F.col("word.trained").alias("trained"))
-    counts = store(entries.where("trained > 0").groupBy("hash", "suffix").agg(F.sum("trained").alias("count")), "hmm")
+    counts = store(word_counts(blocks), "hmm")
     totals = counts.agg(F.sum("count"), F.count("*")).first()
     tokens, kinds = int(totals[0] or 0), int(totals[1] or 0)
     frequent = counts.orderBy(F.desc("count"), "hash").limit(TOP).collect()
@@ -409,17 +496,25 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         model = maximised(model, counted(blocks, model), share)
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Words numbered anew, in the order of their hashes."""
         for batch in batches:
-            own = [classes_of(h.values.to_numpy(), s.values.to_numpy(), top).astype(np.int32).tobytes() for h, s in zip(*batch.columns[:2])]
-            yield pa.RecordBatch.from_arrays([pa.array(own, pa.binary()), *batch.columns[2:]], ["classes", *batch.schema.names[2:]])
-
-    whole = blocks.select("hashes", "suffixes", "block", "codes", "lengths", "held", "doc_ids").mapInArrow(
-        classed, "classes binary, block long, codes binary, lengths binary, held binary, doc_ids array<long>")
+            classes, codes = [], []
+            for row in zip(*batch.columns[:3]):
+                hashes, suffixes, code = row[0].values.to_numpy(), row[1].values.to_numpy(), np.frombuffer(row[2].as_py(), np.int32)
+                order = by_hash(hashes, 1)[0]
+                place = np.empty(len(order), np.int32)
+                place[order] = np.arange(len(order))
+                classes.append(classes_of(hashes, suffixes, top)[order].astype(np.int32).tobytes())
+                codes.append(pa.compress(place[code].tobytes(), "zstd", asbytes=True))
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.binary()), pa.array(codes, pa.binary()), *batch.columns[3:]], ["classes", *batch.schema.names[2:]])
+
+    whole = blocks.select("hashes", "suffixes", "codes", "block", "lengths", "held", "doc_ids").mapInArrow(
+        classed, "classes binary, codes binary, block long, lengths binary, held binary, doc_ids array<long>")
 
     table = store(counted_words(blocks, model), "hmm")
     totals = np.array([x or 0.0 for x in table.agg(*[F.sum(F.col(e).cast("double")) for e in EXPECTED]).first()])
     words = Words(model, tokens, kinds, rest_tokens, rest_kinds, totals if tokens else None)
-    rows = with_rows(entries, table)
+    rows = with_rows(blocks, table)
 
     def of_block(block: pa.Table, known: pa.Table) -> pa.Table:
         out = [rows_of(block.slice(i, 1), known) for i in range(block.num_rows)]
