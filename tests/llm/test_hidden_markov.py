@@ -210,3 +210,54 @@ def test_classes_of_frequent_and_other_words():
     found = hm.classes_of(np.array([7, 8, -5, 2**62, -6]), np.array([1, 2, 3, 4, 5], np.int32), top)
     assert found.tolist() == [2, hm.TOP + 2, 0, 1, hm.TOP + 5]
     assert hm.classes_of(np.array([7]), np.array([1], np.int32), {}).tolist() == [hm.TOP + 1]
+
+
+def test_rounds_read_classes_of_training_texts_only(spark, monkeypatch):
+    """All rounds but the last read what is stored for them: a number for each training token, no word hashes and no held-out text."""
+    seen, counted = [], hm.counted
+
+    def watched(texts, model):
+        seen.append((texts.columns, sum(len(r.classes) // 2 for r in texts.collect())))
+        return counted(texts, model)
+
+    monkeypatch.setattr(hm, "counted", watched)
+    texts = ["a b c " * (i % 5) for i in range(90)] + [None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    hm.score(docs, rounds=3)
+    tokens = sum(len((t or "").split()) + 1 for i, t in enumerate(texts) if zlib.crc32(str(i).encode()) % 7 != 2)
+    assert seen == [(["classes", "sizes"], tokens)] * 2
+
+
+def test_matrices_are_carried_inside_long_texts_only(monkeypatch):
+    """Over a text's first and last segment one vector is carried; the counts are those of one segment for each text."""
+    monkeypatch.setattr(hm, "CLASSES", 7)
+    m, draw, carried, asked = model(hm.STATES, 7), np.random.default_rng(8), hm.transfers, []
+    lengths = np.array([5, 8, 3, 4, 17, 12, 1, 9])
+    text = draw.integers(0, 7, lengths.sum()).astype(np.uint16)
+    whole = hm.expected_of_texts(m, text, lengths)
+    monkeypatch.setattr(hm, "SEGMENT", 4)
+    monkeypatch.setattr(hm, "transfers", lambda model, found, first: asked.append(len(first)) or carried(model, found, first))
+    for a, b in zip(hm.expected_of_texts(m, text, lengths), whole):
+        assert np.allclose(a, b)
+    assert asked == [3 + 1 + 1]
+
+
+def test_coded_texts_at_block_borders(spark, monkeypatch):
+    """Blocks end with the text that fills them, wherever the pieces that are cut into words end; words are those of ``bytes.split``."""
+    monkeypatch.setattr(hm, "BLOCK_TOKENS", 20)
+    monkeypatch.setattr(hm, "PIECE", 64)
+    texts = [None, "", " \n ", "A b\x1fc  a Ä x", "the", "x\x85y Z q"] + ["Word w%d  the\tthe\n" % (i % 3) * (i % 6) for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    rows = hm.coded(docs).collect()
+    held = [zlib.crc32(str(i).encode()) % 7 == 2 for i in range(len(texts))]
+    assert [i for r in rows for i in r.doc_ids] == list(range(len(texts)))
+    for r in rows:
+        own = [[*(texts[i] or "").encode().lower().split(), hm.END] for i in r.doc_ids]
+        lengths, codes = np.frombuffer(bytes(r.lengths), np.int32), np.frombuffer(bytes(r.codes), np.int32)
+        assert lengths.tolist() == [len(x) for x in own] and list(bytes(r.held)) == [held[i] for i in r.doc_ids]
+        assert sum(lengths[:-1]) < 20 and (sum(lengths) >= 20 or r == rows[-1])
+        flat = [w for x in own for w in x]
+        assert [r.hashes[c] for c in codes] == [hm.xxhash.xxh64_intdigest(w) - (1 << 63) for w in flat]
+        assert [r.suffixes[c] for c in codes] == [zlib.crc32(w[-3:]) % hm.HASHED for w in flat] and len(r.hashes) == len(set(flat))
+        train = Counter(w for i, x in zip(r.doc_ids, own) if not held[i] for w in x)
+        assert {r.hashes[c]: r.trained[c] for c in codes} == {hm.xxhash.xxh64_intdigest(w) - (1 << 63): train[w] for w in flat}

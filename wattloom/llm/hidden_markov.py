@@ -10,10 +10,11 @@ Steps, all over whole texts:
 1. Documents are coded once, block by block: a block's distinct words, and each text as numbers in them. No text is shuffled.
 2. Words are counted over all training documents. Here and later, words are dealt by the range of their hash: a block gives one row of packed
    arrays for each range.
-3. Baum-Welch, ROUNDS rounds: tasks run scaled forward-backward over their blocks. In all rounds but the last the expected counts are summed by
+3. Baum-Welch, ROUNDS rounds: tasks run scaled forward-backward over their blocks. All rounds but the last read the training texts as classes, stored once, and sum the expected counts by
    slices of the class table; in the last one by word, into the state-by-word table. (p(word | class) is the same in every state, so that round needs no table either.)
-   The chain runs through each text as a whole and starts at its first token only. Work goes by segments of SEGMENT tokens: a segment's transfer
-   matrix carries the forward and backward vectors over it, so segments are worked side by side and a text's length costs no memory but its own.
+   The chain runs through each text as a whole and starts at its first token only. Work goes by segments of SEGMENT tokens: forward vectors are carried
+   out of a text's first segment, backward ones out of its last, and both over a segment between them by its transfer matrix, so segments are worked
+   side by side and a text's length costs no memory but its own. Arrays have a row for each state, so that numpy runs along the segments.
    Every round runs over every block.
 4. Scoring: each block gets the counts of its own words back, in the order of their hashes, and a scaled forward recursion over the whole text gives its exact likelihood.
 
@@ -30,12 +31,13 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.session import scratch_path, store
+from wattloom.session import DROP_SHUFFLES, scratch_path, settings, store
 
 STATES = 6
 TOP = 8192
@@ -43,12 +45,15 @@ HASHED = 8192
 CLASSES = TOP + HASHED
 SEGMENT = 512
 ROWS = 2048
+WIDE = 512
 ROUNDS = 13
 BLOCK_DOCS, BLOCK_TOKENS = 1 << 14, 1 << 22
+PIECE = 1 << 23
 SLICE = 4096
 END = b""
 BLOCK = ("block long, hashes array<long>, suffixes array<int>, trained array<int>, codes binary, lengths binary, held binary, "
          "doc_ids array<long>")
+TRAINED = "classes binary, sizes binary"
 TINY = 1e-30
 EXPECTED = [f"e{k}" for k in range(STATES)]
 WORDS = "hash long, count long, " + ", ".join(f"{e} float" for e in EXPECTED)
@@ -64,9 +69,24 @@ class Numbers(dict):
         return number
 
 
+def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """How many words each text has (null: none), all their words as places in the last list, and that list: distinct, A-Z lower-cased."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
+    flat = lists.flatten()
+    some = pc.not_equal(flat, "")
+    sizes = np.diff(np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[lists.offsets.to_numpy()])
+    own = flat.filter(some).dictionary_encode()
+    ends, data = np.frombuffer(own.dictionary.buffers()[1], np.int32)[:len(own.dictionary) + 1].tolist() if len(own) else [], own.dictionary.buffers()[2]
+    data = data.to_pybytes() if data else b""
+    return sizes, own.indices.to_numpy(), [data[a:b] for a, b in zip(ends, ends[1:])]
+
+
 def coded(docs: DataFrame) -> DataFrame:
     """Blocks of documents: distinct words, their training counts, and each text as numbers; every text ends with END."""
 
+    def listed(values: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
+
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, made = TaskContext.get().partitionId() << 32, 0
         words, codes, lengths, held, ids = Numbers(), [], [], [], []
@@ -76,36 +96,53 @@ def coded(docs: DataFrame) -> DataFrame:
             every = np.concatenate(codes)
             train = np.repeat(~np.array(held, bool), sizes)
             names = list(words)
-            row = {
-                "block": base + made, "hashes": [xxhash.xxh64_intdigest(w) - (1 << 63) for w in names],
-                "suffixes": np.array([zlib.crc32(w[-3:]) % HASHED for w in names], np.int32),
-                "trained": np.bincount(every[train], minlength=len(names)).astype(np.int32), "codes": every.tobytes(),
-                "lengths": sizes.tobytes(), "held": np.array(held, np.uint8).tobytes(), "doc_ids": list(ids)}
-            return pa.RecordBatch.from_pylist([row], schema=pa.schema([
-                ("block", pa.int64()), ("hashes", pa.list_(pa.int64())), ("suffixes", pa.list_(pa.int32())), ("trained", pa.list_(pa.int32())),
-                ("codes", pa.binary()), ("lengths", pa.binary()), ("held", pa.binary()), ("doc_ids", pa.list_(pa.int64()))]))
+            return pa.RecordBatch.from_arrays([
+                pa.array([base + made], pa.int64()), listed(np.array([xxhash.xxh64_intdigest(w) - (1 << 63) for w in names], np.int64)),
+                listed(np.array([zlib.crc32(w[-3:]) % HASHED for w in names], np.int32)), listed(np.bincount(every[train], minlength=len(names)).astype(np.int32)),
+                *[pa.array([x.tobytes()], pa.binary()) for x in (every, sizes, np.array(held, np.uint8))], pa.array([ids], pa.list_(pa.int64()))],
+                [c.split()[0] for c in BLOCK.split(", ")])
 
         tokens = 0
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = (text.as_py() or "").encode().lower().split()
-                own.append(END)
-                codes.append(np.fromiter(map(words.__getitem__, own), np.int32, len(own)))
-                lengths.append(len(own))
-                held.append(zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 == 2)
-                ids.append(doc_id)
-                tokens += len(own)
-                if len(ids) >= BLOCK_DOCS or tokens >= BLOCK_TOKENS:
-                    yield finished()
-                    made += 1
-                    tokens = 0
-                    words, codes, lengths, held, ids = Numbers(), [], [], [], []
+            for begin, end in pieces(batch.column(1)):
+                part = batch.slice(begin, end - begin)
+                sizes, places, names = words_of(part.column(1))
+                ends, doc_ids, at = np.append(0, np.cumsum(sizes)), part.column(0).to_pylist(), 0
+                while at < len(sizes):
+                    full = int(np.searchsorted(tokens + np.cumsum(sizes[at:] + 1), BLOCK_TOKENS)) + 1  # the text that fills the block is its last
+                    to = min(at + full, at + BLOCK_DOCS - len(ids), len(sizes))
+                    own, found = places[ends[at]:ends[to]], sizes[at:to]
+                    used = np.zeros(len(names), bool)
+                    used[own] = True
+                    used = np.flatnonzero(used)
+                    number = np.empty(len(names), np.int32)
+                    number[used] = np.fromiter(map(words.__getitem__, [names[i] for i in used]), np.int32, len(used))
+                    every = np.full(len(own) + len(found), words[END], np.int32)
+                    every[np.arange(len(own)) + np.repeat(np.arange(len(found)), found)] = number[own]
+                    codes.append(every)
+                    lengths += (found + 1).tolist()
+                    held += [zlib.crc32(b"" if i is None else str(i).encode()) % 7 == 2 for i in doc_ids[at:to]]
+                    ids += doc_ids[at:to]
+                    tokens += len(every)
+                    at = to
+                    if len(ids) >= BLOCK_DOCS or tokens >= BLOCK_TOKENS:
+                        yield finished()
+                        made += 1
+                        tokens = 0
+                        words, codes, lengths, held, ids = Numbers(), [], [], [], []
         if ids:
             yield finished()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(blocks, BLOCK)
 
 
+def pieces(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Stretches of texts, each of about PIECE bytes."""
+    sizes = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+    cuts = np.flatnonzero(np.diff(sizes // PIECE)) + 1
+    yield from zip([0, *cuts.tolist()], [*cuts.tolist(), len(texts)])
+
+
 @dataclass
 class Model:
     """top: hash -> class of the frequent words; start, move, emit: probabilities (emit by class or by a block's word, then state)."""
@@ -202,7 +239,9 @@ def cut(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def padded(found: np.ndarray, first: np.ndarray) -> np.ndarray:
-    return found[np.minimum(first[:, None] + np.arange(SEGMENT), max(len(found) - 1, 0))]
+    """Rows of SEGMENT tokens each; the tokens of one step lie side by side."""
+    rows = np.lib.stride_tricks.sliding_window_view(np.append(found, np.zeros(SEGMENT, found.dtype)), SEGMENT)
+    return np.asfortranarray(rows[first])
 
 
 def segments(found: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -212,6 +251,11 @@ def segments(found: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.nda
     return padded(found, first[order]), size[order]
 
 
+def live_at(size: np.ndarray, steps: int) -> list[int]:
+    """How many of the rows (longest first) are longer than t, for t from 0 to ``steps``."""
+    return np.searchsorted(-size, -np.arange(steps + 1), side="left").tolist()
+
+
 def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray | None = None, leave: np.ndarray | None = None,
              opens: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, moves and emissions of padded rows (longest first), by scaled forward-backward.
@@ -222,78 +266,116 @@ def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray
     count, steps, kinds = len(size), int(size[0]) if len(size) else 0, len(model.emit)
     enter = np.broadcast_to(model.start, (count, STATES)) if enter is None else enter
     leave = np.ones((count, STATES), model.emit.dtype) if leave is None else leave
-    live = [int(np.searchsorted(-size, -t, side="left")) for t in range(steps + 1)]  # rows longer than t
+    live = live_at(size, steps)
     starts, moves, emits = np.zeros(STATES), np.zeros((STATES, STATES)), np.zeros((STATES, kinds))
-    seen = [model.emit[rows[:live[t], t]] for t in range(steps)]
-    ahead, scales = [], []
-    state = enter
+    if not steps:
+        return starts, moves, emits
+    emit, onto, leave = np.ascontiguousarray(model.emit.T), model.move.T, np.ascontiguousarray(leave.T)
+    seen, ahead, scales = [], [], []
     for t in range(steps):
-        state = (state if t == 0 else state[:live[t]] @ model.move) * seen[t]
-        scale = state.sum(1, keepdims=True) + TINY
-        state = state / scale
+        seen.append(emit.take(rows[:live[t], t], 1))
+        state = (enter.T if t == 0 else onto @ ahead[-1][:, :live[t]]) * seen[-1]
+        scale = state.sum(0) + TINY
+        state /= scale
         ahead.append(state)
         scales.append(scale)
-    ending = [leave[live[t + 1]:live[t]] / ((ahead[t] * leave[:live[t]])[live[t + 1]:].sum(1, keepdims=True) + TINY) for t in range(steps)]
-    back, shares = ending[-1] if steps else None, []
+    back, shares, done = np.empty((STATES, 0), model.emit.dtype), np.empty((STATES, sum(live)), model.emit.dtype), 0
     for t in range(steps - 1, -1, -1):
+        if live[t + 1] < live[t]:  # these rows end here
+            last = leave[:, live[t + 1]:live[t]]
+            back = np.concatenate([back, last / ((ahead[t][:, live[t + 1]:] * last).sum(0) + TINY)], 1)
         held = ahead[t] * back
-        held /= held.sum(1, keepdims=True) + TINY
-        shares.append(held)
+        held /= held.sum(0) + TINY
+        shares[:, done:done + live[t]] = held
+        done += live[t]
         if t == 0:
-            starts = held.sum(0) if opens is None else held[opens].sum(0)
+            starts = held.sum(1) if opens is None else held[:, opens].sum(1)
             break
-        onward = seen[t] * back / scales[t]
-        moves += model.move * (ahead[t - 1][:live[t]].T @ onward)
-        back = np.concatenate([onward @ model.move.T, ending[t - 1]])
-    if steps:
-        tokens = np.concatenate([rows[:live[t], t] for t in range(steps - 1, -1, -1)])
-        every = np.concatenate(shares)
-        for k in range(STATES):
-            emits[k] = np.bincount(tokens, weights=every[:, k], minlength=kinds)
+        back *= seen[t]
+        back /= scales[t]
+        moves += model.move * (ahead[t - 1][:, :live[t]] @ back.T)
+        back = model.move @ back
+    tokens = np.concatenate([rows[:live[t], t] for t in range(steps - 1, -1, -1)]).astype(np.int64)
+    for k in range(STATES):
+        emits[k] = np.bincount(tokens, weights=shares[k], minlength=kinds)
     return starts, moves, emits
 
 
-def transfers(model: Model, found: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """For each segment, up to a factor, the matrix from the forward vector before its first token to the one at its last token."""
-    out = np.empty((len(size), STATES, STATES), model.emit.dtype)
+def transfers(model: Model, found: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """For each whole segment, up to a factor, the matrix from the forward vector before its first token to the one at its last token."""
+    out = np.empty((len(first), STATES, STATES), model.emit.dtype)
+    emit, onto = np.ascontiguousarray(model.emit.T), model.move.T
+    for begin in range(0, len(first), WIDE):
+        start = first[begin:begin + WIDE]
+        made = np.eye(STATES, dtype=emit.dtype)[:, :, None] * emit.take(found[start], 1)[:, None]  # by state at the token, state before the segment, segment
+        for t in range(1, SEGMENT):
+            made = (onto @ made.reshape(STATES, -1)).reshape(made.shape)
+            made *= emit.take(found[start + t], 1)[:, None]
+            made /= made.sum((0, 1)) + TINY
+        out[begin:begin + WIDE] = made.transpose(2, 1, 0)
+    return out
+
+
+def heads(model: Model, found: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The forward vectors at the last token of whole segments that begin a text."""
+    emit, onto = np.ascontiguousarray(model.emit.T), model.move.T
+    state = np.ascontiguousarray(np.broadcast_to(model.start[:, None], (STATES, len(first))))
+    for t in range(SEGMENT):
+        state = (onto @ state if t else state) * emit.take(found[first + t], 1)
+        state /= state.sum(0) + TINY
+    return state.T
+
+
+def tails(model: Model, found: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """For segments that end a text, up to a factor, the probability of all their tokens by the state at the first one."""
     order = np.argsort(-size, kind="stable")
-    for begin in range(0, len(order), ROWS):
-        own = order[begin:begin + ROWS]
-        start, length = first[own], size[own]
-        made = np.eye(STATES, dtype=model.emit.dtype) * model.emit[found[start]][:, None, :]
-        for t in range(1, int(length[0])):
-            n = int(np.searchsorted(-length, -t, side="left"))
-            step = (made[:n].reshape(-1, STATES) @ model.move).reshape(-1, STATES, STATES) * model.emit[found[start[:n] + t]][:, None, :]
-            made[:n] = step / (step.sum((1, 2), keepdims=True) + TINY)
-        out[own] = made / (made.sum((1, 2), keepdims=True) + TINY)
+    start, live = first[order], live_at(size[order], int(size.max()))
+    emit, state = np.ascontiguousarray(model.emit.T), np.empty((STATES, 0), model.emit.dtype)
+    for t in range(len(live) - 2, -1, -1):
+        new = np.ones((STATES, live[t] - state.shape[1]), state.dtype)
+        state = np.concatenate([model.move @ state, new], 1) * emit.take(found[start[:live[t]] + t], 1)
+        state /= state.sum(0) + TINY
+    out = np.empty((len(size), STATES), state.dtype)
+    out[order] = state.T
     return out
 
 
 def carried(model: Model, found: np.ndarray, first: np.ndarray, size: np.ndarray, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """What ``expected`` needs at the segments' borders: (enter, leave), and the expected moves over the borders."""
+    """What ``expected`` needs at the segments' borders: (enter, leave), and the expected moves over the borders.
+
+    Of a text's first and last segment one vector is carried, of those between them a matrix.
+    """
     enter, leave = np.tile(model.start, (len(size), 1)), np.ones((len(size), STATES), model.emit.dtype)
     moves = np.zeros((STATES, STATES))
     over = np.flatnonzero(np.repeat(parts > 1, parts))  # segments of texts that have several
     if not len(over):
         return enter, leave, moves
-    through = transfers(model, found, first[over], size[over])
-    number = np.sort(parts[parts > 1])[::-1]
     lengths = parts[parts > 1]
-    head = (np.cumsum(lengths) - lengths)[np.argsort(-lengths, kind="stable")]
-    live = np.searchsorted(-number, -np.arange(number[0] + 1), side="left")  # texts with more than s segments
-    ends = np.empty((len(over), STATES), model.emit.dtype)
-    for s in range(number[0]):
+    number = np.sort(lengths)[::-1]
+    longest = np.argsort(-lengths, kind="stable")
+    opens, closes = np.cumsum(lengths) - lengths, np.cumsum(lengths) - 1
+    between = np.ones(len(over), bool)
+    between[opens] = between[closes] = False
+    place = np.cumsum(between) - 1
+    through = transfers(model, found, first[over[between]])
+    ends, inside = np.empty((len(over), STATES), model.emit.dtype), np.empty((len(over), STATES), model.emit.dtype)
+    ends[opens] = heads(model, found, first[over[opens]])
+    inside[closes] = tails(model, found, first[over[closes]], size[over[closes]])
+    head = opens[longest]
+    live = live_at(number, int(number[0]))  # texts with more than s segments
+    for s in range(1, number[0]):
         at = head[:live[s]] + s
-        if s:
-            enter[over[at]] = ends[at - 1] @ model.move
-        state = np.einsum("ni,nij->nj", enter[over[at]], through[at])
+        enter[over[at]] = ends[at - 1] @ model.move
+        at = head[:live[s + 1]] + s
+        state = np.einsum("ni,nij->nj", enter[over[at]], through[place[at]])
         ends[at] = state / (state.sum(1, keepdims=True) + TINY)
     for s in range(number[0] - 1, 0, -1):
+        at = head[:live[s + 1]] + s
+        inside[at] = np.einsum("nij,nj->ni", through[place[at]], leave[over[at]])
         at = head[:live[s]] + s
-        inside = np.einsum("nij,nj->ni", through[at], leave[over[at]])
-        whole = ((ends[at - 1] @ model.move) * inside).sum(1, keepdims=True) + TINY
-        moves += model.move * (ends[at - 1].T @ (inside / whole))
-        before = inside @ model.move.T
+        whole = ((ends[at - 1] @ model.move) * inside[at]).sum(1, keepdims=True) + TINY
+        moves += model.move * (ends[at - 1].T @ (inside[at] / whole))
+        before = inside[at] @ model.move.T
         leave[over[at - 1]] = before / (before.sum(1, keepdims=True) + TINY)
     return enter, leave, moves
 
@@ -314,22 +396,35 @@ def expected_of_texts(model: Model, found: np.ndarray, lengths: np.ndarray) -> t
     return starts, moves, emits
 
 
-def counted(blocks: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One Baum-Welch E step over all training texts of ``blocks``: the tasks' tables, summed slice by slice."""
+def trained_on(blocks: DataFrame, top: dict[int, int]) -> DataFrame:
+    """The training texts of each block, as the classes of their tokens, and how long they are; stored, as all rounds but the last read no more."""
+
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for hashes, suffixes, codes, lengths, held in zip(*batch.columns):
+                sizes, train = np.frombuffer(lengths.as_py(), np.int32), ~np.frombuffer(held.as_py(), np.uint8).astype(bool)
+                known = classes_of(hashes.values.to_numpy(), suffixes.values.to_numpy(), top).astype(np.uint16)
+                found = known[np.frombuffer(codes.as_py(), np.int32)[np.repeat(train, sizes)]]
+                yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary()), pa.array([sizes[train].tobytes()], pa.binary())], ["classes", "sizes"])
+
+    path = scratch_path(blocks.sparkSession, "hmm")
+    found = blocks.select("hashes", "suffixes", "codes", "lengths", "held").mapInArrow(classed, TRAINED)
+    found.write.option("compression", "zstd").parquet(path)
+    return blocks.sparkSession.read.schema(TRAINED).parquet(path)
+
+
+def counted(texts: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One Baum-Welch E step over all training texts (``trained_on``): the tasks' tables, summed slice by slice."""
     size, light = STATES * (1 + STATES + CLASSES), model.light()
 
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, any_rows = np.zeros(size), False
         for batch in batches:
-            for i in range(batch.num_rows):
-                any_rows = True
-                get = lambda name: batch.column(batch.schema.get_field_index(name))[i]  # noqa: E731, B023
-                lengths = np.frombuffer(get("lengths").as_py(), np.int32).astype(np.int64)
-                known = classes_of(get("hashes").values.to_numpy(), get("suffixes").values.to_numpy(), model.top)
-                found = known[np.frombuffer(get("codes").as_py(), np.int32)]
-                train = ~np.frombuffer(get("held").as_py(), np.uint8).astype(bool)
-                if train.any():
-                    total += np.concatenate([x.ravel() for x in expected_of_texts(light, found[np.repeat(train, lengths)], lengths[train])])
+            for classes, sizes in zip(*batch.columns):
+                lengths = np.frombuffer(sizes.as_py(), np.int32).astype(np.int64)
+                if len(lengths):
+                    any_rows = True
+                    total += np.concatenate([x.ravel() for x in expected_of_texts(light, np.frombuffer(classes.as_py(), np.uint16), lengths)])
         parts = range(0, size if any_rows else 0, SLICE)
         yield pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array(
             [total[p:p + SLICE].tobytes() for p in parts], pa.binary())], ["slice", "sums"])
@@ -339,10 +434,11 @@ def counted(blocks: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, np
         return pa.table({"slice": tables["slice"][:1], "sums": pa.array([sums.tobytes()], pa.binary())})
 
     kind = "slice long, sums binary"
-    summed = blocks.select("hashes", "suffixes", "codes", "lengths", "held").mapInArrow(of_task, kind).groupBy("slice").applyInArrow(of_slice, kind)
+    summed = texts.mapInArrow(of_task, kind).groupBy("slice").applyInArrow(of_slice, kind)
     total = np.zeros(size)
-    for row in summed.collect():  # one table of fixed size
-        total[row["slice"]:row["slice"] + len(row["sums"]) // 8] = np.frombuffer(bytes(row["sums"]), np.float64)
+    with settings(texts.sparkSession, DROP_SHUFFLES):
+        for row in summed.collect():  # one table of fixed size
+            total[row["slice"]:row["slice"] + len(row["sums"]) // 8] = np.frombuffer(bytes(row["sums"]), np.float64)
     return total[:STATES], total[STATES:STATES * (1 + STATES)].reshape(STATES, STATES), total[STATES * (1 + STATES):].reshape(STATES, CLASSES)
 
 
@@ -460,13 +556,13 @@ def likelihoods(model: Model, found: np.ndarray, inside: np.ndarray, lengths: np
     ends = np.cumsum(lengths)
     first, size = (ends - lengths)[order], lengths[order]
     result = np.zeros(len(lengths))
-    state = np.broadcast_to(model.start, (len(size), STATES))
-    live = np.searchsorted(-size, -np.arange(size[0] if len(size) else 0), side="left")
-    for t, n in enumerate(live):
-        state = (state if t == 0 else state[:n] @ model.move) * model.emit[found[first[:n] + t]]
-        scale = state.sum(1)
+    state = np.broadcast_to(model.start[:, None], (STATES, len(size)))
+    onto = model.move.T
+    for t, n in enumerate(live_at(size, int(size[0]) if len(size) else 0)[:-1]):
+        state = (onto @ state[:, :n] if t else state) * model.emit[found[first[:n] + t]].T
+        scale = state.sum(0)
         result[:n] += np.log10(scale)
-        state = state / scale[:, None]
+        state /= scale
     out = np.empty(len(lengths))
     out[order] = result
     return out + np.bincount(np.repeat(np.arange(len(lengths)), lengths), weights=inside, minlength=len(lengths))
@@ -492,8 +588,10 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     share = (share + 1e-3) / (share + 1e-3).sum()
 
     model = first_model(top, share)
-    for _ in range(rounds - 1 if tokens else 0):
-        model = maximised(model, counted(blocks, model), share)
+    if tokens and rounds > 1:
+        texts = trained_on(blocks, top)
+        for _ in range(rounds - 1):
+            model = maximised(model, counted(texts, model), share)
 
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Words numbered anew, in the order of their hashes."""
