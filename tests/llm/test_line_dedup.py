@@ -108,3 +108,35 @@ def test_any_two_sets_of_a_hot_word_meet():
 @pytest.mark.parametrize("size, prefix", [(1, 1), (4, 1), (5, 2), (10, 3), (45, 10)])
 def test_prefix_length(size, prefix):
     assert line_dedup.prefix_length(size, 80) == prefix
+
+
+def test_postings_are_dealt_packed(spark):
+    """A block of lines deals a row for each group of words, not one for each posting; every set and prefix word arrives once."""
+    texts = [" ".join(f"w{(7 * i + k * k) % 53}" for k in range(12)) + "\nshared line of words here" for i in range(80)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    counts = np.full(line_dedup.RARITY, 2, np.uint32)
+    rarity = spark.sparkContext.broadcast(counts)
+    rows = line_dedup.postings(docs, rarity, 80, line_dedup.HOT, 4).collect()
+    assert sorted(r.part for r in rows) == [0, 1, 2, 3]
+    found = [(r.part, *x) for r in rows for x in zip(*(np.frombuffer(bytes(r[c]), kind).tolist() for c, kind in line_dedup.KINDS.items()))]
+    sets = {frozenset(line.split()) for t in texts for line in t.split("\n")}
+    assert len(found) == sum(line_dedup.prefix_length(len(s), 80) for s in sets) == len({(x[1], x[5]) for x in found})
+    assert len({x[:2] for x in found}) == len({x[1] for x in found})
+
+
+def test_rows_of_a_word_once_and_by_size():
+    draw = np.random.default_rng(3)
+    word, size, key = draw.integers(-3, 3, 500) * 2**61, draw.integers(1, 9, 500).astype(np.int32), draw.integers(-20, 20, 500) * 2**58
+    size = (np.abs(key // 2**58) % 5 + 1).astype(np.int32)
+    once = line_dedup.set_and_word_once(word, size, key)
+    rows = list(zip(word[once].tolist(), size[once].tolist(), key[once].tolist()))
+    assert len(rows) == len(set(rows)) and set(rows) == set(zip(word.tolist(), size.tolist(), key.tolist()))
+    assert [r[:2] for r in rows] == sorted(r[:2] for r in rows)
+    assert len(line_dedup.set_and_word_once(word[:0], size[:0], key[:0])) == 0
+    some = np.array([5, -7, 5, 9, -7, 2, 5])
+    assert sorted(line_dedup.shared(some).tolist()) == [0, 1, 2, 4, 6] and len(line_dedup.shared(some[:0])) == 0
+
+
+def test_more_groups_for_more_words(spark):
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert line_dedup.parts_for(spark, 0) == parts and line_dedup.parts_for(spark, 1 << 40) == (1 << 40) // line_dedup.PART_WORDS

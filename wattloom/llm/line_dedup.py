@@ -5,7 +5,8 @@ A line is removed if an earlier line (by doc_id, then line number) is alike, whe
 Lines with equal sets are one class; a line's links are the other sets that are alike, all of them, earlier and later.
 
 1. One pass reads the lines and counts words in a table of fixed size, by hash. (count in steps of 0.7 percent, hash) is a total order of words by rarity.
-2. Each set's rarest words, so many that two alike sets share one of them (the prefix), are dealt by word. Sets with a word in common are
+2. Each set's rarest words, so many that two alike sets share one of them (the prefix), are dealt by word: a block of lines gives one row of packed
+   arrays for each group of words, and there are the more groups the more words there are. Sets with a word in common are
    compared in order of length: the length filter ends the comparison; the positional filter and the parity map of the words, whose
    differing bits are no more than the words that differ, bound the overlap that is left. A pair that also shares the prefix word before is left to that word.
    What is kept is which sets have a partner there, not the pairs, so a group of near copies costs a row for each of its sets and words.
@@ -25,7 +26,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.llm.common import fresh, numbered
@@ -41,7 +42,12 @@ HOT = 1 << 16
 MAP_WORDS = 2
 STEP_BITS = 12
 BITS = 64 * MAP_WORDS
+PART_WORDS = 1 << 19
+PACK_ROWS = 1 << 17
+LINE_BYTES = 1 << 20
 POSTING = "word long, before long, size int, place int, key long, " + ", ".join(f"bits{i} long" for i in range(MAP_WORDS))
+KINDS = {name: {"int": np.int32, "long": np.int64}[kind] for name, kind in (c.split() for c in POSTING.split(", "))}
+PACKED = "part int, " + ", ".join(f"{c} binary" for c in KINDS)
 LINK = "key long, links long, match_doc_id long, match_line int, similarity double"
 
 
@@ -66,7 +72,7 @@ def read_lines(texts: DataFrame) -> tuple[DataFrame, np.ndarray]:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(RARITY, np.uint32)
         for batch in batches:
-            for lines in lines_of(batch.column(1)):
+            for lines in lines_of(batch.column(1), LINE_BYTES):
                 np.add.at(total, (lines.members % np.uint64(RARITY)).astype(np.int64), np.uint32(1))
                 nothing = pa.nulls(len(lines.key))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(lines.text)), pa.array(lines.number.astype(np.int32)), pa.array(lines.key),
@@ -117,13 +123,35 @@ def meeting_group(word: np.ndarray, often: np.ndarray, a: np.ndarray, b: np.ndar
     return np.where(tiles <= 1, word, tile_group(word, tile_of(a, np.maximum(tiles, 1)), tile_of(b, np.maximum(tiles, 1))))
 
 
-def postings(texts: DataFrame, rarity: Broadcast, percent: int, hot: int) -> DataFrame:
-    """A row for each set and prefix word that other lines may hold. A set that comes again within a block is dealt once."""
+def parts_for(spark: SparkSession, words: int) -> int:
+    """Into so many groups the words of postings are dealt, if lines hold ``words`` words."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-words // PART_WORDS))
+
+
+def packed(columns: dict[str, np.ndarray], parts: int) -> pa.RecordBatch:
+    """One PACKED row for each of ``parts`` groups of words that has postings: their columns, as bytes."""
+    spread = mixed(columns["word"].view(np.uint64))  # of equally rare words the prefix has those with small hashes
+    part = ((spread >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.uint32)
+    order = np.argsort(part, kind="stable")
+    some, starts = np.unique(part[order], return_index=True)
+    cuts = np.append(starts, len(part)).tolist()
+    lists = [[own[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] for own in (columns[c][order] for c in KINDS)]
+    return pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(x, pa.binary()) for x in lists)], ["part", *KINDS])
+
+
+def postings(texts: DataFrame, rarity: Broadcast, percent: int, hot: int, parts: int) -> DataFrame:
+    """The sets and their prefix words that other lines may hold, dealt by groups of words. A set that comes again within a block is dealt once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = rarity.value
+        count, held = rarity.value, []
+
+        def ready() -> pa.RecordBatch:
+            columns = {c: np.concatenate([x[c] for x in held]) for c in KINDS}
+            held.clear()
+            return packed(columns, parts)
+
         for batch in batches:
-            for lines in lines_of(batch.column(0)):
+            for lines in lines_of(batch.column(0), LINE_BYTES):
                 dealt = np.zeros(len(lines.key), bool)
                 dealt[np.unique(lines.key, return_index=True)[1]] = True
                 owner = np.repeat(np.arange(len(lines.size)), lines.size)
@@ -138,11 +166,15 @@ def postings(texts: DataFrame, rarity: Broadcast, percent: int, hot: int) -> Dat
                 at, group = tiled(at, word[at], often[at], lines.key[owner[at]], hot)
                 place, before, owner = place[at], before[at], owner[at]
                 maps = bit_maps(lines, owner)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(group.view(np.int64)), pa.array(before.view(np.int64)), pa.array(lines.size[owner].astype(np.int32)), pa.array(place.astype(np.int32)),
-                     pa.array(lines.key[owner]), *(pa.array(np.ascontiguousarray(maps[:, i])) for i in range(MAP_WORDS))], [p.split()[0] for p in POSTING.split(", ")])
+                held.append({
+                    "word": group.view(np.int64), "before": before.view(np.int64), "size": lines.size[owner].astype(np.int32), "place": place.astype(np.int32),
+                    "key": lines.key[owner], **{f"bits{i}": maps[:, i] for i in range(MAP_WORDS)}})
+                if sum(len(x["word"]) for x in held) >= PACK_ROWS:
+                    yield ready()
+        if held:
+            yield ready()
 
-    return texts.select("text").mapInArrow(rows, POSTING)
+    return texts.select("text").mapInArrow(rows, PACKED)
 
 
 def compared(rows: dict[str, np.ndarray], percent: int, known: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -178,16 +210,30 @@ def rows_of(table: pa.Table) -> dict[str, np.ndarray]:
     return rows
 
 
+def shared(word: np.ndarray) -> np.ndarray:
+    """The rows whose word has another row."""
+    order = np.argsort(word)
+    twice = np.zeros(len(order) + 1, bool)
+    twice[1:-1] = word[order[1:]] == word[order[:-1]]
+    return order[twice[1:] | twice[:-1]]
+
+
+def set_and_word_once(word: np.ndarray, size: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """One row for each set and word, in order of word and size."""
+    order = np.argsort(word)
+    owner = np.cumsum(np.append(0, np.diff(word[order]) != 0))[:len(order)]
+    order = order[order_within(owner, size[order].astype(np.uint64), key[order].view(np.uint64), int(size.max(initial=0)).bit_length())]
+    first = np.ones(len(order), bool)
+    first[1:] = (key[order[1:]] != key[order[:-1]]) | (word[order[1:]] != word[order[:-1]])
+    return order[first]
+
+
 def by_word(dealt: DataFrame, layout: str, of_words: Callable[[pa.Table], pa.RecordBatch]) -> DataFrame:
     """``of_words`` over all rows of one or more words: what is dealt is sorted inside its partitions by word, and a word that runs over an Arrow batch is carried into the next one."""
 
     def done(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         table = pa.Table.from_batches(parts)
-        word, size, key = (table[c].to_numpy() for c in ("word", "size", "key"))
-        order = np.lexsort((key, size, word))
-        first = np.ones(len(order), bool)  # a row for each set and word
-        first[1:] = (key[order[1:]] != key[order[:-1]]) | (word[order[1:]] != word[order[:-1]])
-        return of_words(table.take(pa.array(order[first])))
+        return of_words(table.take(pa.array(set_and_word_once(*(table[c].to_numpy() for c in ("word", "size", "key"))))))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -212,14 +258,17 @@ def by_word(dealt: DataFrame, layout: str, of_words: Callable[[pa.Table], pa.Rec
 def with_partner(dealt: DataFrame, percent: int) -> DataFrame:
     """The rows of sets that some other set of the word may be like."""
 
-    def chosen(table: pa.Table) -> pa.RecordBatch:
+    def chosen(dealt: pa.Table) -> pa.Table:
+        columns = {c: np.frombuffer(b"".join(x.as_py() for x in dealt[c]), kind) for c, kind in KINDS.items()}
+        some = shared(columns["word"])
+        once = some[set_and_word_once(*(columns[c][some] for c in ("word", "size", "key")))]
+        table = pa.table({c: x[once] for c, x in columns.items()})
         known = np.zeros(len(table), bool)
         for a, b in compared(rows_of(table), percent, known):
             known[a] = known[b] = True
-        return table.filter(pa.array(known)).combine_chunks().to_batches()[0] if known.any() else pa.RecordBatch.from_arrays(
-            [pa.array([], f.type) for f in table.schema], schema=table.schema)
+        return table.filter(pa.array(known))
 
-    return by_word(dealt, POSTING, chosen)
+    return dealt.groupBy("part").applyInArrow(chosen, POSTING)
 
 
 def bit_table(keys: DataFrame) -> bytes:
@@ -390,7 +439,7 @@ def line_links(docs: DataFrame, percent: int = PERCENT, most: int = AT_ONCE, hot
     lines, counts = read_lines(texts)
     rarity = texts.sparkSession.sparkContext.broadcast(counts)  # RARITY numbers, whatever the corpus
     firsts = store(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line")).alias("first")), "lines")
-    partners = store(with_partner(postings(texts, rarity, percent, hot), percent), "lines")
+    partners = store(with_partner(postings(texts, rarity, percent, hot, parts_for(texts.sparkSession, int(counts.sum(dtype=np.int64)))), percent), "lines")
     wanted = store(firsts.join(partners.select("key").distinct(), "key", "left_semi").select("key", "first.doc_id", "first.line"), "lines")
     found = linked(partners.join(full_sets(texts, wanted), "key"), rarity, percent, most, hot)
     match = F.struct(F.negative("similarity").alias("apart"), F.col("match_doc_id").isNotNull().alias("known"), "match_doc_id", "match_line")

@@ -2,6 +2,7 @@
 
 A word's 64-bit hash comes from running sums over the bytes of a block: the sum between a word's two ends, divided by the power of the
 base at its start, depends on the word alone. Words above LONG bytes are hashed one by one, so a block need not hold them.
+Blocks of STEP bytes stay in a core's cache.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ import xxhash
 from wattloom.llm.sets import mixed
 
 BLOCK = 1 << 20
+STEP = 1 << 16
 LONG = 1 << 12
 TEXT_BYTES = 4 << 20
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
-BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 LETTER = np.random.default_rng(23).integers(0, 2**64, 256, np.uint64) | np.uint64(1)
 BASE = 0x5851F42D4C957F2D
 
@@ -55,25 +56,25 @@ def words_and_lines(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     words, lines = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
     at = passed = 0
     while at < len(raw):
-        end = min(at + BLOCK, len(raw))
-        blank = BLANK[raw[at:end]]
+        end = min(at + STEP, len(raw))
+        blank = (raw[at:end] == 0x20) | (raw[at:end] - np.uint8(0x09) < 5)
         if end < len(raw):
-            spaces = np.flatnonzero(blank)
-            if not len(spaces):  # the block lies within one word
+            after = int(blank[::-1].argmax())  # bytes after its last space
+            if not blank[-1 - after]:  # the block lies within one word
                 space = SPACE.search(data, end)
                 end = space.start() if space else len(raw)
                 words.append(np.array([xxhash.xxh64_intdigest(data[at:end])], np.uint64))
                 lines.append(np.array([passed]))
                 at = end
                 continue
-            end = at + int(spaces[-1]) + 1
+            end -= after
         part, blank = raw[at:end], blank[:end - at]
-        solid = np.zeros(len(part) + 2, np.int8)
-        solid[1:-1] = ~blank
-        edges = np.diff(solid)
-        starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+        beside = np.ones(len(part) + 2, bool)
+        beside[1:-1] = blank
+        edges = np.flatnonzero(beside[1:] != beside[:-1])
+        starts, ends = edges[::2], edges[1::2]
         sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(LETTER[part] * POWER[:len(part)], out=sums[1:])
+        np.cumsum(LETTER.take(part) * POWER[:len(part)], out=sums[1:])
         found = mixed(mixed((sums[ends] - sums[starts]) * INVERSE[starts]) + (ends - starts).astype(np.uint64))
         for i in np.flatnonzero(ends - starts > LONG):
             found[i] = xxhash.xxh64_intdigest(data[at + starts[i]:at + ends[i]])
@@ -121,15 +122,15 @@ def sets_of_lines(texts: list[bytes | None], first: int = 0) -> Lines:
     return Lines(text + first, line[starts] - above[text], mixed(key + size.astype(np.uint64)).view(np.int64), size, starts, word)
 
 
-def lines_of(texts: pa.Array) -> Iterator[Lines]:
-    """The lines of a column of texts (null: none), about TEXT_BYTES of text at a time."""
+def lines_of(texts: pa.Array, most: int = TEXT_BYTES) -> Iterator[Lines]:
+    """The lines of a column of texts (null: none), about ``most`` bytes of text at a time."""
     group: list[bytes | None] = []
     first = held = 0
     for text in texts:
         value = text.as_buffer()
         group.append(None if value is None else value.to_pybytes())
         held += len(group[-1] or b"")
-        if held >= TEXT_BYTES:
+        if held >= most:
             yield sets_of_lines(group, first)
             first, group, held = first + len(group), [], 0
     if group:
