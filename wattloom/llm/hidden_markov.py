@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +51,7 @@ BLOCK_DOCS, BLOCK_TOKENS = 1 << 14, 1 << 22
 PIECE = 1 << 23
 SLICE = 4096
 END = b""
-BLOCK = ("block long, hashes array<long>, suffixes array<int>, trained array<int>, codes binary, lengths binary, held binary, "
+BLOCK = ("block long, hashes array<long>, suffixes binary, trained binary, codes binary, lengths binary, held binary, "
          "doc_ids array<long>")
 TRAINED = "classes binary, sizes binary"
 TINY = 1e-30
@@ -75,7 +75,7 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     flat = lists.flatten()
     some = pc.not_equal(flat, "")
     sizes = np.diff(np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[lists.offsets.to_numpy()])
-    own = flat.filter(some).dictionary_encode()
+    own = (flat if len(flat) == pc.sum(some).as_py() else flat.filter(some)).dictionary_encode()
     ends, data = np.frombuffer(own.dictionary.buffers()[1], np.int32)[:len(own.dictionary) + 1].tolist() if len(own) else [], own.dictionary.buffers()[2]
     data = data.to_pybytes() if data else b""
     return sizes, own.indices.to_numpy(), [data[a:b] for a, b in zip(ends, ends[1:])]
@@ -84,9 +84,6 @@ def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
 def coded(docs: DataFrame) -> DataFrame:
     """Blocks of documents: distinct words, their training counts, and each text as numbers; every text ends with END."""
 
-    def listed(values: np.ndarray) -> pa.Array:
-        return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values))
-
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base, made = TaskContext.get().partitionId() << 32, 0
         words, codes, lengths, held, ids = Numbers(), [], [], [], []
@@ -97,9 +94,12 @@ def coded(docs: DataFrame) -> DataFrame:
             train = np.repeat(~np.array(held, bool), sizes)
             names = list(words)
             return pa.RecordBatch.from_arrays([
-                pa.array([base + made], pa.int64()), listed(np.array([xxhash.xxh64_intdigest(w) - (1 << 63) for w in names], np.int64)),
-                listed(np.array([zlib.crc32(w[-3:]) % HASHED for w in names], np.int32)), listed(np.bincount(every[train], minlength=len(names)).astype(np.int32)),
-                *[pa.array([x.tobytes()], pa.binary()) for x in (every, sizes, np.array(held, np.uint8))], pa.array([ids], pa.list_(pa.int64()))],
+                pa.array([base + made], pa.int64()), pa.ListArray.from_arrays(
+                    pa.array([0, len(names)], pa.int32()), pa.array([xxhash.xxh64_intdigest(w) - (1 << 63) for w in names], pa.int64())),
+                *[
+                    pa.array([x.tobytes()], pa.binary()) for x in (
+                        np.array([zlib.crc32(w[-3:]) % HASHED for w in names], np.int32), np.bincount(every[train], minlength=len(names)).astype(np.int32),
+                        every, sizes, np.array(held, np.uint8))], pa.array([ids], pa.list_(pa.int64()))],
                 [c.split()[0] for c in BLOCK.split(", ")])
 
         tokens = 0
@@ -207,7 +207,7 @@ def word_counts(blocks: DataFrame) -> DataFrame:
     def of_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in zip(*batch.columns):
-                hashes, suffixes, trained = (x.values.to_numpy() for x in row)
+                hashes, suffixes, trained = row[0].values.to_numpy(), *(np.frombuffer(x.as_py(), np.int32) for x in row[1:])
                 used = trained > 0
                 both = np.stack([suffixes[used], trained[used]])
                 yield dealt(None, hashes[used], parts, both)
@@ -257,13 +257,14 @@ def live_at(size: np.ndarray, steps: int) -> list[int]:
 
 
 def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray | None = None, leave: np.ndarray | None = None,
-             opens: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+             opens: np.ndarray | None = None, names: np.ndarray | None = None, kinds: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Expected starts, moves and emissions of padded rows (longest first), by scaled forward-backward.
 
     ``enter`` is the forward vector before a row's first token, ``leave`` the backward vector after its last one, and ``opens`` says which rows
-    begin a text; without them each row is a text.
+    begin a text; without them each row is a text. Emissions are counted by ``rows``, or by ``names``, rows of numbers below ``kinds``.
     """
-    count, steps, kinds = len(size), int(size[0]) if len(size) else 0, len(model.emit)
+    count, steps = len(size), int(size[0]) if len(size) else 0
+    names, kinds = (rows, len(model.emit)) if names is None else (names, kinds)
     enter = np.broadcast_to(model.start, (count, STATES)) if enter is None else enter
     leave = np.ones((count, STATES), model.emit.dtype) if leave is None else leave
     live = live_at(size, steps)
@@ -295,7 +296,7 @@ def expected(model: Model, rows: np.ndarray, size: np.ndarray, enter: np.ndarray
         back /= scales[t]
         moves += model.move * (ahead[t - 1][:, :live[t]] @ back.T)
         back = model.move @ back
-    tokens = np.concatenate([rows[:live[t], t] for t in range(steps - 1, -1, -1)]).astype(np.int64)
+    tokens = np.concatenate([names[:live[t], t] for t in range(steps - 1, -1, -1)]).astype(np.int64)
     for k in range(STATES):
         emits[k] = np.bincount(tokens, weights=shares[k], minlength=kinds)
     return starts, moves, emits
@@ -380,18 +381,20 @@ def carried(model: Model, found: np.ndarray, first: np.ndarray, size: np.ndarray
     return enter, leave, moves
 
 
-def expected_of_texts(model: Model, found: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Expected starts, moves and emissions of whole texts, however long."""
+def expected_of_texts(model: Model, found: np.ndarray, lengths: np.ndarray, names: np.ndarray | None = None,
+                      kinds: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Expected starts, moves and emissions of whole texts, however long; emissions by ``found``, or by ``names``, numbers below ``kinds`` for each token."""
     parts = -(-lengths // SEGMENT)
     first, size = cut(lengths)
     opens = np.zeros(len(size), bool)
     opens[np.cumsum(parts) - parts] = True
     enter, leave, moves = carried(model, found, first, size, parts)
-    starts, emits = np.zeros(STATES), np.zeros((STATES, len(model.emit)))
+    starts, emits = np.zeros(STATES), np.zeros((STATES, len(model.emit) if names is None else kinds))
     order = np.argsort(-size, kind="stable")
     for begin in range(0, len(order), ROWS):
         own = order[begin:begin + ROWS]
-        more = expected(model, padded(found, first[own]), size[own], enter[own], leave[own], opens[own])
+        named = None if names is None else padded(names, first[own])
+        more = expected(model, padded(found, first[own]), size[own], enter[own], leave[own], opens[own], named, kinds)
         starts, moves, emits = starts + more[0], moves + more[1], emits + more[2]
     return starts, moves, emits
 
@@ -403,7 +406,7 @@ def trained_on(blocks: DataFrame, top: dict[int, int]) -> DataFrame:
         for batch in batches:
             for hashes, suffixes, codes, lengths, held in zip(*batch.columns):
                 sizes, train = np.frombuffer(lengths.as_py(), np.int32), ~np.frombuffer(held.as_py(), np.uint8).astype(bool)
-                known = classes_of(hashes.values.to_numpy(), suffixes.values.to_numpy(), top).astype(np.uint16)
+                known = classes_of(hashes.values.to_numpy(), np.frombuffer(suffixes.as_py(), np.int32), top).astype(np.uint16)
                 found = known[np.frombuffer(codes.as_py(), np.int32)[np.repeat(train, sizes)]]
                 yield pa.RecordBatch.from_arrays([pa.array([found.tobytes()], pa.binary()), pa.array([sizes[train].tobytes()], pa.binary())], ["classes", "sizes"])
 
@@ -526,12 +529,13 @@ def counted_words(blocks: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 hashes, suffixes, trained, codes, lengths, held = (batch.column(c)[i] for c in range(6))
-                hashes, trained = hashes.values.to_numpy(), trained.values.to_numpy()
+                hashes, suffixes, trained = hashes.values.to_numpy(), *(np.frombuffer(x.as_py(), np.int32) for x in (suffixes, trained))
                 sizes, train = np.frombuffer(lengths.as_py(), np.int32).astype(np.int64), ~np.frombuffer(held.as_py(), np.uint8).astype(bool)
                 if not train.any():
                     continue
-                own = replace(light, emit=light.emit[classes_of(hashes, suffixes.values.to_numpy(), model.top)])
-                emits = expected_of_texts(own, np.frombuffer(codes.as_py(), np.int32)[np.repeat(train, sizes)], sizes[train])[2]
+                own = np.frombuffer(codes.as_py(), np.int32)[np.repeat(train, sizes)]
+                found = classes_of(hashes, suffixes, model.top).astype(np.uint16)[own]
+                emits = expected_of_texts(light, found, sizes[train], own, len(hashes))[2]
                 used = trained > 0
                 yield dealt(None, hashes[used], parts, trained[used], emits[:, used].astype(np.float32))
 
@@ -598,7 +602,7 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         for batch in batches:
             classes, codes = [], []
             for row in zip(*batch.columns[:3]):
-                hashes, suffixes, code = row[0].values.to_numpy(), row[1].values.to_numpy(), np.frombuffer(row[2].as_py(), np.int32)
+                hashes, suffixes, code = row[0].values.to_numpy(), *(np.frombuffer(x.as_py(), np.int32) for x in row[1:])
                 order = by_hash(hashes, 1)[0]
                 place = np.empty(len(order), np.int32)
                 place[order] = np.arange(len(order))
