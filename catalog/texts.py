@@ -15,6 +15,7 @@ from wattloom.operators.vector_index import VectorIndex
 from wattloom.session import scratch_path, store
 from wattloom.sources import documents
 from wattloom.sources.document_folder import DocumentFolder
+from wattloom.sources.shared_files import put_files
 
 SQL_WORDS = r"list_filter(regexp_split_to_array(lower({}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')".format
 
@@ -67,13 +68,12 @@ def document_rescan(d):
     """Documents as one file each, in ten folders: one is rewritten and one added after the first scan; the second reads these, the third none."""
     root = scratch_path(d.spark, "document-files")
     part = F.col("doc_id") % 10
-    slice_ = F.pmod(F.floor(F.col("doc_id") / 10), F.lit(FILE_SLICES))  # each subfolder is written by one task, the folders by all
+    slice_ = F.pmod(F.floor(F.col("doc_id") / 10), F.lit(FILE_SLICES))  # subfolders are listed side by side
     texts = d.source("documents").select("doc_id", F.col("text").alias("value"), part.alias("part"), slice_.alias("slice"))
     folder = DocumentFolder(d.spark, root, scratch_path(d.spark, "document-state"))
     older = F.when(part == 1, F.concat("value", F.lit(" older words"))).otherwise(F.col("value"))
     for now in (texts.where("part <> 3").withColumn("value", older), texts.where("part in (1, 3)")):
-        (now.select(F.concat_ws("\n", "doc_id", "value").alias("value"), "part", "slice").repartition(FILE_SLICES, "part", "slice").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 1).partitionBy("part", "slice").text(root))
+        put_files(now.select(F.concat_ws("\n", "doc_id", "value").alias("value"), "part", "slice"), root, ("part", "slice"), FILE_SLICES)
         folder.scan()
     folder.scan()
     pieces = F.split("content", "\n", 2)

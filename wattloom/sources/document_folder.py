@@ -8,15 +8,21 @@ Layout below the state folder, all Parquet:
 
 A scan lists the files without opening them and compares path, modification time and size with what is stored; a change that alters neither time (in
 milliseconds) nor size is not seen. A file without a byte counts as absent, as Spark's readers skip it. One scan at a time may write.
+
+Plain text in a folder that all machines have mounted is listed and read by the tasks themselves (``shared_files``), anything else by Spark's readers;
+both name files alike and give the same rows, so a state may be kept by either.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattloom.session import settings, small_side, store
+from wattloom.sources import shared_files
 from wattloom.sources.documents import path_below, wanted
 
 FILES = "file_url string, relative_path string, modified timestamp, size long, content string, scan int"
@@ -26,6 +32,8 @@ COMMITS = "read long, dropped long, scan int"
 NAMED_FILES = 10_000
 #: Documents are small files, of which a task should read thousands; at Spark's own figure (4 MB) it reads 32.
 SMALL_FILES = {"spark.sql.files.openCostInBytes": str(16 << 10)}
+#: Ends of the patterns of files that Spark's reader takes as they are, whatever codecs it knows.
+PLAIN = (".md", ".txt")
 
 
 class DocumentFolder:
@@ -72,6 +80,11 @@ class DocumentFolder:
         earliest = changed.agg(F.min("modified")).first()[0]
         return files.where(F.col("modified") >= F.lit(earliest)).join(changed.select("file_url"), "file_url", "left_semi")
 
+    def _shared(self) -> str | None:
+        """The path of the folder if tasks can list and read it themselves; a root that is missing or a file is left to Spark's readers."""
+        path = shared_files.shared_path(self.spark, self.root)
+        return path if path and os.path.isdir(path) and all(p.lower().endswith(PLAIN) for p in self.patterns) else None
+
     def scan(self) -> dict[str, int]:
         """Read what is new or changed, drop what is gone; returns how many files were read and how many stored versions dropped."""
         with settings(self.spark, SMALL_FILES):
@@ -82,13 +95,16 @@ class DocumentFolder:
         number = len(commits)
         known = self.documents(commits).select("file_url", F.col("modified").alias("known_modified"), F.col("size").alias("known_size"),
                                                F.col("scan").alias("in_scan"))
-        state = self._files("listing").join(known, "file_url", "full")
+        shared = self._shared()
+        listed = shared_files.listed(self.spark, shared).where(wanted(F.col("file_url"), self.patterns)) if shared else self._files("listing")
+        state = listed.join(known, "file_url", "full")
         same = F.col("modified").eqNullSafe(F.col("known_modified")) & F.col("size").eqNullSafe(F.col("known_size"))
         state = store(state.where(~same), "document-scan")
         folder = f"scan={number}"
         (state.where("in_scan is not null").select("file_url", "in_scan").write.mode("overwrite").parquet(f"{self.path}/dead/{folder}"))
-        changed = state.where("size is not null").select("file_url", "modified")
-        (self._contents(changed).withColumn("relative_path", path_below(self.root, F.col("file_url")))
+        changed = state.where("size is not null").select("file_url", "modified", "size")
+        contents = shared_files.contents(changed) if shared else self._contents(changed)
+        (contents.withColumn("relative_path", path_below(self.root, F.col("file_url")))
          .write.mode("overwrite").parquet(f"{self.path}/files/{folder}"))
         counts = [self.spark.read.schema(layout).parquet(f"{self.path}/{kind}/{folder}").count()  # from footers
                   for kind, layout in (("files", "file_url string"), ("dead", "file_url string"))]
