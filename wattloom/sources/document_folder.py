@@ -105,7 +105,7 @@ class DocumentFolder:
         changed = state.where("size is not null").select("file_url", "modified", "size")
         contents = shared_files.contents(changed) if shared else self._contents(changed)
         (contents.withColumn("relative_path", path_below(self.root, F.col("file_url")))
-         .write.mode("overwrite").parquet(f"{self.path}/files/{folder}"))
+         .write.mode("overwrite").option("compression", "zstd").parquet(f"{self.path}/files/{folder}"))  # texts, in about two thirds of Snappy's bytes
         counts = [self.spark.read.schema(layout).parquet(f"{self.path}/{kind}/{folder}").count()  # from footers
                   for kind, layout in (("files", "file_url string"), ("dead", "file_url string"))]
         done = self.spark.createDataFrame([tuple(counts)], "read long, dropped long").coalesce(1)
